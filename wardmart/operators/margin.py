@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.keys import surrogate_key
 from ..functions.text import col_of
 from ..functions.values import stable_round
+from .cache import keep
 from .joins import keyed_join
 from .rank import global_rank
 
@@ -47,7 +48,9 @@ def rollup_ranked(df: DataFrame, groups: list[str], measure: str, sums: dict[str
     aggs = [stable_round(F.avg(col_of(measure)), digits).alias(avg_name)]
     aggs += [stable_round(F.sum(col_of(src)), total_digits).alias(dst) for dst, src in sums.items()]
     aggs.append(F.sum(col_of(volume)).alias(volume_name))
-    agg = df.groupBy(*[col_of(g) for g in groups]).agg(*aggs)
+    # one row per group; read by the rank statistics and by the output, so
+    # the (fact-scale) input is aggregated once
+    agg = keep(df.groupBy(*[col_of(g) for g in groups]).agg(*aggs))
     meets = col_of(volume_name) >= F.lit(min_volume)
     agg = agg.select(surrogate_key(*groups).alias(key_name), "*", meets.alias("meets_volume_threshold"))
     qualifying = agg.where(F.coalesce(F.col("meets_volume_threshold"), F.lit(False)))

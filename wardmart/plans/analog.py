@@ -28,6 +28,7 @@ import re
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.cache import keep
 from ..sources import TableSet
 from .etl import apply_load_rules
 
@@ -231,14 +232,22 @@ BUILDERS = {
 
 
 class AnalogRaw(dict):
-    """Lazily built, loader-cleaned raw tables (padding applied)."""
+    """Lazily built, loader-cleaned raw tables (padding applied).
 
-    def __init__(self, tables: TableSet):
+    ``persist=True`` keeps each stand-in once built (MEMORY_AND_DISK,
+    rebuilt from lineage if blocks are lost), like a loaded raw layer. Off
+    by default: on one node rebuilding a stand-in costs less than caching
+    it, and every plan that reads one twice reuses its exchanges.
+    """
+
+    def __init__(self, tables: TableSet, persist: bool = False):
         super().__init__()
         self.tables = tables
+        self.persist = persist
 
     def __missing__(self, key: str) -> DataFrame:
         df = apply_load_rules(key, BUILDERS[key](self.tables))
+        df = keep(df) if self.persist else df
         self[key] = df
         return df
 

@@ -26,7 +26,7 @@ class Warehouse:
                  date_range: tuple[str, str] = ("2022-10-01", "2024-10-01"),
                  spine: DataFrame | None = None, persist_dims: bool = True,
                  max_broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
-                 cost_nulls_win: bool = True):
+                 cost_nulls_win: bool = True, persist_marts: bool = False):
         self.raw = raw
         self.seed_drg = seed_drg
         self.cost_tie_break = cost_tie_break
@@ -37,10 +37,16 @@ class Warehouse:
         self.bcast = max_broadcast_rows
         self.cost_nulls_win = cost_nulls_win
         self._bounds: dict[str, bool] = {}
+        self.persist_marts = persist_marts
 
     def _keep(self, df: DataFrame) -> DataFrame:
         return keep(df) if self.persist_dims else df
 
+    def _keep_mart(self, df: DataFrame) -> DataFrame:
+        """Facts and marts are materialized tables in the warehouse; a build
+        that reads them many times (the data-test suite) keeps them."""
+        return keep(df) if self.persist_marts else df
+
     def _small(self, name: str) -> bool | None:
         """Whether dimension ``name`` is proven within the broadcast bound.
 
@@ -107,26 +113,28 @@ class Warehouse:
 
     @cached_property
     def fct_medicare_drg(self) -> DataFrame:
-        return facts.fct_medicare_drg(self.stg_medicare_inpatient, self.dim_hospital, self.dim_drg,
-                                      self._small("dim_hospital"), self._small("dim_drg"))
+        return self._keep_mart(facts.fct_medicare_drg(
+            self.stg_medicare_inpatient, self.dim_hospital, self.dim_drg,
+            self._small("dim_hospital"), self._small("dim_drg")))
 
     # marts -----------------------------------------------------------------
     @cached_property
     def mart_reimbursement_gap(self) -> DataFrame:
-        return marts.mart_reimbursement_gap(self.fct_medicare_drg, self.fct_hospital_finance,
-                                            self.dim_hospital, self.dim_drg, self.dim_geography,
-                                            self._small("dim_hospital"), self._small("dim_drg"),
-                                            self._small("dim_geography"))
+        return self._keep_mart(marts.mart_reimbursement_gap(
+            self.fct_medicare_drg, self.fct_hospital_finance, self.dim_hospital, self.dim_drg,
+            self.dim_geography, self._small("dim_hospital"), self._small("dim_drg"),
+            self._small("dim_geography")))
 
     @cached_property
     def mart_service_line_margin(self) -> DataFrame:
-        return marts.mart_service_line_margin(self.mart_reimbursement_gap, self.min_volume)
+        return self._keep_mart(marts.mart_service_line_margin(self.mart_reimbursement_gap,
+                                                              self.min_volume))
 
     @cached_property
     def mart_finance_scorecard(self) -> DataFrame:
-        return marts.mart_finance_scorecard(self.fct_hospital_finance, self.dim_hospital,
-                                            self.dim_geography, self._small("dim_hospital"),
-                                            self._small("dim_geography"))
+        return self._keep_mart(marts.mart_finance_scorecard(
+            self.fct_hospital_finance, self.dim_hospital, self.dim_geography,
+            self._small("dim_hospital"), self._small("dim_geography")))
 
     @cached_property
     def mart_burden_vs_community(self) -> DataFrame:
