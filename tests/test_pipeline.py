@@ -181,3 +181,22 @@ def test_etl_forms(spark, wh):
     geo = {r.ccn: r for r in etl.build_hospital_geo(clean, crosswalk(spark)).collect()}
     assert geo["010002"].cbsa_code == "22222" and geo["010002"].res_ratio == 0.2
     assert geo["010003"].cbsa_code is None
+
+
+def test_build_all_materializes_and_tests(spark, tmpdir_path):
+    from wardmart.plans.pipeline import TABLES, build_all
+    raw = {"hospital_general_info": hospitals(spark), "cost_report": cost_report(spark),
+           "medicare_inpatient": medicare(spark), "zip_cbsa_crosswalk": crosswalk(spark),
+           "census_acs": census(spark)}
+    raw = {k: etl.apply_load_rules(k, v) for k, v in raw.items()}
+    w = Warehouse(raw, seed(spark), cost_tie_break=("Report Record Number",), min_volume=30)
+    with pytest.raises(AssertionError):          # the NULL census component fails a test
+        build_all(spark, w, root=tmpdir_path, run_id="r1")
+    w2 = Warehouse(raw, seed(spark), cost_tie_break=("Report Record Number",), min_volume=30)
+    out = build_all(spark, w2, root=tmpdir_path, run_id="r2", enforce=False)
+    assert set(out["audits"]) == set(TABLES)
+    assert out["audits"]["dim_hospital"]["row_count"] == 3
+    assert out["audits"]["dim_hospital"]["null_cbsa_code"] == 1
+    assert out["audits"]["dim_date"]["row_count"] == 731
+    assert len(out["tests"]) == 52
+    assert "run=r2" in w2.mart_service_line_margin.inputFiles()[0]

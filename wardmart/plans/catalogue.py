@@ -608,7 +608,7 @@ def q_drilldown(c: Ctx) -> DataFrame:
     worst = c.wh.mart_service_line_margin.where(F.col("global_rank") == 1) \
         .select(F.col("service_line").alias("__sl"), F.col("metro_name").alias("__mn"))
     g = c.wh.mart_reimbursement_gap
-    rows = g.join(F.broadcast(worst), (F.col("service_line") == F.col("__sl")) &
+    rows = g.join(worst, (F.col("service_line") == F.col("__sl")) &
                   F.col("metro_name").eqNullSafe(F.col("__mn")), "left_semi")
     w = Window.partitionBy("service_line", "metro_name").orderBy("margin", "hospital_key", "drg_code")
     return rounded(rows.select("hospital_key", "drg_code", "service_line", "metro_name", "margin",

@@ -1,0 +1,9 @@
+"""Streaming: intentionally empty.
+
+The modelled warehouse reads batch files and tables only and fully
+rebuilds its models on every run; its sources carry no event time (the
+Medicare file has no date column at all). There is no stream, watermark,
+window over time or state to rebuild, so nothing lives here. The batch
+operators are plain DataFrame functions and would apply unchanged inside
+``foreachBatch`` if a streamed raw layer ever appeared.
+"""
