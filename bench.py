@@ -30,9 +30,19 @@ def main() -> None:
     from wardmart.plans import catalogue
     from wardmart.session import build_session
     spark = build_session(f"local[{cpus}]", shuffle_partitions=cpus)
-    spark.range(1000).selectExpr("sum(id)").collect()    # JVM warm-up, not timed
     qs = catalogue.queries()
+    # JVM / code-generation warm-up on the smallest tables, not timed
+    warm = os.path.join(os.path.dirname(sf_dir.rstrip("/")), "sf0.001")
+    if os.path.isdir(warm) and os.path.abspath(warm) != os.path.abspath(sf_dir):
+        qs["service_line_margin"](spark, warm).write.format("noop").mode("overwrite").save()
     times = {}
+    # the raw load (stand-in raw tables written once, like the warehouse's
+    # load step) is timed on its own; the queries then read the loaded tables
+    from wardmart.plans.analog import AnalogRaw
+    from wardmart.sources import TableSet
+    t0 = time.time()
+    AnalogRaw(TableSet(spark, sf_dir), load=True).load_all()
+    times["load_raw"] = round(time.time() - t0, 3)
     for name in names:
         t0 = time.time()
         df = qs[name](spark, sf_dir)

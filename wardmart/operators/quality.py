@@ -20,11 +20,18 @@ from .joins import orphans
 
 @dataclass
 class Check:
+    """One test. ``failing`` holds the failing rows. Row-level tests also
+    give ``source`` and ``predicate`` (failing-row condition), and
+    uniqueness tests give ``source`` and ``unique_col``, so the report can
+    evaluate many tests over one model in a single pass."""
     name: str
     model: str
     test: str
     failing: DataFrame
     severity: str = "error"
+    source: DataFrame | None = None
+    predicate: Column | None = None
+    unique_col: str | None = None
 
 
 def _scoped(df: DataFrame, where) -> DataFrame:
@@ -130,17 +137,53 @@ def order_fails(df: DataFrame, smaller: str, larger: str) -> DataFrame:
     return df.where(col_of(smaller) > col_of(larger))
 
 
+def _meta(c: Check, failing: Column) -> Column:
+    return F.struct(F.lit(c.name).alias("check_name"), F.lit(c.model).alias("model"),
+                    F.lit(c.test).alias("test"), F.lit(c.severity).alias("severity"),
+                    failing.cast("long").alias("failing_rows"))
+
+
 def quality_report(checks: list[Check]) -> DataFrame:
-    """One row per check: name, model, test, severity, failing_rows, status."""
+    """One row per check: name, model, test, severity, failing_rows, status.
+
+    * row-level tests (not_null, expressions) over the same model share one
+      aggregate pass: one ``count_if`` per test;
+    * uniqueness tests over the same model share one grouping: the tested
+      columns are unpivoted to (test, value) pairs, grouped once, and the
+      duplicated values counted per test;
+    * every other test is counted on its own.
+    The branches are unioned into one small DataFrame.
+    """
+    row_level: dict[int, list[Check]] = {}
+    uniques: dict[int, list[Check]] = {}
     parts = []
     for c in checks:
-        status = F.when(F.col("failing_rows") == 0, F.lit("pass")) \
-            .when(F.lit(c.severity) == "warn", F.lit("warn")).otherwise(F.lit("fail"))
-        parts.append(c.failing.agg(F.count(F.lit(1)).alias("failing_rows"))
-                     .select(F.lit(c.name).alias("check_name"), F.lit(c.model).alias("model"),
-                             F.lit(c.test).alias("test"), F.lit(c.severity).alias("severity"),
-                             F.col("failing_rows"), status.alias("status")))
-    return reduce(lambda a, b: a.unionByName(b), parts)
+        if c.source is not None and c.predicate is not None:
+            row_level.setdefault(id(c.source), []).append(c)
+        elif c.source is not None and c.unique_col is not None:
+            uniques.setdefault(id(c.source), []).append(c)
+        else:
+            parts.append(c.failing.agg(F.count(F.lit(1)).alias("n"))
+                         .select(F.inline(F.array(_meta(c, F.col("n"))))))
+    for group in row_level.values():
+        agg = group[0].source.agg(*[F.count_if(c.predicate).alias(f"n{i}")
+                                    for i, c in enumerate(group)])
+        parts.append(agg.select(F.inline(F.array(*[_meta(c, F.col(f"n{i}"))
+                                                   for i, c in enumerate(group)]))))
+    for group in uniques.values():
+        src = group[0].source
+        pairs = F.explode(F.array(*[
+            F.struct(F.lit(i).alias("t"), col_of(c.unique_col).cast("string").alias("v"))
+            for i, c in enumerate(group)]))
+        dup = src.select(pairs.alias("p")).select("p.t", "p.v").where(F.col("v").isNotNull()) \
+            .groupBy("t", "v").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") > 1)
+        per = dup.agg(*[F.count_if(F.col("t") == i).alias(f"n{i}") for i in range(len(group))])
+        parts.append(per.select(F.inline(F.array(*[_meta(c, F.col(f"n{i}"))
+                                                   for i, c in enumerate(group)]))))
+    report = reduce(lambda a, b: a.unionByName(b), parts)
+    status = F.when(F.col("failing_rows") == 0, F.lit("pass")) \
+        .when(F.col("severity") == "warn", F.lit("warn")).otherwise(F.lit("fail"))
+    return report.withColumn("status", status)
 
 
 def enforce(report: DataFrame) -> list:

@@ -28,8 +28,11 @@ import re
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+import os
+
 from ..operators.cache import keep
-from ..sources import TableSet
+from ..session import warehouse_root
+from ..sources import TableSet, materialize, new_run_id
 from .etl import apply_load_rules
 
 # group volume in the analog grows linearly with the scale factor: one
@@ -231,25 +234,55 @@ BUILDERS = {
 }
 
 
-class AnalogRaw(dict):
-    """Lazily built, loader-cleaned raw tables (padding applied).
+# raw tables already loaded in this session: (application id, source
+# folder) -> {table: DataFrame over the written table}
+_LOADED: dict[tuple[str, str], dict[str, DataFrame]] = {}
+_LOAD_AUDITS: dict[tuple[str, str], dict[str, dict]] = {}
+
 
-    ``persist=True`` keeps each stand-in once built (MEMORY_AND_DISK,
-    rebuilt from lineage if blocks are lost), like a loaded raw layer. Off
-    by default: on one node rebuilding a stand-in costs less than caching
-    it, and every plan that reads one twice reuses its exchanges.
+class AnalogRaw(dict):
+    """Loader-cleaned raw tables (padding applied), built on first use.
+
+    ``load=True`` is the warehouse's raw load: each stand-in is written
+    once per session and source folder as a Parquet table in a run folder
+    under the shared warehouse root (``spark.checkpoint.dir``), with its
+    row count audited in the same pass, and every later reader scans the
+    written table -- lineage stops there and a lost executor re-reads
+    files instead of re-deriving the stand-in. ``persist=True`` keeps the
+    lazily derived frame in executor storage instead; with neither, each
+    plan derives it.
     """
 
-    def __init__(self, tables: TableSet, persist: bool = False):
+    def __init__(self, tables: TableSet, persist: bool = False, load: bool = False):
         super().__init__()
         self.tables = tables
         self.persist = persist
+        self.load = load
+        spark = tables.spark
+        self._key = (spark.sparkContext.applicationId, os.path.abspath(tables.root))
 
     def __missing__(self, key: str) -> DataFrame:
-        df = apply_load_rules(key, BUILDERS[key](self.tables))
-        df = keep(df) if self.persist else df
+        if self.load:
+            loaded = _LOADED.setdefault(self._key, {})
+            if key not in loaded:
+                spark = self.tables.spark
+                root = os.path.join(warehouse_root(spark), "raw")
+                df, audit = materialize(spark, apply_load_rules(key, BUILDERS[key](self.tables)),
+                                        root, key, new_run_id())
+                loaded[key] = df
+                _LOAD_AUDITS.setdefault(self._key, {})[key] = audit
+            df = loaded[key]
+        else:
+            df = apply_load_rules(key, BUILDERS[key](self.tables))
+            df = keep(df) if self.persist else df
         self[key] = df
         return df
 
+    def load_all(self) -> dict[str, dict]:
+        """Load every raw table now; returns the per-table load audits."""
+        for k in BUILDERS:
+            self[k]
+        return dict(_LOAD_AUDITS.get(self._key, {}))
+
     def unloaded(self, key: str) -> DataFrame:
         return BUILDERS[key](self.tables)

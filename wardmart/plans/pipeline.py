@@ -31,8 +31,10 @@ def build_all(spark: SparkSession, wh: Warehouse, root: str | None = None,
               enforce: bool = True) -> dict:
     """Write every table model, then run the 52 declared tests on them.
 
-    Returns ``{"run_id", "root", "audits": {model: metrics}, "tests": rows}``;
-    raises when an error-severity test fails and ``enforce`` is set.
+    Returns ``{"run_id", "root", "audits": {model: metrics}, "report":
+    DataFrame, "tests": rows}``; the report DataFrame reads only the written
+    tables. With ``enforce`` the (one row per test) report is collected and
+    an error-severity failure raises; without it ``tests`` is None.
     """
     root = root or warehouse_root(spark)
     run_id = run_id or new_run_id()
@@ -44,5 +46,5 @@ def build_all(spark: SparkSession, wh: Warehouse, root: str | None = None,
         wh.__dict__[name] = df
         audits[name] = metrics
     report = Q.quality_report(spark_checks(wh.model, service_lines))
-    rows = Q.enforce(report) if enforce else report.collect()
-    return {"run_id": run_id, "root": root, "audits": audits, "tests": rows}
+    rows = Q.enforce(report) if enforce else None
+    return {"run_id": run_id, "root": root, "audits": audits, "report": report, "tests": rows}

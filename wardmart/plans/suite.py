@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark.sql import functions as F
+
 from ..operators import quality as Q
 
 # The twelve service lines a DRG may map to.
@@ -93,10 +95,15 @@ def spark_checks(models, service_lines: list[str] | None = None) -> list[Q.Check
     for s in specs(service_lines):
         df = models(s.model)
         c = s.columns
+        extra = {}
         if s.test == "not_null":
             failing = Q.not_null(df, c[0], s.where)
+            pred = F.col(c[0]).isNull()
+            extra = {"source": df, "predicate": pred if not s.where else pred & F.expr(s.where)}
         elif s.test == "unique":
             failing = Q.unique(df, c[0], s.where)
+            if not s.where:
+                extra = {"source": df, "unique_col": c[0]}
         elif s.test == "unique_combination":
             failing = Q.unique_combination(df, c, s.where)
         elif s.test == "accepted_values":
@@ -105,7 +112,9 @@ def spark_checks(models, service_lines: list[str] | None = None) -> list[Q.Check
             failing = Q.relationships(df, c[0], models(s.to), s.parent_field, s.where)
         else:
             failing = Q.expression_fails(df, s.condition, s.where)
-        out.append(Q.Check(s.name, s.model, s.test, failing, s.severity))
+            pred = F.expr(s.condition)
+            extra = {"source": df, "predicate": pred if not s.where else pred & F.expr(s.where)}
+        out.append(Q.Check(s.name, s.model, s.test, failing, s.severity, **extra))
     return out
 
 
