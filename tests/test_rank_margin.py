@@ -69,3 +69,19 @@ def test_rollup_union_form_equals_join_form(spark):
     a = sorted(tuple(r) for r in _rollup(df, "union").collect())
     b = sorted(tuple(r) for r in _rollup(df, "join").collect())
     assert a == b
+
+
+def test_partitioned_global_rank_equals_sql_rank(spark):
+    rnd = random.Random(11)
+    rows = []
+    for i in range(4000):
+        # partition "hot" holds about a third of the rows; NULL is a partition
+        p = "hot" if i % 3 == 0 else rnd.choice(["a", "b", None])
+        v = None if i % 97 == 0 else float(rnd.randint(0, 300))
+        rows.append((i, p, v))
+    df = spark.createDataFrame(rows, "id long, p string, v double")
+    ours = global_rank(df, "v", "r", buckets=8, partition_by=["p"])
+    ref = df.withColumn("r_ref", F.rank().over(Window.partitionBy("p").orderBy(F.col("v").asc_nulls_last())))
+    j = ours.join(ref.select("id", "r_ref"), "id")
+    assert j.count() == len(rows)
+    assert j.where(F.col("r") != F.col("r_ref")).count() == 0

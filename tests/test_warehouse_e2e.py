@@ -184,7 +184,7 @@ def test_etl_forms(spark, wh):
 
 
 def test_build_all_materializes_and_tests(spark, tmpdir_path):
-    from wardmart.plans.pipeline import TABLES, build_all
+    from wardmart.plans.build import TABLES, build_all
     raw = {"hospital_general_info": hospitals(spark), "cost_report": cost_report(spark),
            "medicare_inpatient": medicare(spark), "zip_cbsa_crosswalk": crosswalk(spark),
            "census_acs": census(spark)}

@@ -46,16 +46,23 @@ def _bucket_of(v: Column, bounds: list) -> Column:
 
 def value_distribution(df: DataFrame, col: str, ascending: bool = True,
                        nulls_last: bool = True, buckets: int | None = None,
-                       stats: dict | None = None) -> DataFrame:
-    """Distinct values of ``col`` with ``cnt`` and ``before`` (rows ordered
-    strictly before the value). NULL is one value, placed last or first.
+                       stats: dict | None = None, partition_by=()) -> DataFrame:
+    """Distinct (partition, value) pairs of ``col`` with ``cnt`` and
+    ``before`` (rows of the same partition ordered strictly before the
+    value). NULL is one value, placed last or first.
 
     One small job reads the distinct values once for the bucket bounds,
-    the number of distinct values and the row total (returned in ``stats``).
+    the number of distinct pairs and the row total (returned in ``stats``).
+    Buckets are value ranges shared by all partitions, so a partition
+    holding a third of all rows is still split over every bucket; the
+    per-(partition, bucket) offsets come from a window over at most
+    ``buckets + 1`` rows per partition.
     """
     v = col_of(col)
+    parts = [col_of(c).alias(f"__p{i}") for i, c in enumerate(partition_by)]
+    pcols = [f"__p{i}" for i in range(len(parts))]
     # read twice (bounds, then the running sums): persisted once
-    counts = keep(df.groupBy(v.alias("__v")).agg(F.count(F.lit(1)).alias("cnt"))
+    counts = keep(df.groupBy(*parts, v.alias("__v")).agg(F.count(F.lit(1)).alias("cnt"))
                   .withColumn("__k", key_expr(F.col("__v"), ascending)))
     buckets = buckets or _default_buckets(df)
     probs = [i / buckets for i in range(1, buckets)] or [0.5]
@@ -71,18 +78,26 @@ def value_distribution(df: DataFrame, col: str, ascending: bool = True,
     counts = counts.withColumn(
         "__b", F.when(F.col("__k").isNull(), F.lit(null_bucket))
         .otherwise(_bucket_of(F.col("__k"), bounds) if bounds else F.lit(0)))
-    within = Window.partitionBy("__b").orderBy(F.col("__k").asc_nulls_last()) \
+    within = Window.partitionBy(*pcols, "__b").orderBy(F.col("__k").asc_nulls_last()) \
         .rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.withColumn("__in", F.coalesce(F.sum("cnt").over(within), F.lit(0)))
-    # one row per bucket (bounded by the bucket count): a single-partition
-    # running sum over them is cheap
-    per_bucket = counts.groupBy("__b").agg(F.sum("cnt").alias("__rows"))
+    # one row per (partition, bucket): at most buckets + 1 rows per partition
+    per_bucket = counts.groupBy(*pcols, "__b").agg(F.sum("cnt").alias("__rows"))
     offsets = per_bucket.withColumn(
         "__off", F.coalesce(F.sum("__rows").over(
-            Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))) \
-        .select("__b", "__off")
-    return counts.join(F.broadcast(offsets), "__b") \
-        .select(F.col("__v").alias(col), "cnt", (F.col("__off") + F.col("__in")).alias("before"))
+            Window.partitionBy(*pcols).orderBy("__b")
+            .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))) \
+        .select(*[F.col(p).alias(f"{p}o") for p in pcols], F.col("__b").alias("__bo"), "__off")
+    if not pcols:
+        # a single partition: one row per bucket, bounded by the bucket count
+        offsets = F.broadcast(offsets)
+    cond = F.col("__b") == F.col("__bo")
+    for p in pcols:          # NULL partition keys form one partition
+        cond = cond & F.col(p).eqNullSafe(F.col(f"{p}o"))
+    out = counts.join(offsets, cond)
+    return out.select(*[F.col(p).alias(c) for p, c in zip(pcols, partition_by)],
+                      F.col("__v").alias(col), "cnt",
+                      (F.col("__off") + F.col("__in")).alias("before"))
 
 
 def key_expr(v: Column, ascending: bool) -> Column:
@@ -91,19 +106,28 @@ def key_expr(v: Column, ascending: bool) -> Column:
 
 def global_rank(df: DataFrame, order_col: str, rank_col: str = "rank", ascending: bool = True,
                 nulls_last: bool = True, buckets: int | None = None,
-                max_broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Add ``rank_col`` equal to SQL ``rank() over (order by order_col)``.
+                max_broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
+                partition_by=()) -> DataFrame:
+    """Add ``rank_col`` equal to SQL ``rank() over ([partition by ...] order
+    by order_col)``.
 
     Ties share a rank and leave gaps, as in SQL. NULLs rank last by default
-    (ascending), first when ``nulls_last=False``. Numeric order columns.
+    (ascending), first when ``nulls_last=False``; NULL partition keys form
+    one partition, as in SQL. Numeric order columns.
     """
     stats: dict = {}
-    dist = value_distribution(df, order_col, ascending, nulls_last, buckets, stats) \
-        .select(F.col(order_col).alias("__dv"), (F.col("before") + 1).cast("int").alias(rank_col))
-    # one row per distinct value: its size is known from the bounds job
+    partition_by = list(partition_by)
+    dist = value_distribution(df, order_col, ascending, nulls_last, buckets, stats, partition_by)
+    dist = dist.select(*[F.col(c).alias(f"__dp{i}") for i, c in enumerate(partition_by)],
+                       F.col(order_col).alias("__dv"),
+                       (F.col("before") + 1).cast("int").alias(rank_col))
+    # one row per distinct (partition, value): its size is known from the bounds job
     if max_broadcast_rows and stats["n_values"] <= max_broadcast_rows:
         dist = F.broadcast(dist)
-    return df.join(dist, col_of(order_col).eqNullSafe(F.col("__dv")), "inner").drop("__dv")
+    cond = col_of(order_col).eqNullSafe(F.col("__dv"))
+    for i, c in enumerate(partition_by):
+        cond = cond & col_of(c).eqNullSafe(F.col(f"__dp{i}"))
+    return df.join(dist, cond, "inner").drop("__dv", *[f"__dp{i}" for i in range(len(partition_by))])
 
 
 def exact_percentiles(df: DataFrame, col: str, probs: list[float], prefix: str = "p",

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import pad_id, parse_date, sentinel_to_null, squash_upper, stable_round, surrogate_key
@@ -25,7 +25,7 @@ from .analog import AnalogRaw, min_volume_for, seed_drg_service_line
 from .dims import dim_date
 from .marts import mart_service_line_margin
 from .oracle import compose, pad, r6, sk, usdate
-from .pipeline import build_all
+from .build import build_all
 from .suite import report_sql
 from .warehouse import Warehouse
 
@@ -599,22 +599,24 @@ def q_exclusion_audit(c: Ctx) -> DataFrame:
 
 @query("drilldown", compose(f"""SELECT g.hospital_key, g.drg_code, g.service_line, g.metro_name,
   {r6('g.margin')} AS margin, g.total_discharges,
-  CAST(row_number() OVER (PARTITION BY g.service_line, g.metro_name
-                          ORDER BY g.margin, g.hospital_key, g.drg_code) AS INTEGER) AS contribution_rank
+  CAST(rank() OVER (PARTITION BY g.service_line, g.metro_name ORDER BY g.margin) AS INTEGER)
+    AS contribution_rank
 FROM mart_reimbursement_gap g
 SEMI JOIN (SELECT service_line, metro_name FROM mart_service_line_margin WHERE global_rank = 1) w
   ON g.service_line = w.service_line AND g.metro_name IS NOT DISTINCT FROM w.metro_name"""))
 def q_drilldown(c: Ctx) -> DataFrame:
-    """Rows behind the worst-ranked group, ordered by their margin."""
+    """Rows behind the worst-ranked group(s), ranked by their margin within
+    the group. The rank is the distributed partitioned rank, so a group
+    holding a third of all fact rows is not sorted in one task."""
     worst = c.wh.mart_service_line_margin.where(F.col("global_rank") == 1) \
         .select(F.col("service_line").alias("__sl"), F.col("metro_name").alias("__mn"))
     g = c.wh.mart_reimbursement_gap
     rows = g.join(worst, (F.col("service_line") == F.col("__sl")) &
                   F.col("metro_name").eqNullSafe(F.col("__mn")), "left_semi")
-    w = Window.partitionBy("service_line", "metro_name").orderBy("margin", "hospital_key", "drg_code")
-    return rounded(rows.select("hospital_key", "drg_code", "service_line", "metro_name", "margin",
-                               "total_discharges",
-                               F.row_number().over(w).alias("contribution_rank")), ["margin"])
+    ranked = global_rank(rows.select("hospital_key", "drg_code", "service_line", "metro_name",
+                                     "margin", "total_discharges"),
+                         "margin", "contribution_rank", partition_by=["service_line", "metro_name"])
+    return rounded(ranked, ["margin"])
 
 
 @query("extreme_gap", compose(f"""SELECT {r6('min(v)')} AS lowest_value,
