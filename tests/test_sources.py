@@ -38,3 +38,23 @@ def test_date_spine_end_exclusive(spark):
     first, last = days.agg({"date_day": "min"}).collect()[0][0], days.agg({"date_day": "max"}).collect()[0][0]
     assert str(first) == "2022-10-01" and str(last) == "2024-09-30"
     assert date_spine(spark, "2024-01-01", "2024-01-01").count() == 0
+
+
+def test_odd_column_names_survive_scan_and_rename(spark, tmpdir_path):
+    from wardmart.operators import clean_in_place, rename_project
+    from wardmart.functions import squash_upper
+    path = os.path.join(tmpdir_path, "cost.csv")
+    with open(path, "w") as f:
+        f.write('Provider CCN,Combined Outpatient + Inpatient Total Charges,'
+                'Number of Interns and Residents (FTE),City/Town,"Weird `tick"\n')
+        f.write("10001,1234.5,2.5, st paul ,x\n")
+    df = scan_csv(spark, path, types={"Combined Outpatient + Inpatient Total Charges": "double",
+                                      "Number of Interns and Residents (FTE)": "double"},
+                  pad_columns={"Provider CCN": 6})
+    out = rename_project(df, [("Provider CCN", "ccn"),
+                              ("Combined Outpatient + Inpatient Total Charges", "total_charges"),
+                              ("Number of Interns and Residents (FTE)", "interns_residents_fte"),
+                              ("Weird `tick", "weird")]).collect()[0]
+    assert (out.ccn, out.total_charges, out.interns_residents_fte, out.weird) == ("010001", 1234.5, 2.5, "x")
+    cleaned = clean_in_place(df, {"City/Town": squash_upper})
+    assert cleaned.columns == df.columns and cleaned.collect()[0]["City/Town"] == "STPAUL"
