@@ -200,3 +200,15 @@ def test_build_all_materializes_and_tests(spark, tmpdir_path):
     assert out["audits"]["dim_date"]["row_count"] == 731
     assert out["report"].count() == 52 and out["tests"] is None
     assert "run=r2" in w2.mart_service_line_margin.inputFiles()[0]
+    # bucketed alike on hospital_key: the join shuffles neither side
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        j = w2.fct_medicare_drg.join(w2.dim_hospital, "hospital_key")
+        assert j.count() == 4
+        plan = j._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")

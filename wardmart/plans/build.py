@@ -25,12 +25,21 @@ TABLES = ["dim_hospital", "dim_drg", "dim_geography", "dim_date", "fct_hospital_
 
 AUDIT_NULLS = {"dim_hospital": ["cbsa_code"], "mart_burden_vs_community": ["metro_name"]}
 
+# hospital-grain tables and the hospital x DRG facts share one bucketing on
+# the hospital key, so joins between them need no shuffle when the hospital
+# dimension is too large to broadcast
+BUCKETED_ON_HOSPITAL = ["dim_hospital", "fct_hospital_finance", "fct_medicare_drg",
+                        "mart_reimbursement_gap", "mart_finance_scorecard"]
+
 
 def build_all(spark: SparkSession, wh: Warehouse, root: str | None = None,
               run_id: str | None = None, service_lines: list[str] | None = None,
-              enforce: bool = True) -> dict:
+              enforce: bool = True, buckets: int | None = None) -> dict:
     """Write every table model, then run the 52 declared tests on them.
 
+    Hospital-keyed tables are bucketed on ``hospital_key`` into ``buckets``
+    (default: the session's shuffle partition count).
+
     Returns ``{"run_id", "root", "audits": {model: metrics}, "report":
     DataFrame, "tests": rows}``; the report DataFrame reads only the written
     tables. With ``enforce`` the (one row per test) report is collected and
@@ -38,10 +47,12 @@ def build_all(spark: SparkSession, wh: Warehouse, root: str | None = None,
     """
     root = root or warehouse_root(spark)
     run_id = run_id or new_run_id()
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     audits = {}
     for name in TABLES:
+        bucket = (n, ["hospital_key"]) if name in BUCKETED_ON_HOSPITAL else None
         df, metrics = materialize(spark, wh.model(name), root, name, run_id,
-                                  audit_nulls=AUDIT_NULLS.get(name, ()))
+                                  audit_nulls=AUDIT_NULLS.get(name, ()), bucket_by=bucket)
         # later models read the written table (cached_property slot)
         wh.__dict__[name] = df
         audits[name] = metrics

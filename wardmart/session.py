@@ -34,8 +34,11 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     if master:
         builder = builder.master(master)
         if master.startswith("local"):
-            # local mode: the driver JVM is the only executor
+            # local mode: the driver JVM is the only executor; the default
+            # catalog folder goes to a scratch folder, not the working dir
             conf["spark.driver.memory"] = os.environ.get("WARDMART_DRIVER_MEMORY", "16g")
+            conf["spark.sql.warehouse.dir"] = tempfile.mkdtemp(prefix="wardmart-catalog-",
+                                                               dir="/tmp")
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})

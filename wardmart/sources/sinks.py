@@ -30,20 +30,37 @@ def new_run_id() -> str:
 
 
 def materialize(spark: SparkSession, df: DataFrame, root: str, name: str, run_id: str,
-                partition_by=None, audit_nulls=()) -> tuple[DataFrame, dict]:
+                partition_by=None, audit_nulls=(),
+                bucket_by: tuple[int, list[str]] | None = None) -> tuple[DataFrame, dict]:
     """Table materialisation (S8/S10) with a same-pass audit.
 
     Writes ``<root>/<name>/run=<run_id>`` and returns a fresh scan of it,
     which also cuts the lineage for downstream models. Row count and the
     NULL counts of ``audit_nulls`` are gathered by an Observation during the
     write -- no second pass over the data.
+
+    ``bucket_by=(n, cols)`` writes the table hash-bucketed on ``cols`` into
+    ``n`` buckets (registered as an external table of a per-run database
+    whose catalog folder lives under ``root``). Tables bucketed alike on a
+    join key are joined without shuffling either side.
     """
     path = os.path.join(root, name, f"run={run_id}")
     obs = Observation(f"audit_{name}_{run_id}")
     metrics = [F.count(F.lit(1)).alias("row_count")]
     metrics += [F.count_if(F.col(quote(c)).isNull()).alias(f"null_{c}") for c in audit_nulls]
-    write_table(df.observe(obs, *metrics), path, partition_by)
-    return spark.read.parquet(path), dict(obs.get)
+    observed = df.observe(obs, *metrics)
+    if not bucket_by:
+        write_table(observed, path, partition_by)
+        return spark.read.parquet(path), dict(obs.get)
+    n, cols = bucket_by
+    db = f"wardmart_{run_id}"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}` "
+              f"LOCATION '{os.path.join(root, '_catalog', db)}'")
+    w = observed.write.mode("overwrite").format("parquet").option("path", path)
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.bucketBy(n, *cols).saveAsTable(f"`{db}`.`{name}`")
+    return spark.table(f"`{db}`.`{name}`"), dict(obs.get)
 
 
 def as_view(df: DataFrame, name: str) -> DataFrame:
