@@ -2,7 +2,7 @@
 
 from . import analysis, quality
 from .dedup import dominant_match, latest_per_key
-from .joins import (DEFAULT_BROADCAST_ROWS, has_at_most, keyed_join, left_join_nullsafe_split,
+from .joins import (DEFAULT_BROADCAST_ROWS, has_at_most, have_at_most, keyed_join, left_join_nullsafe_split,
                     lookup_join, orphans, select_keys)
 from .margin import derive_margin, rollup_ranked, usable_ratio
 from .project import clean_in_place, rename_project
@@ -10,7 +10,7 @@ from .rank import exact_percentiles, global_rank, value_distribution
 
 __all__ = [
     "analysis", "quality", "dominant_match", "latest_per_key", "DEFAULT_BROADCAST_ROWS",
-    "has_at_most", "keyed_join", "left_join_nullsafe_split", "lookup_join", "orphans",
+    "has_at_most", "have_at_most", "keyed_join", "left_join_nullsafe_split", "lookup_join", "orphans",
     "select_keys", "derive_margin", "rollup_ranked", "usable_ratio", "clean_in_place",
     "rename_project", "exact_percentiles", "global_rank", "value_distribution",
 ]

@@ -30,6 +30,17 @@ def has_at_most(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
+def have_at_most(frames: dict[str, DataFrame], max_rows: int) -> dict[str, bool]:
+    """``has_at_most`` for several frames in one job (one bounded count
+    branch per frame, unioned)."""
+    parts = [df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"))
+             .select(F.lit(name).alias("name"), "n") for name, df in frames.items()]
+    union = parts[0]
+    for p in parts[1:]:
+        union = union.unionByName(p)
+    return {r["name"]: r["n"] <= max_rows for r in union.collect()}
+
+
 def lookup_join(left: DataFrame, right: DataFrame, on, how: str = "inner",
                 small: bool | None = None,
                 max_broadcast_rows: int | None = None) -> DataFrame:

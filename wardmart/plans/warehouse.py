@@ -14,7 +14,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame
 
-from ..operators import DEFAULT_BROADCAST_ROWS, has_at_most
+from ..operators import DEFAULT_BROADCAST_ROWS, have_at_most
 from ..operators.cache import keep
 from ..sources import date_spine
 from . import dims, facts, marts, staging
@@ -50,15 +50,18 @@ class Warehouse:
     def _small(self, name: str) -> bool | None:
         """Whether dimension ``name`` is proven within the broadcast bound.
 
-        Checked once per dimension (a bounded count over the persisted
-        dimension, whose pass also fills its cache). Tables derived from a
-        dimension at its grain or coarser inherit the answer. Without a
-        bound (``max_broadcast_rows=None``) Spark and AQE decide.
+        The three dimensions are checked together, once, in one job (a
+        bounded count per persisted dimension, whose pass also fills its
+        cache). Tables derived from a dimension at its grain or coarser
+        inherit the answer. Without a bound (``max_broadcast_rows=None``)
+        Spark and AQE decide.
         """
         if not self.bcast:
             return None
         if name not in self._bounds:
-            self._bounds[name] = has_at_most(self.model(name), self.bcast)
+            dims = {d: self.model(d) for d in self.DIMENSIONS if d not in self._bounds}
+            dims[name] = self.model(name)
+            self._bounds.update(have_at_most(dims, self.bcast))
         return self._bounds[name]
 
     # staging -----------------------------------------------------------
@@ -141,6 +144,8 @@ class Warehouse:
         return marts.mart_burden_vs_community(self.mart_finance_scorecard, self.dim_geography,
                                               self._small("dim_geography"))
 
+    DIMENSIONS = ["dim_hospital", "dim_drg", "dim_geography"]
+
     MODELS = [
         "stg_hospital_general_info", "stg_cost_report", "stg_census_acs", "stg_zip_cbsa_crosswalk",
         "stg_medicare_inpatient", "dim_hospital", "dim_drg", "dim_geography", "dim_date",
