@@ -58,3 +58,16 @@ def test_odd_column_names_survive_scan_and_rename(spark, tmpdir_path):
     assert (out.ccn, out.total_charges, out.interns_residents_fte, out.weird) == ("010001", 1234.5, 2.5, "x")
     cleaned = clean_in_place(df, {"City/Town": squash_upper})
     assert cleaned.columns == df.columns and cleaned.collect()[0]["City/Town"] == "STPAUL"
+
+
+def test_integer_columns_accept_integral_decimal_text(spark, tmpdir_path):
+    import pytest
+    path = os.path.join(tmpdir_path, "m.csv")
+    with open(path, "w") as f:
+        f.write("ccn,n\n1,40.0\n2,\n3,7\n")
+    df = scan_csv(spark, path, types={"n": "bigint"})
+    assert [r.n for r in df.collect()] == [40, None, 7]
+    with open(path, "w") as f:
+        f.write("ccn,n\n1,40.5\n")
+    with pytest.raises(Exception):
+        scan_csv(spark, path, types={"n": "bigint"}).collect()

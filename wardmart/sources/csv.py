@@ -18,6 +18,9 @@ PANDAS_NA = [
 ]
 
 
+INTEGRAL = {"tinyint", "smallint", "int", "integer", "bigint", "long", "short", "byte"}
+
+
 def normalize_na(df: DataFrame, na_values=PANDAS_NA) -> DataFrame:
     """Turn NA tokens into NULL in every string column, keeping column order."""
     tokens = list(na_values)
@@ -54,7 +57,14 @@ def scan_csv(spark: SparkSession, path: str, types: dict[str, str] | None = None
         c = F.col(quote(name))
         if name in pads:
             c = pad_id(c, pads[name])
-        if types.get(name, "string") != "string":
-            c = c.cast(types[name])
+        target = types.get(name, "string")
+        if target in INTEGRAL:
+            # exports that typed a count column as float (it had blanks)
+            # write '40.0': accept integral decimal text, still reject
+            # fractions and junk through the strict cast
+            c = F.when(c.rlike(r"^\s*[-+]?\d+\.0*\s*$"),
+                       F.regexp_replace(c, r"\.0*\s*$", "")).otherwise(c).cast(target)
+        elif target != "string":
+            c = c.cast(target)
         cols.append(c.alias(name))
     return df.select(cols)
