@@ -67,3 +67,15 @@ def test_lookup_join_broadcasts_only_when_bounded(spark):
     assert small.count() == 100 and big.count() == 100
     plan = small._jdf.queryExecution().executedPlan().toString()
     assert "Broadcast" in plan
+
+
+def test_left_join_nullsafe_split_keeps_null_keys_out_of_the_shuffle(spark):
+    from wardmart.operators import left_join_nullsafe_split
+    left = spark.createDataFrame([("h1", "A"), ("h2", None), ("h3", "B"), ("h4", None)],
+                                 "ccn string, cbsa string")
+    right = spark.createDataFrame([("A", "Metro A")], "code string, metro string")
+    out = left_join_nullsafe_split(left, right, "cbsa", "code", ["metro"])
+    got = {r.ccn: r.metro for r in out.collect()}
+    assert got == {"h1": "Metro A", "h2": None, "h3": None, "h4": None}
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" in plan
