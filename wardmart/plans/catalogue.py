@@ -635,6 +635,13 @@ def q_top_ratio(c: Ctx) -> DataFrame:
     return A.top_n(s, [F.col("charity_pct_of_revenue").desc_nulls_last(), F.col("hospital_key")], 10)
 
 
+@query("top_uninsured_metros", compose("""SELECT cbsa_code, metro_name, uninsured_rate
+FROM dim_geography ORDER BY uninsured_rate DESC NULLS LAST, cbsa_code LIMIT 5"""))
+def q_top_uninsured_metros(c: Ctx) -> DataFrame:
+    g = c.wh.dim_geography.select("cbsa_code", "metro_name", "uninsured_rate")
+    return A.top_n(g, [F.col("uninsured_rate").desc_nulls_last(), F.col("cbsa_code")], 5)
+
+
 # ---- wiring -------------------------------------------------------------------------------------
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(fn):
