@@ -85,3 +85,26 @@ def test_partitioned_global_rank_equals_sql_rank(spark):
     j = ours.join(ref.select("id", "r_ref"), "id")
     assert j.count() == len(rows)
     assert j.where(F.col("r") != F.col("r_ref")).count() == 0
+
+
+def test_global_rank_with_many_buckets_uses_binary_search(spark):
+    rnd = random.Random(5)
+    vals = [rnd.random() * 1000 for _ in range(5000)] + [42.0] * 2000
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "id long, v double")
+    ours = global_rank(df, "v", "r", buckets=1000)
+    ref = df.withColumn("r_ref", F.rank().over(Window.orderBy("v")))
+    j = ours.join(ref.select("id", "r_ref"), "id")
+    assert j.count() == len(vals) and j.where(F.col("r") != F.col("r_ref")).count() == 0
+
+
+def test_bucket_of_tree_and_search_agree(spark):
+    from wardmart.operators.rank import _bucket_of
+    bounds = sorted({float(b) for b in random.Random(9).sample(range(10000), 300)})
+    probe = [float(x) for x in range(-5, 10010, 7)] + bounds
+    df = spark.createDataFrame([(x,) for x in probe], "v double")
+    got = [r[0] for r in df.select(_bucket_of(F.col("v"), bounds)).collect()]
+    import bisect
+    assert got == [bisect.bisect_left(bounds, x) for x in probe]
+    small = bounds[:40]
+    got_small = [r[0] for r in df.select(_bucket_of(F.col("v"), small)).collect()]
+    assert got_small == [bisect.bisect_left(small, x) for x in probe]

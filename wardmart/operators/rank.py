@@ -25,7 +25,11 @@ from ..functions.text import col_of
 from .cache import keep
 from .joins import DEFAULT_BROADCAST_ROWS
 
-MAX_BUCKETS = 512
+MAX_BUCKETS = 8192
+# up to this many bounds the bucket is found by a comparison tree, which
+# compiles into generated code; beyond it by a binary search over one
+# literal array (the tree would grow with the bound count)
+TREE_BOUNDS = 63
 
 
 def _default_buckets(df: DataFrame) -> int:
@@ -34,14 +38,28 @@ def _default_buckets(df: DataFrame) -> int:
 
 
 def _bucket_of(v: Column, bounds: list) -> Column:
-    """Index of the first bound >= v (binary decision tree, log2 depth)."""
-    def build(lo: int, hi: int) -> Column:
-        # answer lies in [lo, hi]; bounds[lo:hi] are candidates
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(v <= F.lit(bounds[mid]), build(lo, mid)).otherwise(build(mid + 1, hi))
-    return build(0, len(bounds))
+    """Index of the first bound >= v (``len(bounds)`` when above all),
+    in log2(len(bounds)) comparisons per row."""
+    if len(bounds) <= TREE_BOUNDS:
+        def build(lo: int, hi: int) -> Column:
+            # answer lies in [lo, hi]
+            if lo == hi:
+                return F.lit(lo)
+            mid = (lo + hi) // 2
+            return F.when(v <= F.lit(bounds[mid]), build(lo, mid)).otherwise(build(mid + 1, hi))
+        return build(0, len(bounds))
+    arr = F.array(*[F.lit(b) for b in bounds])
+    steps = max(1, len(bounds).bit_length())
+    init = F.struct(F.lit(0).alias("lo"), F.lit(len(bounds)).alias("hi"))
+
+    def step(acc: Column, _i: Column) -> Column:
+        lo, hi = acc["lo"], acc["hi"]
+        mid = F.floor((lo + hi) / 2).cast("int")
+        go_left = v <= F.element_at(arr, mid + 1)
+        moved = F.when(go_left, F.struct(lo.alias("lo"), mid.alias("hi"))) \
+            .otherwise(F.struct((mid + 1).alias("lo"), hi.alias("hi")))
+        return F.when(lo < hi, moved).otherwise(acc)
+    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), init, step)["lo"]
 
 
 def value_distribution(df: DataFrame, col: str, ascending: bool = True,
