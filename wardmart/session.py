@@ -22,6 +22,34 @@ DEFAULT_CONF = {
 }
 
 
+def cluster_conf(total_cores: int, input_bytes: float | None = None,
+                 partition_bytes: int = 256 << 20) -> dict:
+    """Settings for a large cluster, sized so every task's input fits in
+    executor memory and spills gracefully.
+
+    * shuffle partitions: enough that a shuffle of ``input_bytes`` lands at
+      about ``partition_bytes`` per partition, and at least 3 waves of the
+      cluster's cores; AQE then coalesces small shuffles and splits skewed
+      partitions (a key holding a third of the rows is cut into pieces of
+      the advisory size);
+    * file splits of ``partition_bytes``;
+    * broadcast by size only up to 64 MB (dimension checks use row bounds).
+    """
+    parts = 3 * total_cores
+    if input_bytes:
+        parts = max(parts, int(input_bytes // partition_bytes) + 1)
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+    }
+
+
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "wardmart", extra: dict | None = None) -> SparkSession:
     """Create (or reuse) a session with the warehouse defaults.
