@@ -28,16 +28,18 @@ def cluster_conf(total_cores: int, input_bytes: float | None = None,
     executor memory and spills gracefully.
 
     * shuffle partitions: enough that a shuffle of ``input_bytes`` lands at
-      about ``partition_bytes`` per partition, and at least 3 waves of the
-      cluster's cores; AQE then coalesces small shuffles and splits skewed
-      partitions (a key holding a third of the rows is cut into pieces of
-      the advisory size);
+      about ``partition_bytes`` per partition, between 3 and 10 waves of the
+      cluster's cores (a shuffle is far smaller than the input once columns
+      are pruned and aggregates combined map-side, and more partitions only
+      multiply shuffle blocks); AQE then coalesces small shuffles and splits
+      skewed partitions (a key holding a third of the rows is cut into
+      pieces of the advisory size);
     * file splits of ``partition_bytes``;
     * broadcast by size only up to 64 MB (dimension checks use row bounds).
     """
     parts = 3 * total_cores
     if input_bytes:
-        parts = max(parts, int(input_bytes // partition_bytes) + 1)
+        parts = max(parts, min(int(input_bytes // partition_bytes) + 1, 10 * total_cores))
     return {
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
