@@ -19,7 +19,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 HEADLINE = [
     "service_line_margin", "reimbursement_gap", "dim_hospital", "latest_per_key",
     "dominant_match", "finance_scorecard", "burden_vs_community", "global_rank",
-    "volume_percentiles", "dq_report", "exclusion_audit", "source_mismatch",
+    "volume_percentiles", "dq_report", "exclusion_audit", "source_mismatch", "top_worst",
 ]
 
 
