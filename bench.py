@@ -40,10 +40,9 @@ def main() -> None:
     times = {}
     # the raw load (stand-in raw tables written once, like the warehouse's
     # load step) is timed on its own; the queries then read the loaded tables
-    from wardmart.plans.analog import AnalogRaw
-    from wardmart.sources import TableSet
+    from wardmart.plans.analog import AnalogRaw, tables
     t0 = time.time()
-    AnalogRaw(TableSet(spark, sf_dir), load=True).load_all()
+    AnalogRaw(tables(spark, sf_dir), load=True).load_all()
     times["load_raw"] = round(time.time() - t0, 3)
     for name in names:
         t0 = time.time()

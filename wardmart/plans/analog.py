@@ -45,6 +45,15 @@ NON_METRO = "99999"
 CHARGE_MARKUP = 1.8
 
 
+# the fact-scale test tables: spread when a file is one unsplittable block
+FACT_TABLES = ("lineitem", "orders")
+
+
+def tables(spark, sf_dir: str) -> TableSet:
+    """The driver's tables, with the fact-scale ones spread if unsplit."""
+    return TableSet(spark, sf_dir, spread=FACT_TABLES)
+
+
 def scale_factor(sf_dir: str, default: float = 0.01) -> float:
     m = re.search(r"sf([0-9]*\.?[0-9]+)", sf_dir or "")
     return float(m.group(1)) if m else default

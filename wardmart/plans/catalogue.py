@@ -19,9 +19,9 @@ from ..functions.text import col_of
 from ..operators import analysis as A
 from ..operators import exact_percentiles, global_rank, quality as Q
 from ..operators.cache import release_all
-from ..sources import TableSet, audit_counts, date_spine_between
+from ..sources import audit_counts, date_spine_between
 from . import etl, oracle
-from .analog import AnalogRaw, min_volume_for, seed_drg_service_line
+from .analog import AnalogRaw, min_volume_for, seed_drg_service_line, tables
 from .dims import dim_date
 from .marts import mart_service_line_margin
 from .oracle import compose, pad, r6, sk, usdate
@@ -43,7 +43,7 @@ class Ctx:
     def __init__(self, spark: SparkSession, sf_dir: str, persist_marts: bool = False):
         release_all()          # blocks persisted by the previous query's build
         self.spark = spark
-        self.t = TableSet(spark, sf_dir)
+        self.t = tables(spark, sf_dir)
         self.raw = AnalogRaw(self.t, load=True)
         self.min_volume = min_volume_for(sf_dir)
         self.wh = Warehouse(self.raw, seed_drg_service_line(self.t),

@@ -32,17 +32,18 @@ class TableSet:
     exchanges when one plan reads a table in several branches.
     """
 
-    # tables large enough to be worth spreading when stored unsplit
-    SPREAD = ("lineitem", "orders")
-
-    def __init__(self, spark: SparkSession, root: str, min_partitions: int | None = None):
+    def __init__(self, spark: SparkSession, root: str, spread=(),
+                 min_partitions: int | None = None):
+        """``spread`` names the tables large enough to be worth spreading
+        when stored as one unsplittable block."""
         self.spark = spark
         self.root = root
+        self.spread = set(spread)
         self.min_partitions = min_partitions or spark.sparkContext.defaultParallelism
         self._cache: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._cache:
-            mp = self.min_partitions if name in self.SPREAD else None
+            mp = self.min_partitions if name in self.spread else None
             self._cache[name] = read_table(self.spark, self.root, name, mp)
         return self._cache[name]
