@@ -408,8 +408,8 @@ def q_dq_accepted(c: Ctx) -> DataFrame:
 LEFT JOIN (SELECT DISTINCT facility_id AS pk FROM stg_hospital_general_info) p ON m.ccn = p.pk
 WHERE m.ccn IS NOT NULL AND p.pk IS NULL"""))
 def q_dq_relationships(c: Ctx) -> DataFrame:
-    """Medicare rows whose CCN has no acute-care hospital row (the facts'
-    inner joins drop exactly these)."""
+    """Medicare rows whose CCN has no acute-care hospital row (the fact's
+    inner join to the hospital dimension drops exactly these)."""
     return Q.relationships(c.wh.stg_medicare_inpatient, "ccn", c.wh.stg_hospital_general_info,
                            "facility_id")
 
