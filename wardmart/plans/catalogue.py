@@ -170,6 +170,12 @@ def q_stage_measures(c: Ctx) -> DataFrame:
     return rounded(c.wh.stg_medicare_inpatient, _AVGS)
 
 
+@query("stg_crosswalk", compose("SELECT * FROM stg_zip_cbsa_crosswalk"))
+def q_stg_crosswalk(c: Ctx) -> DataFrame:
+    """ZIP to CBSA bridge without the non-metro code (many rows per ZIP)."""
+    return c.wh.stg_zip_cbsa_crosswalk
+
+
 @query("latest_per_key", compose("SELECT * FROM stg_cost_report"))
 def q_latest_per_key(c: Ctx) -> DataFrame:
     return c.wh.stg_cost_report
