@@ -31,7 +31,8 @@ def new_run_id() -> str:
 
 def materialize(spark: SparkSession, df: DataFrame, root: str, name: str, run_id: str,
                 partition_by=None, audit_nulls=(),
-                bucket_by: tuple[int, list[str]] | None = None) -> tuple[DataFrame, dict]:
+                bucket_by: tuple[int, list[str]] | None = None,
+                database: str = "wardmart_runs") -> tuple[DataFrame, dict]:
     """Table materialisation (S8/S10) with a same-pass audit.
 
     Writes ``<root>/<name>/run=<run_id>`` and returns a fresh scan of it,
@@ -40,9 +41,10 @@ def materialize(spark: SparkSession, df: DataFrame, root: str, name: str, run_id
     write -- no second pass over the data.
 
     ``bucket_by=(n, cols)`` writes the table hash-bucketed on ``cols`` into
-    ``n`` buckets (registered as an external table of a per-run database
-    whose catalog folder lives under ``root``). Tables bucketed alike on a
-    join key are joined without shuffling either side.
+    ``n`` buckets, registered as external table ``<name>__<run_id>`` of one
+    catalog database (``database``; its folder lives under ``root``) so the
+    bucket layout is known to readers. Tables bucketed alike on a join key
+    are joined without shuffling either side.
     """
     path = os.path.join(root, name, f"run={run_id}")
     obs = Observation(f"audit_{name}_{run_id}")
@@ -53,14 +55,14 @@ def materialize(spark: SparkSession, df: DataFrame, root: str, name: str, run_id
         write_table(observed, path, partition_by)
         return spark.read.parquet(path), dict(obs.get)
     n, cols = bucket_by
-    db = f"wardmart_{run_id}"
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}` "
-              f"LOCATION '{os.path.join(root, '_catalog', db)}'")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` "
+              f"LOCATION '{os.path.join(root, '_catalog', database)}'")
+    table = f"`{database}`.`{name}__{run_id}`"
     w = observed.write.mode("overwrite").format("parquet").option("path", path)
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.bucketBy(n, *cols).saveAsTable(f"`{db}`.`{name}`")
-    return spark.table(f"`{db}`.`{name}`"), dict(obs.get)
+    w.bucketBy(n, *cols).saveAsTable(table)
+    return spark.table(table), dict(obs.get)
 
 
 def as_view(df: DataFrame, name: str) -> DataFrame:
