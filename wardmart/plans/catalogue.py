@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..functions import pad_id, parse_date, sentinel_to_null, squash_upper, stable_round, surrogate_key
 from ..functions.text import col_of
 from ..operators import analysis as A
-from ..operators import exact_percentiles, global_rank, quality as Q
+from ..operators import exact_percentiles, global_rank, lookup_join, quality as Q
 from ..operators.cache import release_all
 from ..sources import audit_counts, date_spine_between
 from . import etl, oracle
@@ -565,9 +565,9 @@ FROM (SELECT ownership_type, count(*) AS rows_all, count_if(cost_to_charge_ratio
 def q_null_lift(c: Ctx) -> DataFrame:
     """Over-representation of each ownership type among hospitals with an
     unknown cost-to-charge ratio."""
-    f = c.wh.fct_hospital_finance.join(
-        c.wh.dim_hospital.select(F.col("hospital_key").alias("__hk"), "ownership_type"),
-        F.col("hospital_key") == F.col("__hk"))
+    f = lookup_join(c.wh.fct_hospital_finance,
+                    c.wh.dim_hospital.select(F.col("hospital_key").alias("__hk"), "ownership_type"),
+                    F.col("hospital_key") == F.col("__hk"), "inner", c.wh._small("dim_hospital"))
     return A.null_lift(f, "cost_to_charge_ratio", "ownership_type")
 
 
@@ -595,7 +595,9 @@ def q_exclusion_audit(c: Ctx) -> DataFrame:
     margin mart."""
     f = c.wh.fct_hospital_finance.select(F.col("hospital_key").alias("__hk"),
                                          "cost_to_charge_ratio", "is_ccr_outlier")
-    j = c.wh.fct_medicare_drg.join(f, F.col("hospital_key") == F.col("__hk"), "left")
+    # finance is hospital-grain: the hospital dimension's bound carries over
+    j = lookup_join(c.wh.fct_medicare_drg, f, F.col("hospital_key") == F.col("__hk"), "left",
+                    c.wh._small("dim_hospital"))
     reason = (F.when(F.col("__hk").isNull(), "no_cost_report")
               .when(F.col("cost_to_charge_ratio").isNull(), "null_ccr")
               .when(F.col("is_ccr_outlier"), "ccr_outlier").otherwise("usable"))
