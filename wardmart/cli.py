@@ -88,16 +88,20 @@ def main(argv: list[str] | None = None) -> int:
     e.add_argument("--out")
     for sp in (b, e):
         sp.add_argument("--master", help="e.g. local[8]; omit under spark-submit")
+        sp.add_argument("--cost-tie-break", action="append", default=[],
+                        help="raw cost-report column deciding between filings with the same "
+                             "fiscal-year end (highest wins); repeatable")
     args = p.parse_args(argv)
     from .session import build_session
     spark = build_session(args.master)
     if args.cmd == "build":
-        res = run_build(spark, args.raw, args.seed, args.out, min_volume=args.min_volume)
+        res = run_build(spark, args.raw, args.seed, args.out, tuple(args.cost_tie_break),
+                        min_volume=args.min_volume)
         print(json.dumps({"run_id": res["run_id"], "root": res["root"], "audits": res["audits"]}))
         for row in res["tests"]:
             print(json.dumps(row))
         return 1 if any(r["status"] == "fail" for r in res["tests"]) else 0
-    res = run_etl(spark, args.raw, args.out)
+    res = run_etl(spark, args.raw, args.out, tuple(args.cost_tie_break))
     print(json.dumps(res))
     return 0
 
