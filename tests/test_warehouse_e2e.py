@@ -276,3 +276,16 @@ def test_cli_runs_build_and_etl_from_csv(spark, tmpdir_path):
     assert a["cost_report_dedup"]["row_count"] == 4
     assert (a["hospital_geo"]["row_count"], a["hospital_geo"]["null_cbsa_code"]) == (3, 1)
     assert a["census_uninsured_clean"]["row_count"] == 2
+
+
+def test_marts_without_geography_broadcast_split_null_keys(spark, wh):
+    """Same marts when the geography is not proven small: NULL CBSA rows
+    take the split path and the results do not change."""
+    raw = wh.raw
+    w = Warehouse(raw, seed(spark), cost_tie_break=("Report Record Number",), min_volume=30,
+                  max_broadcast_rows=1)
+    assert w._small("dim_geography") is False
+    for model in ["mart_reimbursement_gap", "mart_finance_scorecard", "mart_burden_vs_community"]:
+        a = sorted(tuple(r) for r in w.model(model).collect())
+        b = sorted(tuple(r) for r in wh.model(model).collect())
+        assert a == b, model

@@ -6,7 +6,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import guarded_ratio
-from ..operators import derive_margin, lookup_join, rollup_ranked, usable_ratio
+from ..operators import (derive_margin, left_join_nullsafe_split, lookup_join, rollup_ranked,
+                         usable_ratio)
+
+def _geo_left(df: DataFrame, geo: DataFrame, take: list[str], geo_small: bool | None) -> DataFrame:
+    """Left-join CBSA attributes on ``cbsa_code``. A proven-small geography
+    is broadcast; otherwise hospitals without a CBSA (NULL key, never a
+    match) bypass the shuffle instead of piling into one task."""
+    if geo_small:
+        g = geo.select(F.col("cbsa_code").alias("__cbsa"), *take)
+        return lookup_join(df, g, F.col("cbsa_code") == F.col("__cbsa"), "left", True) \
+            .drop("__cbsa")
+    return left_join_nullsafe_split(df, geo, "cbsa_code", "cbsa_code", take)
+
 
 GAP_COLUMNS = [
     "hospital_key", "drg_key", "hospital_name", "cbsa_code", "metro_name", "drg_code",
@@ -31,11 +43,9 @@ def mart_reimbursement_gap(drg_fact: DataFrame, finance: DataFrame, dim_hospital
     fin = usable_ratio(finance, "cost_to_charge_ratio", "is_ccr_outlier") \
         .select("hospital_key", "cost_to_charge_ratio")
     hosp = dim_hospital.select(F.col("hospital_key").alias("__hk"), "hospital_name", "cbsa_code")
-    geo = dim_geography.select(F.col("cbsa_code").alias("__cbsa"), "metro_name")
     per_hospital = lookup_join(fin, hosp, F.col("hospital_key") == F.col("__hk"), "inner",
                                hospital_small).drop("__hk")
-    per_hospital = lookup_join(per_hospital, geo, F.col("cbsa_code") == F.col("__cbsa"), "left",
-                               geo_small).drop("__cbsa")
+    per_hospital = _geo_left(per_hospital, dim_geography, ["metro_name"], geo_small)
     drg = dim_drg.select(F.col("drg_key").alias("__dk"), "drg_code", "drg_description",
                          "service_line")
     # per_hospital has at most one row per dimension hospital: the hospital
@@ -65,9 +75,8 @@ def mart_finance_scorecard(finance: DataFrame, dim_hospital: DataFrame, dim_geog
     patient revenue (NULL when revenue is not positive)."""
     h = dim_hospital.select(F.col("hospital_key").alias("__hk"), "hospital_name", "cbsa_code",
                             "hospital_ownership")
-    g = dim_geography.select(F.col("cbsa_code").alias("__cbsa"), "metro_name")
     j = lookup_join(finance, h, F.col("hospital_key") == F.col("__hk"), "inner", hospital_small)
-    j = lookup_join(j, g, F.col("cbsa_code") == F.col("__cbsa"), "left", geo_small)
+    j = _geo_left(j, dim_geography, ["metro_name"], geo_small)
     return j.select(
         "hospital_key", "hospital_name", "cbsa_code", "metro_name", "hospital_ownership",
         "net_patient_revenue", "charity_care_cost", "uncompensated_care_cost", "net_income",
@@ -80,9 +89,8 @@ def mart_burden_vs_community(scorecard: DataFrame, dim_geography: DataFrame,
                              geo_small: bool | None = None) -> DataFrame:
     """Scorecard rows with their community's income and uninsured rate;
     hospitals outside any CBSA are kept with NULL community columns."""
-    g = dim_geography.select(F.col("cbsa_code").alias("__cbsa"), "median_household_income",
-                             "uninsured_rate")
-    j = lookup_join(scorecard, g, F.col("cbsa_code") == F.col("__cbsa"), "left", geo_small)
+    j = _geo_left(scorecard, dim_geography, ["median_household_income", "uninsured_rate"],
+                  geo_small)
     return j.select("hospital_key", "hospital_name", "metro_name", "hospital_ownership",
                     "net_patient_revenue", "charity_pct_of_revenue", "uncompensated_pct_of_revenue",
                     "median_household_income", "uninsured_rate")
