@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .exact import exact_dedup
 from .hilbert import hilbert_shards
+from .minhash import near_duplicates
 
 SHARDS = 40
 
@@ -17,6 +18,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the component of its near copies (3 words, 0.85)."""
+    return near_duplicates(table(spark, sf_dir, "documents"), shingle_words=3, percent=85)
+
+
 def op8_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents in 40 shards along a Hilbert curve over language, source and length."""
     docs = table(spark, sf_dir, "documents")
@@ -31,6 +37,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op8_hilbert_shards": op8_hilbert_shards,
     "op10_exact_dedup": op10_exact_dedup,
 }

@@ -56,3 +56,8 @@ def text_of(col: str) -> Column:
 def fold(col: str, buckets: int) -> Column:
     """crc32 of the id written as text, modulo ``buckets`` (null id: null)."""
     return F.crc32(F.col(col).cast("string").cast("binary")) % buckets
+
+
+def bound_batches(spark: SparkSession, size: str = "8m") -> None:
+    """Arrow batches sent to Python hold at most ``size`` (one row at least)."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
