@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .bpe import bpe_encode
 from .exact import exact_dedup
 from .hilbert import hilbert_shards
 from .minhash import near_duplicates
@@ -14,6 +15,12 @@ from .minhash import near_duplicates
 SHARDS = 40
 
 
+def tokenizer_path() -> str:
+    """The installed public word-level BPE vocabulary."""
+    import public_tokenizers
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -23,6 +30,15 @@ def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle_words=3, percent=85)
 
 
+def op4_bpe_round_trip(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
+    """Every document's token ids and the text decoded from them, as digests."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = bpe_encode(docs, path or tokenizer_path(), decoded_col="decoded")
+    return coded.select("doc_id", F.expr("octet_length(ids) div 4").cast("long").alias("n_tokens"),
+                        F.sha2("ids", 256).alias("ids_sha256"),
+                        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
 def op8_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents in 40 shards along a Hilbert curve over language, source and length."""
     docs = table(spark, sf_dir, "documents")
@@ -38,6 +54,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
+    "op4_bpe_round_trip": op4_bpe_round_trip,
     "op8_hilbert_shards": op8_hilbert_shards,
     "op10_exact_dedup": op10_exact_dedup,
 }
