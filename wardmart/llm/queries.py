@@ -11,6 +11,7 @@ from .bpe import bpe_encode
 from .exact import exact_dedup
 from .hilbert import hilbert_shards
 from .minhash import near_duplicates
+from .toxicity import toxicity
 
 SHARDS = 40
 
@@ -25,6 +26,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_toxicity_nb_ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the component of its near copies (3 words, 0.85)."""
     return near_duplicates(table(spark, sf_dir, "documents"), shingle_words=3, percent=85)
@@ -53,6 +59,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity_nb_ngrams": op1_toxicity_nb_ngrams,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op4_bpe_round_trip": op4_bpe_round_trip,
     "op8_hilbert_shards": op8_hilbert_shards,
