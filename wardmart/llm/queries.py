@@ -11,6 +11,7 @@ from .bpe import bpe_encode
 from .exact import exact_dedup
 from .hilbert import hilbert_shards
 from .minhash import near_duplicates
+from .secret_scan import secret_spans, span_text
 from .toxicity import toxicity
 
 SHARDS = 40
@@ -31,6 +32,15 @@ def op1_toxicity_nb_ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's secrets with their ownership class over the corpus:
+    the owner of a document is its source, the repository its source and language."""
+    return secret_spans(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_assign", "n_access", "n_hex", "base_sha256", span_text(F.col("spans")).alias("spans"),
+        F.expr("size(filter(values, v -> v.class = 'copied'))").cast("long").alias("n_copied"),
+        F.expr("size(filter(values, v -> v.class = 'live'))").cast("long").alias("n_live"))
+
+
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the component of its near copies (3 words, 0.85)."""
     return near_duplicates(table(spark, sf_dir, "documents"), shingle_words=3, percent=85)
@@ -60,6 +70,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity_nb_ngrams": op1_toxicity_nb_ngrams,
+    "op2_secret_ownership": op2_secret_ownership,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op4_bpe_round_trip": op4_bpe_round_trip,
     "op8_hilbert_shards": op8_hilbert_shards,
