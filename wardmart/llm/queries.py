@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import bpe_encode
+from .decontaminate import contamination
 from .exact import exact_dedup
 from .hilbert import hilbert_shards
 from .minhash import near_duplicates
@@ -55,6 +56,11 @@ def op4_bpe_round_trip(spark: SparkSession, sf_dir: str, path: str | None = None
                         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op6_benchmark_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every pair of a document and a benchmark item that it holds."""
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents in 40 shards along a Hilbert curve over language, source and length."""
     docs = table(spark, sf_dir, "documents")
@@ -73,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_secret_ownership": op2_secret_ownership,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op4_bpe_round_trip": op4_bpe_round_trip,
+    "op6_benchmark_windows": op6_benchmark_windows,
     "op8_hilbert_shards": op8_hilbert_shards,
     "op10_exact_dedup": op10_exact_dedup,
 }
