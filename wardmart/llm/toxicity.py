@@ -13,14 +13,16 @@ from __future__ import annotations
 
 import math
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .shared import bound_batches, cut, fold
@@ -156,28 +158,31 @@ def train_model(docs: DataFrame, labels: DataFrame, train, id_col: str = "doc_id
     return Model(weights.astype(np.float32), float(fitted.intercept))
 
 
-def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, score) of every row: the probability of label 1 from the whole
-    text. Null and empty texts and texts without letters get the score of a
-    text without features. Other columns are not read."""
-    bound_batches(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast((model.weights, model.intercept))
-    id_type = dict(docs.dtypes)[id_col]
+def scorer(spark: SparkSession, model: Model):
+    """A column function: the probability of label 1 of a whole text. Null
+    and empty texts and texts without letters get the score of a text
+    without features."""
+    bound_batches(spark)
+    shared = spark.sparkContext.broadcast((model.weights, model.intercept))
 
-    def scan(batches):
+    @F.pandas_udf("double")
+    def probability(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         weights, intercept = shared.value
         has = weights != 0
-        for batch in batches:
-            logits = np.full(batch.num_rows, intercept)
-            for k, text in enumerate(batch.column(1).to_pylist()):
+        for texts in parts:
+            logits = np.full(len(texts), intercept)
+            for k, text in enumerate(texts):
                 if text:
                     b = buckets(text)
                     logits[k] += weights[np.unique(b[has[b]])].sum(dtype=np.float64)
-            p = 1 / (1 + np.exp(-np.clip(logits, -500, 500)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(p, pa.float64())], ["id", "score"])
+            yield pd.Series(1 / (1 + np.exp(-np.clip(logits, -500, 500))))
+
+    return probability
+
 
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("t")) \
-        .mapInArrow(scan, f"id {id_type}, score double").withColumnRenamed("id", id_col)
+def training_fold(id_: Column) -> Column:
+    """Ids whose labels may be learned from."""
+    return F.crc32(id_.cast("string").cast("binary")) % 3 != 1
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -187,10 +192,10 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     The model learns from labels whose id lies outside the held-out fold
     (crc32 of the id mod 3 = 1) only; rows with a null id are never learned
     from, and held out is false for them. Repeated rows score alike; an
-    empty table gives no rows.
+    empty table gives no rows. Other columns are not read.
     """
-    model = train_model(docs, labels, lambda i: F.crc32(i.cast("string").cast("binary")) % 3 != 1,
-                        id_col, text_col, label_col)
-    return score(docs, model, id_col, text_col).select(
+    model = train_model(docs, labels, training_fold, id_col, text_col, label_col)
+    scored = docs.select(F.col(id_col), scorer(docs.sparkSession, model)(F.col(text_col).cast("string")).alias("score"))
+    return scored.select(
         id_col, F.coalesce(fold(id_col, 3) == 1, F.lit(False)).alias("held_out"), "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"))
