@@ -1,27 +1,84 @@
-"""Corpus cleaning pipeline: each stage works on what the one before kept."""
+"""Corpus cleaning pipeline: each stage works on all that the one before kept.
+
+Stages drop documents by id: rows that repeat a doc_id stay or go together,
+and stay if one of them does. Rows with a null doc_id are judged by their
+text alone where a stage scores texts and stay in the others. Null and
+empty texts are clean, equal to each other, near nothing and hold no item.
+An empty table passes through as an empty table. Columns beyond those the
+stages read pass through unchanged.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wardmart.llm.bpe import bpe_encode
+from wardmart.llm.decontaminate import contamination
 from wardmart.llm.exact import exact_dedup
-from wardmart.llm.shared import cut
+from wardmart.llm.minhash import near_duplicates
+from wardmart.llm.queries import table, tokenizer_path
+from wardmart.llm.shared import cut, small
+from wardmart.llm.toxicity import THRESHOLD, scorer, train_model, training_fold
+
+# Ids to drop are broadcast up to this count (8 bytes each); beyond it the
+# documents are shuffled on their ids.
+BROADCAST_IDS = 500_000
+
+
+def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose doc_id is in ``ids``."""
+    return docs.join(small(cut(ids.select("doc_id"), "dropped"), BROADCAST_IDS), "doc_id", "left_anti") \
+        .select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def unkept(verdicts: DataFrame) -> DataFrame:
+    """The ids none of whose rows is kept."""
+    return verdicts.groupBy("doc_id").agg(F.max("kept").alias("kept")).where("not kept")
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier scores below the threshold. It learns
+    from the labels outside the held-out fold."""
+    model = train_model(docs, table(spark, sf_dir, "labels"), training_fold)
+    return docs.where(scorer(spark, model)(F.col("text")) < THRESHOLD)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts stays."""
-    kept = exact_dedup(docs).where("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi")
+    """One document of each group of texts equal but for white space."""
+    return without(docs, unkept(exact_dedup(docs)))
+
+
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group linked by 0.8 of their five-word shingles."""
+    return without(docs, unkept(near_duplicates(docs, shingle_words=5, percent=80)))
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    found = contamination(docs, table(spark, sf_dir, "benchmark"))
+    return without(docs, found.select("doc_id").distinct())
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents with their token ids instead of the text, and digests
+    of the ids and of the text decoded from them."""
+    coded = bpe_encode(docs, tokenizer_path(), decoded_col="decoded")
+    return coded.withColumns({
+        "n_tokens": F.expr("octet_length(ids) div 4").cast("long"),
+        "ids_sha256": F.sha2("ids", 256),
+        "decoded_sha256": F.sha2(F.col("decoded").cast("binary"), 256)}).drop("decoded")
 
 
-STAGES = [("exact dedup", exact)]
+STAGES = [("toxicity", toxicity), ("exact dedup", exact), ("minhash near dedup", near),
+          ("benchmark decontamination", decontaminate), ("bpe", encode)]
 
+# The classifier, the MinHash groups and the tokenizer are not SQL.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = cut(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return docs
