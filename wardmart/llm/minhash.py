@@ -28,7 +28,7 @@ SEED = 20_240_607
 MAX_BANDS = 32
 MISS = 1e-5              # chance that a pair at the threshold shares no band
 BROADCAST_IDS = 500_000  # 8-byte ids
-STAR_ROUNDS = 3
+BLOCK = 500_000          # set elements that a comparing task holds of either side
 
 
 def banding(threshold: float, miss: float = MISS, max_bands: int = MAX_BANDS) -> tuple[int, int]:
@@ -133,14 +133,11 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         .select("a", "b", "sa", "sb").mapInArrow(check, f"a {id_type}, b {id_type}")
 
 
-def _labelled(members: DataFrame, labels: DataFrame | None) -> DataFrame:
+def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
     """Members of the buckets in which more than one component is left,
     with their component and the bucket's largest one."""
-    if labels is None:
-        m = members.withColumn("c", F.col("id"))
-    else:
-        m = members.join(small(labels, BROADCAST_IDS), "id", "left") \
-            .select("bucket", "id", "n", F.coalesce("component", "id").alias("c"))
+    m = members.join(small(labels, BROADCAST_IDS), "id", "left") \
+        .select("bucket", "id", "n", F.coalesce("component", "id").alias("c"))
     sizes = m.groupBy("bucket", "c").agg(F.count(F.lit(1)).alias("k"))
     live = cut(sizes.groupBy("bucket").agg(
         F.count(F.lit(1)).alias("parts"),
@@ -154,32 +151,107 @@ def _comparable(percent: int):
     return F.expr(f"100 * least(n, other_n) >= {percent} * greatest(n, other_n)")
 
 
-def _star_pairs(open_: DataFrame, turn: int, percent: int) -> DataFrame:
-    """For every component of a bucket but the main one, one of its members
-    with one member of the main component; per member the partner with the
-    most common buckets. Other members are tried in other turns."""
-    pick = F.struct(F.xxhash64("id", F.lit(turn)) if turn else F.lit(0), F.col("id"), F.col("n"))
-    reps = cut(open_.groupBy("bucket", "c", "main").agg(F.min(pick).alias("r"))
-               .select("bucket", "c", "main", F.col("r.id").alias("id"), F.col("r.n").alias("n")),
-               "minhash-reps")
-    hubs = reps.where("c = main").select("bucket", F.col("id").alias("other"), F.col("n").alias("other_n"))
-    shared = reps.where("c <> main").join(hubs, "bucket").where(_comparable(percent)) \
+def _star_pairs(open_: DataFrame, percent: int) -> DataFrame:
+    """For every member of a bucket but the smallest id, one pair with the
+    smallest id of one of its buckets, the one it shares most buckets with."""
+    hubs = cut(open_.groupBy("bucket").agg(F.min(F.struct("id", "n")).alias("r"))
+               .select("bucket", F.col("r.id").alias("other"), F.col("r.n").alias("other_n")), "minhash-hubs")
+    shared = open_.join(hubs, "bucket").where((F.col("id") != F.col("other")) & _comparable(percent)) \
         .groupBy("id", "other").agg(F.count(F.lit(1)).alias("k"))
     best = shared.groupBy("id").agg(F.min(F.struct((-F.col("k")).alias("k"), F.col("other")))["other"]
                                     .alias("other"))
-    return best.select(F.greatest("id", "other").alias("a"), F.least("id", "other").alias("b")) \
-        .where("a > b").distinct()
-
+    return best.select(F.col("id").alias("a"), F.col("other").alias("b"))
+
+
+def _open_links(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Every link between members of a bucket that lie in different components.
+
+    Sets are compared through their differences to the bucket's hub B, a
+    member of the largest component. With e the size of a set's symmetric
+    difference to B, n its size, s the size of the intersection of two
+    differences and t = (1 - j) / (1 + j), sets x and y are linked if and
+    only if e_x + e_y - 2s <= t (n_x + n_y). Where x is not linked to B this
+    needs s > 0. The members outside of the largest component that are not
+    linked to B are compared with all members of the bucket block by block
+    inside tasks, by the elements their differences share; only links leave
+    a task, and a block holds about ``BLOCK`` elements however large the
+    bucket is.
+    """
+    hubs = cut(open_.where("c = main").groupBy("bucket").agg(F.min("id").alias("hub")), "minhash-hubs")
+    near = cut(open_.join(small(hubs, BROADCAST_IDS), "bucket").groupBy("id", "hub")
+               .agg(F.first("c").alias("c"), F.max(F.col("c") != F.col("main")).alias("outside")), "minhash-near")
+    id_type = dict(open_.dtypes)["id"]
 
-def _open_pairs(open_: DataFrame, percent: int) -> DataFrame:
-    """All pairs from different components of a bucket."""
-    rest = open_.where("c <> main").select("bucket", "id", "n", "c")
-    other = open_.select("bucket", F.col("id").alias("other"), F.col("n").alias("other_n"),
-                         F.col("c").alias("other_c"), "main")
-    return rest.join(other, "bucket") \
-        .where((F.col("c") != F.col("other_c")) & _comparable(percent)
-               & ((F.col("other_c") == F.col("main")) | (F.col("id") > F.col("other")))) \
-        .select(F.greatest("id", "other").alias("a"), F.least("id", "other").alias("b")).distinct()
+    def differences(batches):
+        for batch in batches:
+            linked, sizes, diffs = [], [], []
+            salts = batch.column(4).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+            for x, hub, salt in zip(batch.column(5), batch.column(6), salts):
+                x, hub = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(hub.as_buffer(), np.uint64)
+                diff = np.setxor1d(x, hub, assume_unique=True)
+                both = (len(x) + len(hub) - len(diff)) // 2
+                linked.append(100 * both >= percent * (len(x) + len(hub) - both))
+                sizes.append(len(x))
+                # elements of different hubs never meet
+                diffs.append(mix(diff + salt).tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:4], pa.array(linked, pa.bool_()), pa.array(sizes, pa.int64()),
+                 pa.array(diffs, pa.binary())], ["id", "hub", "c", "outside", "linked", "n", "diff"])
+
+    left = sets.select("id", F.col("shingles").alias("sa"))
+    right = sets.select(F.col("id").alias("hub"), F.col("shingles").alias("sb"))
+    apart = cut(near.join(left, "id").join(right, "hub")
+                .select("id", "hub", "c", "outside", F.xxhash64("hub").alias("salt"), "sa", "sb")
+                .mapInArrow(differences, f"id {id_type}, hub {id_type}, c {id_type}, outside boolean, "
+                                         "linked boolean, n long, diff binary"), "minhash-apart")
+    to_hub = apart.where("linked and id <> hub").select(F.col("id").alias("a"), F.col("hub").alias("b"))
+
+    weight, probing = F.octet_length("diff") / 8 + 16, F.expr("outside and not linked")
+    blocks = cut(apart.groupBy("hub").agg(
+        F.ceil(F.sum(weight) / BLOCK).alias("ys"),
+        F.ceil(F.sum(F.when(probing, weight)) / BLOCK).alias("xs")).where("xs > 0"), "minhash-blocks")
+    groups = max(1, (apart.agg(F.sum(weight).alias("w")).first().w or 0) // BLOCK)
+    rows = apart.join(small(blocks, BROADCAST_IDS), "hub")
+
+    def dealt(df: DataFrame, probe: bool) -> DataFrame:
+        own, other = ("xs", "ys") if probe else ("ys", "xs")
+        mine = F.pmod(F.xxhash64("id"), F.col(own))
+        df = df.withColumn("o", F.explode(F.sequence(F.lit(0).cast("long"), F.col(other) - 1)))
+        key = F.xxhash64("hub", mine, "o") if probe else F.xxhash64("hub", "o", mine)
+        # hubs of one block share groups of about one block
+        return df.withColumn("task", F.when(F.col("ys") > 1, key).otherwise(F.pmod(F.xxhash64("hub"), F.lit(int(groups))))) \
+            .select("task", F.lit(probe).alias("probe"), "id", "c", "n", "diff")
+
+    def compare(table: pa.Table) -> pa.Table:
+        ids, comps = table.column("id").combine_chunks(), table.column("c").combine_chunks()
+        comp = comps.dictionary_encode().indices.to_numpy(zero_copy_only=False)
+        probe = table.column("probe").to_numpy()
+        n = table.column("n").to_numpy()
+        diffs = [np.frombuffer(d, np.uint64) for d in table.column("diff").to_pylist()]
+        e = np.fromiter(map(len, diffs), np.int64, len(diffs))
+        ys = np.flatnonzero(~probe)
+        flat = np.concatenate([diffs[y] for y in ys]) if len(ys) else np.empty(0, np.uint64)
+        order = np.argsort(flat, kind="stable")
+        flat, owner = flat[order], np.repeat(ys, e[ys])[order]
+        a, b = [], []
+        for x in np.flatnonzero(probe):
+            lo, hi = np.searchsorted(flat, diffs[x], "left"), np.searchsorted(flat, diffs[x], "right")
+            hit = hi > lo
+            if not hit.any():
+                continue
+            found = np.concatenate([owner[i:j] for i, j in zip(lo[hit], hi[hit])])
+            shared = np.bincount(found, minlength=len(diffs))
+            y = np.flatnonzero(shared)
+            apart_by = e[x] + e[y] - 2 * shared[y]
+            near_enough = (100 + percent) * apart_by <= (100 - percent) * (n[x] + n[y])
+            y = y[near_enough & (comp[y] != comp[x])]
+            a += [x] * len(y)
+            b += y.tolist()
+        return pa.table({"a": ids.take(pa.array(a, pa.int64())), "b": ids.take(pa.array(b, pa.int64()))})
+
+    found = dealt(rows.where(probing), True).unionByName(dealt(rows, False)).groupBy("task") \
+        .applyInArrow(compare, f"a {id_type}, b {id_type}")
+    return to_hub.unionByName(cut(found, "minhash-found"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -196,11 +268,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     read. An empty table gives no rows.
 
     Shingles are compared by 64-bit hashes. A pair at the threshold shares
-    no band with a chance below ``MISS``. In a bucket, each component is
-    first tried against the largest one through single representatives, for
-    a few rounds, which joins groups of copies of any size with a linear
-    number of pairs; then every pair whose members still lie in different
-    components is verified, so no link is lost to a cap.
+    no band with a chance below ``MISS``. Each document is first compared
+    with one smallest member of its buckets, which joins most of a group of
+    copies of any size with a linear number of pairs; then the links between
+    the components left in a bucket are found through the members'
+    differences to its hub (``_open_links``), so no link is lost to a cap.
     """
     bound_batches(docs.sparkSession)
     rows, bands = banding(percent / 100)
@@ -235,18 +307,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def _search(docs: DataFrame, members: DataFrame, id_col: str, text_col: str, size: int,
             percent: int) -> DataFrame:
     """Verified links (a, b) between class representatives."""
-    links = members.select(F.col("id").alias("a"), F.col("id").alias("b")).where("false")
     if members.isEmpty():
-        return links
+        return members.select(F.col("id").alias("a"), F.col("id").alias("b"))
     sets = cut(_sets(docs, members.select("id").distinct(), id_col, text_col, size), "minhash-sets")
-    labels = None
-    for turn in range(STAR_ROUNDS + 1):
-        open_ = _labelled(members, labels)
-        if open_.isEmpty():
-            break
-        last = turn == STAR_ROUNDS
-        pairs = _open_pairs(open_, percent) if last else _star_pairs(open_, turn, percent)
-        links = links.unionByName(cut(_verified(cut(pairs, "minhash-pairs"), sets, percent), "minhash-links"))
-        if not last:
-            labels = cut(components(links), "minhash-labels")
-    return links
+    star = _star_pairs(members, percent)
+    links = cut(_verified(cut(star, "minhash-star"), sets, percent), "minhash-links")
+    open_ = _labelled(members, cut(components(links), "minhash-labels"))
+    if open_.isEmpty():
+        return links
+    return links.unionByName(_open_links(open_, sets, percent))
