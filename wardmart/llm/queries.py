@@ -12,7 +12,9 @@ from .decontaminate import contamination
 from .exact import exact_dedup
 from .hilbert import hilbert_shards
 from .minhash import near_duplicates
+from .packing import pack_documents, packed_rows
 from .secret_scan import secret_spans, span_text
+from .shared import cut
 from .toxicity import toxicity
 
 SHARDS = 40
@@ -61,6 +63,14 @@ def op6_benchmark_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_packed_tokens(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
+    """Every packed row of the documents' token ids, as written and read again."""
+    packed = cut(pack_documents(table(spark, sf_dir, "documents"), path or tokenizer_path()), "packed")
+    return packed_rows(packed).select(
+        "partition", "block", "row", "n_tokens", F.col("ids").alias("doc_ids"), "starts", "lengths", "cu_seqlens",
+        F.sha2("input_ids", 256).alias("ids_sha256"), F.sha2("position_ids", 256).alias("positions_sha256"))
+
+
 def op8_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents in 40 shards along a Hilbert curve over language, source and length."""
     docs = table(spark, sf_dir, "documents")
@@ -80,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op4_bpe_round_trip": op4_bpe_round_trip,
     "op6_benchmark_windows": op6_benchmark_windows,
+    "op7_packed_tokens": op7_packed_tokens,
     "op8_hilbert_shards": op8_hilbert_shards,
     "op10_exact_dedup": op10_exact_dedup,
 }
