@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import bound_batches, cut
+from .shared import bound_batches, cut, ship
 from .words import WordHashes, mix, shingle_hashes
 
 SHINGLE = 5
@@ -188,10 +188,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     found = None
     for block in range(blocks):
         rows = items.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == block).collect()
-        shared = spark.sparkContext.broadcast(Items([(r.item, r.t) for r in rows]))
+        shared = ship(spark, Items([(r.item, r.t) for r in rows]))
 
         def scan(batches, shared=shared):
-            table, memo = shared.value, WordHashes()
+            table, memo = shared(), WordHashes()
             for batch in batches:
                 at, out = [], []
                 for k, text in enumerate(batch.column(1).to_pylist()):

@@ -11,10 +11,11 @@ from .bpe import bpe_encode
 from .decontaminate import contamination
 from .exact import exact_dedup
 from .hilbert import hilbert_shards
+from .katz import katz_scores
 from .minhash import near_duplicates
 from .packing import pack_documents, packed_rows
 from .secret_scan import secret_spans, span_text
-from .shared import cut
+from .shared import cut, fold
 from .toxicity import toxicity
 
 SHARDS = 40
@@ -79,6 +80,12 @@ def op8_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"), "curve_index")
 
 
+def op9_katz_bigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's log10 probability by a Katz bigram model of the training fold."""
+    held = fold("doc_id", 7) == 2
+    return katz_scores(table(spark, sf_dir, "documents"), ~held, F.coalesce(held, F.lit(False)))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the row kept for its white-space-free text."""
     return exact_dedup(table(spark, sf_dir, "documents"))
@@ -92,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_benchmark_windows": op6_benchmark_windows,
     "op7_packed_tokens": op7_packed_tokens,
     "op8_hilbert_shards": op8_hilbert_shards,
+    "op9_katz_bigrams": op9_katz_bigrams,
     "op10_exact_dedup": op10_exact_dedup,
 }
 

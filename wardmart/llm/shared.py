@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import pickle
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,3 +63,10 @@ def fold(col: str, buckets: int) -> Column:
 def bound_batches(spark: SparkSession, size: str = "8m") -> None:
     """Arrow batches sent to Python hold at most ``size`` (one row at least)."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
+
+
+def ship(spark: SparkSession, value):
+    """Broadcast ``value``; a task calls the result to have it. Classes go
+    by value, like functions."""
+    held = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    return lambda: pickle.loads(held.value)
