@@ -16,6 +16,7 @@ from .minhash import near_duplicates
 from .packing import pack_documents, packed_rows
 from .secret_scan import secret_spans, span_text
 from .shared import cut, fold
+from .suffixes import repeated_passages
 from .toxicity import toxicity
 
 SHARDS = 40
@@ -59,6 +60,11 @@ def op4_bpe_round_trip(spark: SparkSession, sf_dir: str, path: str | None = None
                         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op5_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every passage of 50 words or more that stands in two places."""
+    return repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op6_benchmark_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every pair of a document and a benchmark item that it holds."""
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -96,6 +102,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_secret_ownership": op2_secret_ownership,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op4_bpe_round_trip": op4_bpe_round_trip,
+    "op5_repeated_passages": op5_repeated_passages,
     "op6_benchmark_windows": op6_benchmark_windows,
     "op7_packed_tokens": op7_packed_tokens,
     "op8_hilbert_shards": op8_hilbert_shards,
