@@ -11,7 +11,6 @@ Layers (each a set of lazy DataFrame operators):
 * ``plans``      the warehouse models (staging, dims, facts, marts, the ETL
   forms, the declared data-test suite) and the query catalogue that runs
   them over the driver's TPC-H-style tables
-* ``streaming``  intentionally empty: the modelled warehouse is batch only
 """
 
 __all__ = ["functions", "sources", "operators", "plans"]

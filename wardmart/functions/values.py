@@ -59,12 +59,15 @@ def known_and_different(a, b) -> Column:
 
 def stable_round(c, digits: int = 6) -> Column:
     """Round half up to ``digits`` decimals as plain IEEE arithmetic,
-    ``floor(x * 10^d + 0.5) / 10^d``, and fold -0.0 into 0.0.
+    ``floor(x * 10^d + 0.5) / 10^d``, and fold -0.0 into 0.0. NULL and NaN
+    stay, and so does a value too large to have that many decimals in a
+    double.
 
     Unlike an engine's decimal ``round`` this is the same bit-for-bit
-    computation everywhere, so results built from identical inputs never
-    split on an exact half (money values here are often exact decimals).
+    computation everywhere. It serves comparisons; stored results keep
+    their full values.
     """
     scale = float(10 ** digits)
     x = col_of(c).cast("double")
-    return F.floor(x * F.lit(scale) + F.lit(0.5)).cast("double") / F.lit(scale) + F.lit(0.0)
+    rounded = F.floor(x * F.lit(scale) + F.lit(0.5)).cast("double") / F.lit(scale) + F.lit(0.0)
+    return F.when(F.abs(x) < F.lit(2.0 ** 53 / scale), rounded).otherwise(x)

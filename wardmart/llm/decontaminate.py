@@ -11,7 +11,7 @@ similarity of their shingles.
 
 from __future__ import annotations
 
-from collections import defaultdict
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -50,14 +50,16 @@ class Items:
     """Shingles, weights and the block index of a block of items."""
 
     def __init__(self, rows: list[tuple]):
-        memo = WordHashes()
+        memo = WordHashes(limit=1 << 40)
         self.ids, self.hashes = [], []
         for item, text in rows:
             words = plain_words(text)
             if words:
                 self.ids.append(item)
                 self.hashes.append(memo.of(words))
+        self.vocabulary = dict(memo)
         self.length = np.array([len(h) for h in self.hashes], np.int64)
+        self.sizes = np.unique(np.minimum(self.length, SHINGLE)).tolist()
         shingles = [shingle_hashes(h, SHINGLE) for h in self.hashes]
         all_, df = np.unique(np.concatenate([np.unique(s) for s in shingles]), return_counts=True) \
             if shingles else (np.empty(0, np.uint64), np.empty(0))
@@ -69,14 +71,13 @@ class Items:
         self.profile = [self._profile(s) for s in shingles]
         self.prints = np.array([fingerprints(s, self.weights(s), np.zeros(1, np.int64), len(s))[0]
                                 for s in shingles], np.uint64)
-        # block tables: the items by the value of each block
-        self.tables = []
-        for b in range(BLOCKS):
-            values, at = np.unique(self.block(self.prints, b), return_inverse=True)
-            members = defaultdict(list)
-            for i, v in enumerate(at):
-                members[v].append(i)
-            self.tables.append((values, [np.array(members[v]) for v in range(len(values))]))
+        # block tables of the items of each length: a window meets only
+        # items of its own length
+        self.groups = {}
+        for length in np.unique(self.length).tolist():
+            items = np.flatnonzero(self.length == length)
+            tables = [np.unique(self.block(self.prints[items], b), return_inverse=True) for b in range(BLOCKS)]
+            self.groups[length] = items, tables
 
     @staticmethod
     def block(prints: np.ndarray, b: int) -> np.ndarray:
@@ -101,21 +102,24 @@ class Items:
     def _profile(self, shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return np.unique(shingles, return_counts=True)
 
-    def near(self, fingerprint: np.uint64) -> np.ndarray:
-        """Items within ``RADIUS`` bits, by the block tables."""
-        candidates = []
-        for b, (values, members) in enumerate(self.tables):
-            own = self.block(np.array([fingerprint]), b)
-            for v in np.flatnonzero(np.bitwise_count(values ^ own) <= RADIUS // BLOCKS):
-                candidates.append(members[v])
-        if not candidates:
-            return np.empty(0, np.int64)
-        items = np.unique(np.concatenate(candidates))
-        return items[np.bitwise_count(self.prints[items] ^ fingerprint) <= RADIUS]
+    def near(self, prints: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+        """(window, item) of all fingerprints within ``RADIUS`` bits, found
+        through the block tables."""
+        items, tables = self.groups[length]
+        candidate = np.zeros((len(prints), len(items)), bool)
+        for b, (values, value_of) in enumerate(tables):
+            apart = np.bitwise_count(self.block(prints, b)[:, None] ^ values[None, :])
+            candidate |= (apart <= RADIUS // BLOCKS)[:, value_of]
+        window, item = np.nonzero(candidate)
+        item = items[item]
+        near = np.bitwise_count(prints[window] ^ self.prints[item]) <= RADIUS
+        return window[near], item[near]
 
     def similarity(self, window: np.ndarray, item: int) -> float:
         """Weighted Jaccard similarity of shingle multisets."""
         (a, ca), (b, cb) = self._profile(window), self.profile[item]
+        if not (b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a).any():
+            return 0.0
         both = np.union1d(a, b)
         x, y = np.zeros(len(both)), np.zeros(len(both))
         x[np.searchsorted(both, a)] = ca
@@ -123,11 +127,17 @@ class Items:
         w = self.weights(both)
         return float((np.minimum(x, y) * w).sum() / (np.maximum(x, y) * w).sum())
 
+    def may_match(self, words: list[bytes]) -> bool:
+        """Whether a text holds an item's shingle; without one no window has
+        any similarity. Only the items' own words are hashed for it."""
+        hashes = np.fromiter(map(self.vocabulary.get, words, repeat(0)), np.uint64, len(words))
+        return any(self.found(shingle_hashes(hashes, size)).any() for size in self.sizes if size <= len(words))
+
     def matches(self, hashes: np.ndarray) -> list[tuple[int, int, int, float]]:
         """(item, start word, words, similarity): each item's best window."""
         best: dict[int, tuple[float, int, int]] = {}
         cache = {}
-        for length in np.unique(self.length).tolist():
+        for length in self.groups:
             words = min(length, len(hashes))
             size = min(SHINGLE, length)
             if words < size:
@@ -151,13 +161,11 @@ class Items:
             starts = starts[share >= SIMILARITY - 1e-9]
             if not len(starts):
                 continue
-            for s, p in zip(starts, fingerprints(part, w, starts, width)):
-                for item in self.near(p):
-                    if self.length[item] != length:
-                        continue
-                    sim = self.similarity(part[s:s + width], item)
-                    if sim >= SIMILARITY - 1e-12 and (item not in best or sim > best[item][0]):
-                        best[item] = (sim, lo + int(s), words)
+            for k, item in zip(*self.near(fingerprints(part, w, starts, width), length)):
+                s = int(starts[k])
+                sim = self.similarity(part[s:s + width], item)
+                if sim >= SIMILARITY - 1e-12 and (item not in best or sim > best[item][0]):
+                    best[item] = (sim, lo + s, words)
         return [(i, s, n, sim) for i, (sim, s, n) in sorted(best.items())]
 
 
@@ -196,7 +204,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                 at, out = [], []
                 for k, text in enumerate(batch.column(1).to_pylist()):
                     words = plain_words(text)
-                    if words and table.ids:
+                    if table.ids and words and table.may_match(words):
                         got = table.matches(memo.of(words))
                         at += [k] * len(got)
                         out += got

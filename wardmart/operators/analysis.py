@@ -6,33 +6,38 @@ are small, but nothing is collected: they come back as DataFrames.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import col_of
 from ..functions.values import stable_round
 
 
-def pair_corr(df: DataFrame, x: str, y: str, digits: int = 6) -> DataFrame:
+def _shown(c: Column, digits: int | None) -> Column:
+    """The full value; rounded only where a caller asks for digits."""
+    return c if digits is None else stable_round(c, digits)
+
+
+def pair_corr(df: DataFrame, x: str, y: str, digits: int | None = None) -> DataFrame:
     """Pearson correlation over rows where both values are known, and n."""
     both = col_of(x).isNotNull() & col_of(y).isNotNull()
-    return df.agg(stable_round(F.corr(col_of(x), col_of(y)), digits).alias("correlation"),
+    return df.agg(_shown(F.corr(col_of(x), col_of(y)), digits).alias("correlation"),
                   F.count_if(both).alias("n_pairs"))
 
 
 def share_where(df: DataFrame, cond: Column, name: str, where: Column | None = None,
-                digits: int = 6) -> DataFrame:
+                digits: int | None = None) -> DataFrame:
     """Count of rows meeting ``cond``, the row total and the share."""
     d = df if where is None else df.where(where)
     hit = F.count_if(cond)
     total = F.count(F.lit(1))
     return d.agg(hit.alias(f"{name}_rows"), total.alias("total_rows"),
-                 stable_round(F.when(total > 0, hit / total), digits).alias(f"{name}_share"))
+                 _shown(F.when(total > 0, hit / total), digits).alias(f"{name}_share"))
 
 
-def weighted_total(df: DataFrame, a: str, b: str, name: str, digits: int = 2) -> DataFrame:
+def weighted_total(df: DataFrame, a: str, b: str, name: str, digits: int | None = None) -> DataFrame:
     """sum(a x b) over all rows."""
-    return df.agg(stable_round(F.sum(col_of(a) * col_of(b)), digits).alias(name))
+    return df.agg(_shown(F.sum(col_of(a) * col_of(b)), digits).alias(name))
 
 
 def distinct_count(df: DataFrame, col: str, name: str, approx: bool = False,
@@ -43,79 +48,78 @@ def distinct_count(df: DataFrame, col: str, name: str, approx: bool = False,
     return d.agg(agg.alias(name))
 
 
-def spread(df: DataFrame, group: str, col: str, digits: int = 6) -> DataFrame:
+def spread(df: DataFrame, group: str, col: str, digits: int | None = None) -> DataFrame:
     """Per group: number of rows, min, max, range and sample stddev."""
     c = col_of(col)
     return df.groupBy(col_of(group)).agg(
         F.count(F.lit(1)).alias("n_groups"),
-        stable_round(F.min(c), digits).alias("min_value"),
-        stable_round(F.max(c), digits).alias("max_value"),
-        stable_round(F.max(c) - F.min(c), digits).alias("value_range"),
-        stable_round(F.stddev_samp(c), digits).alias("stddev_value"))
+        _shown(F.min(c), digits).alias("min_value"),
+        _shown(F.max(c), digits).alias("max_value"),
+        _shown(F.max(c) - F.min(c), digits).alias("value_range"),
+        _shown(F.stddev_samp(c), digits).alias("stddev_value"))
 
 
 def mismatch_rates(left: DataFrame, right: DataFrame, key: str,
-                   pairs: dict[str, tuple[str, str]], digits: int = 6) -> DataFrame:
+                   pairs: dict[str, tuple[str, str]], digits: int | None = None) -> DataFrame:
     """Join two sources on ``key``; per attribute pair, the share of joined
     rows whose values differ (NULL vs value counts as different)."""
     j = left.join(right, key, "inner")
     aggs = [F.count(F.lit(1)).alias("matched_keys")]
     for name, (a, b) in pairs.items():
-        aggs.append(stable_round(F.avg((~col_of(a).eqNullSafe(col_of(b))).cast("int")),
+        aggs.append(_shown(F.avg((~col_of(a).eqNullSafe(col_of(b))).cast("int")),
                                  digits).alias(f"{name}_mismatch_rate"))
     return j.agg(*aggs)
 
 
-def known_rate(df: DataFrame, flag: str, digits: int = 6) -> DataFrame:
+def known_rate(df: DataFrame, flag: str, digits: int | None = None) -> DataFrame:
     """Among rows where the three-valued ``flag`` is known: true count, known
     count and rate."""
     f = col_of(flag)
     known = F.count_if(f.isNotNull())
     hit = F.count_if(f)
     return df.agg(hit.alias("flagged"), known.alias("known"),
-                  stable_round(F.when(known > 0, hit / known), digits).alias("flag_rate"))
+                  _shown(F.when(known > 0, hit / known), digits).alias("flag_rate"))
 
 
-def null_lift(df: DataFrame, target: str, category: str, digits: int = 6) -> DataFrame:
+def null_lift(df: DataFrame, target: str, category: str, digits: int | None = None) -> DataFrame:
     """Per category: rows, rows with NULL ``target``, category share among
     NULL rows vs among all rows, and their ratio (lift).
 
-    The grouped result has one row per category value; the totals come
-    from an unpartitioned window over those few rows.
+    The totals are one aggregate over the groups, joined on as one row.
     """
     g = df.groupBy(col_of(category)).agg(
         F.count(F.lit(1)).alias("rows_all"),
         F.count_if(col_of(target).isNull()).alias("rows_null"))
-    everything = Window.partitionBy()
-    total_null, total_all = F.sum("rows_null").over(everything), F.sum("rows_all").over(everything)
-    share_null = F.when(total_null > 0, F.col("rows_null") / total_null)
-    share_all = F.when(total_all > 0, F.col("rows_all") / total_all)
-    return g.select("*", stable_round(share_null, digits).alias("share_of_nulls"),
-                    stable_round(share_all, digits).alias("share_of_all"),
-                    stable_round(F.when(share_all > 0, share_null / share_all), digits)
-                    .alias("lift"))
+    totals = g.agg(F.sum("rows_null").alias("__null"), F.sum("rows_all").alias("__all"), F.lit(1).alias("__one"))
+    g = g.join(F.broadcast(totals), F.lit(1) == F.col("__one"))
+    share_null = F.when(F.col("__null") > 0, F.col("rows_null") / F.col("__null"))
+    share_all = F.when(F.col("__all") > 0, F.col("rows_all") / F.col("__all"))
+    return g.select(category, "rows_all", "rows_null",
+                    _shown(share_null, digits).alias("share_of_nulls"),
+                    _shown(share_all, digits).alias("share_of_all"),
+                    _shown(F.when(share_all > 0, share_null / share_all), digits).alias("lift"))
 
 
 def conditional_means(df: DataFrame, cond: Column, cols: list[str],
-                      digits: int = 6) -> DataFrame:
+                      digits: int | None = None) -> DataFrame:
     """For each column: average over rows meeting ``cond`` and overall."""
     aggs = []
     for c in cols:
-        aggs.append(stable_round(F.avg(F.when(cond, col_of(c))), digits).alias(f"{c}_group_avg"))
-        aggs.append(stable_round(F.avg(col_of(c)), digits).alias(f"{c}_overall_avg"))
+        aggs.append(_shown(F.avg(F.when(cond, col_of(c))), digits).alias(f"{c}_group_avg"))
+        aggs.append(_shown(F.avg(col_of(c)), digits).alias(f"{c}_overall_avg"))
     return df.agg(F.count_if(cond).alias("group_rows"), F.count(F.lit(1)).alias("all_rows"), *aggs)
 
 
-def two_lowest(df: DataFrame, col: str, digits: int = 6) -> DataFrame:
+def two_lowest(df: DataFrame, col: str, digits: int | None = None) -> DataFrame:
     """Lowest and next-lowest row values of ``col`` and their ratio (the
     extremes check). A top-2 (per-task top-2, merged) then one tiny
     aggregate; NULLs are skipped."""
     c = col_of(col)
     two = df.where(c.isNotNull()).select(c.alias("__v")).orderBy("__v").limit(2)
     lowest, second = F.min("__v"), F.max("__v")
-    return two.agg(stable_round(lowest, digits).alias("lowest_value"),
-                   stable_round(second, digits).alias("second_lowest_value"),
-                   stable_round(F.when(second != 0, lowest / second), digits).alias("ratio"))
+    return two.agg(_shown(lowest, digits).alias("lowest_value"),
+                   _shown(second, digits).alias("second_lowest_value"),
+                   _shown(F.when(second != 0, lowest / second), digits).alias("ratio"))
 
 
 def top_n(df: DataFrame, order: list[Column], n: int) -> DataFrame:

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
+from ..session import checkpoint_root
+
 _PERSISTED: list[DataFrame] = []
 
 
@@ -21,6 +23,13 @@ def keep(df: DataFrame) -> DataFrame:
     return out
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """``df`` written to the session's checkpoint folder and read from there:
+    evaluated once, and the same for every reader and after a lost executor."""
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint()
+
+
 def release_all() -> None:
     while _PERSISTED:
         _PERSISTED.pop().unpersist(blocking=False)

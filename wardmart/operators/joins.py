@@ -1,7 +1,7 @@
 """Joins: size-checked lookup joins, composite null-safe keys, orphans.
 
-Broadcast policy: a side is broadcast only after a bounded row count proves
-it holds at most ``max_broadcast_rows`` rows. Beyond that the join stays a
+Broadcast policy: a side is broadcast only after a count proves that it holds
+at most ``max_broadcast_rows`` rows of bounded size. Beyond that the join stays a
 shuffle join, which AQE may still turn into a broadcast from runtime sizes
 or split when a key is skewed.
 """
@@ -14,31 +14,38 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import col_of, quote
-from .cache import keep
-
 # ~200k dimension rows of a few hundred bytes stay well under executor memory
 # on every node; anything larger is joined by shuffle.
 DEFAULT_BROADCAST_ROWS = 200_000
+DEFAULT_BROADCAST_BYTES = 64 << 20
 
 
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
+def _bytes_of_row(df: DataFrame) -> Column:
+    """Rough width of a row: text and binary by length, 8 bytes a value else."""
+    width = F.lit(0)
+    for name, kind in df.dtypes:
+        width = width + (F.coalesce(F.octet_length(col_of(name)), F.lit(0))
+                         if kind in ("string", "binary") else F.lit(8))
+    return width
 
-    Reads at most max_rows + 1 rows past the source plan, so the answer is
-    cheap even for a huge frame.
-    """
-    return df.limit(max_rows + 1).count() <= max_rows
 
+def have_at_most(frames: dict[str, DataFrame], max_rows: int,
+                 max_bytes: int = DEFAULT_BROADCAST_BYTES) -> dict[str, bool]:
+    """Which frames hold at most ``max_rows`` rows and ``max_bytes`` bytes.
 
-def have_at_most(frames: dict[str, DataFrame], max_rows: int) -> dict[str, bool]:
-    """``has_at_most`` for several frames in one job (one bounded count
-    branch per frame, unioned)."""
-    parts = [df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"))
-             .select(F.lit(name).alias("name"), "n") for name, df in frames.items()]
+    One job; every task sums up its own rows, and one row a task is merged.
+    """
+    parts = [df.agg(F.count(F.lit(1)).alias("n"), F.sum(_bytes_of_row(df).cast("bigint")).alias("b"))
+             .select(F.lit(name).alias("name"), "n", "b") for name, df in frames.items()]
     union = parts[0]
     for p in parts[1:]:
         union = union.unionByName(p)
-    return {r["name"]: r["n"] <= max_rows for r in union.collect()}
+    return {r["name"]: r["n"] <= max_rows and (r["b"] or 0) <= max_bytes for r in union.collect()}
+
+
+def has_at_most(df: DataFrame, max_rows: int, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
+    """``have_at_most`` of one frame."""
+    return have_at_most({"df": df}, max_rows, max_bytes)["df"]
 
 
 def lookup_join(left: DataFrame, right: DataFrame, on, how: str = "inner",
@@ -49,16 +56,14 @@ def lookup_join(left: DataFrame, right: DataFrame, on, how: str = "inner",
     * ``small=True``: the caller has proven ``right`` bounded (e.g. it is a
       projection of a dimension already checked) -- broadcast it;
     * ``small=False``: plain join, Spark plans it;
-    * ``small=None`` with ``max_broadcast_rows``: persist ``right``, check
-      its row count (the check's pass fills the cache the join reads), and
-      broadcast only when it is within the bound;
+    * ``small=None`` with ``max_broadcast_rows``: count ``right`` and
+      broadcast it only when it is within the bound;
     * otherwise Spark decides: its static size estimate and AQE's runtime
       sizes pick broadcast vs. shuffle join.
     """
     if how not in ("inner", "left", "left_outer", "left_semi", "left_anti"):
         return left.join(right, on, how)
     if small is None and max_broadcast_rows:
-        right = keep(right)
         small = has_at_most(right, max_broadcast_rows)
     if small:
         right = F.broadcast(right)
@@ -80,10 +85,8 @@ def keyed_join(left: DataFrame, right: DataFrame, keys=(), null_safe_keys=(),
                       for c in right.columns])
     cond = [col_of(k) == F.col(tag[k]) for k in keys]
     cond += [col_of(k).eqNullSafe(F.col(tag[k])) for k in null_safe_keys]
-    if max_broadcast_rows:
-        r = keep(r)
-        if has_at_most(r, max_broadcast_rows):
-            r = F.broadcast(r)
+    if max_broadcast_rows and has_at_most(r, max_broadcast_rows):
+        r = F.broadcast(r)
     return left.join(r, reduce(lambda a, b: a & b, cond), how).drop(*tag.values())
 
 
@@ -114,6 +117,3 @@ def select_keys(df: DataFrame, *cols: str) -> DataFrame:
     """Key-only projection of a dimension before joining (column pruning)."""
     return df.select(*[col_of(c) for c in cols])
 
-
-def and_all(conds: list[Column]) -> Column:
-    return reduce(lambda a, b: a & b, conds)

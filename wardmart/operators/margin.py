@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.keys import surrogate_key
 from ..functions.text import col_of
-from ..functions.values import stable_round
-from .cache import keep
+from .cache import settled
 from .joins import keyed_join
 from .rank import global_rank
 
@@ -25,45 +24,52 @@ def derive_margin(df: DataFrame, charge: str, payment: str, ratio: str,
     return df.withColumns({cost_name: cost, margin_name: col_of(payment) - cost})
 
 
-def rollup_ranked(df: DataFrame, groups: list[str], measure: str, sums: dict[str, str],
-                  volume: str, volume_name: str, min_volume: float, avg_name: str,
-                  key_name: str, rank_within: str, digits: int = 4,
-                  form: str = "union", total_digits: int = 2) -> DataFrame:
-    """Group, average and total; rank qualifying groups globally and within
-    ``rank_within``; keep every group.
+def rollup_groups(df: DataFrame, groups: list[str], measure: str, sums: dict[str, str],
+                  volume: str, volume_name: str, avg_name: str) -> DataFrame:
+    """One row per group: average of ``measure``, totals and volume, as full values."""
+    aggs = [F.avg(col_of(measure)).alias(avg_name)]
+    aggs += [F.sum(col_of(src)).alias(dst) for dst, src in sums.items()]
+    aggs.append(F.sum(col_of(volume)).alias(volume_name))
+    return df.groupBy(*[col_of(g) for g in groups]).agg(*aggs)
+
+
+def rank_groups(grouped: DataFrame, groups: list[str], volume_name: str, min_volume: float,
+                avg_name: str, key_name: str, rank_within: str, form: str = "union") -> DataFrame:
+    """Rank qualifying groups globally and within ``rank_within``; keep every group.
 
-    * every group stays in the output; groups under ``min_volume`` (or with
-      unknown volume) get NULL ranks;
-    * the average is rounded to ``digits`` before ranking (and totals to
-      ``total_digits``) so ties and reported values do not depend on
-      summation order;
+    * groups under ``min_volume`` (or with unknown volume) get NULL ranks;
     * ``form="union"`` ranks the qualifying groups and unions the rest back
       (no join); ``form="join"`` left-joins the ranked subset back on the
       group keys with null-safe equality, as a self-join would.
 
-    The within-partition rank window holds at most one row per value of the
-    other group keys, so its partitions are bounded by that dimension; the
-    global rank uses the distributed operator in ``rank.py``.
+    The groups are checkpointed first: their sums are evaluated once, and the
+    ranking and the output see the same numbers. The within-partition rank
+    window holds at most one row per value of the other group keys, so its
+    partitions are bounded by that dimension; the global rank uses the
+    distributed operator in ``rank.py``.
     """
-    aggs = [stable_round(F.avg(col_of(measure)), digits).alias(avg_name)]
-    aggs += [stable_round(F.sum(col_of(src)), total_digits).alias(dst) for dst, src in sums.items()]
-    aggs.append(F.sum(col_of(volume)).alias(volume_name))
-    # one row per group; read by the rank statistics and by the output, so
-    # the (fact-scale) input is aggregated once
-    agg = keep(df.groupBy(*[col_of(g) for g in groups]).agg(*aggs))
     meets = col_of(volume_name) >= F.lit(min_volume)
-    agg = agg.select(surrogate_key(*groups).alias(key_name), "*", meets.alias("meets_volume_threshold"))
+    agg = settled(grouped.select(surrogate_key(*groups).alias(key_name), "*",
+                                 meets.alias("meets_volume_threshold")))
     qualifying = agg.where(F.coalesce(F.col("meets_volume_threshold"), F.lit(False)))
     others = [g for g in groups if g != rank_within]
     w = Window.partitionBy(col_of(rank_within)).orderBy(col_of(avg_name).asc_nulls_last())
-    ranked = global_rank(qualifying, avg_name, "global_rank") \
-        .withColumn("metro_rank", F.rank().over(w))
+    ranked = global_rank(qualifying, avg_name, "global_rank", settle=False) \
+        .withColumn("metro_rank", F.rank().over(w).cast("bigint"))
     cols = agg.columns + ["global_rank", "metro_rank"]
     if form == "union":
         rest = agg.where(~F.coalesce(F.col("meets_volume_threshold"), F.lit(False))) \
-            .withColumns({"global_rank": F.lit(None).cast("int"),
-                          "metro_rank": F.lit(None).cast("int")})
+            .withColumns({"global_rank": F.lit(None).cast("bigint"),
+                          "metro_rank": F.lit(None).cast("bigint")})
         return ranked.select(cols).unionByName(rest.select(cols))
     ranks = ranked.select(*others, rank_within, "global_rank", "metro_rank")
     return keyed_join(agg, ranks, keys=others, null_safe_keys=[rank_within], how="left") \
         .select(cols)
+
+
+def rollup_ranked(df: DataFrame, groups: list[str], measure: str, sums: dict[str, str],
+                  volume: str, volume_name: str, min_volume: float, avg_name: str,
+                  key_name: str, rank_within: str, form: str = "union") -> DataFrame:
+    """``rollup_groups`` then ``rank_groups``."""
+    grouped = rollup_groups(df, groups, measure, sums, volume, volume_name, avg_name)
+    return rank_groups(grouped, groups, volume_name, min_volume, avg_name, key_name, rank_within, form)

@@ -91,16 +91,6 @@ def out_of_range(df: DataFrame, col: str, lo: float, hi: float) -> DataFrame:
     return df.where(c.isNotNull() & ((c < lo) | (c > hi)))
 
 
-def identity_fails(df: DataFrame, total: str, parts: list[tuple[str, int]],
-                   tolerance: float = 0.005) -> DataFrame:
-    """Rows where ``total`` differs from the signed sum of ``parts`` by more
-    than ``tolerance`` (all inputs known)."""
-    expr = reduce(lambda a, b: a + b, [col_of(c) * F.lit(s) for c, s in parts])
-    known = reduce(lambda a, b: a & b, [col_of(c).isNotNull() for c, _ in parts] +
-                   [col_of(total).isNotNull()])
-    return df.where(known & (F.abs(col_of(total) - expr) > F.lit(tolerance)))
-
-
 def identity_summary(df: DataFrame, total: str, parts: list[tuple[str, int]],
                      tolerance: float = 0.005) -> DataFrame:
     """One row: rows where every term is known, and how many of those break
@@ -132,11 +122,6 @@ def dependency_fails(df: DataFrame, key: str, attrs: list[str]) -> DataFrame:
         .where(F.col("n_variants") > 1)
 
 
-def order_fails(df: DataFrame, smaller: str, larger: str) -> DataFrame:
-    """Rows where ``smaller`` exceeds ``larger`` (row-ordering invariant)."""
-    return df.where(col_of(smaller) > col_of(larger))
-
-
 def _meta(c: Check, failing: Column) -> Column:
     return F.struct(F.lit(c.name).alias("check_name"), F.lit(c.model).alias("model"),
                     F.lit(c.test).alias("test"), F.lit(c.severity).alias("severity"),
@@ -194,7 +179,3 @@ def enforce(report: DataFrame) -> list:
         names = ", ".join(f"{r['check_name']} ({r['failing_rows']})" for r in failed)
         raise AssertionError(f"data tests failed: {names}")
     return rows
-
-
-def condition(expr: str) -> Column:
-    return F.expr(expr)

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import col_of
-from .cache import keep
+from .cache import keep, settled
 from .joins import DEFAULT_BROADCAST_ROWS
 
 MAX_BUCKETS = 8192
@@ -125,9 +125,13 @@ def key_expr(v: Column, ascending: bool) -> Column:
 def global_rank(df: DataFrame, order_col: str, rank_col: str = "rank", ascending: bool = True,
                 nulls_last: bool = True, buckets: int | None = None,
                 max_broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
-                partition_by=()) -> DataFrame:
-    """Add ``rank_col`` equal to SQL ``rank() over ([partition by ...] order
-    by order_col)``.
+                partition_by=(), settle: bool = True) -> DataFrame:
+    """Add ``rank_col`` (bigint) equal to SQL ``rank() over ([partition by
+    ...] order by order_col)``.
+
+    The rows are read for the values' distribution and again to carry their
+    ranks, so they are checkpointed first, unless the caller says that
+    ``df`` already reads written rows (``settle=False``).
 
     Ties share a rank and leave gaps, as in SQL. NULLs rank last by default
     (ascending), first when ``nulls_last=False``; NULL partition keys form
@@ -135,10 +139,12 @@ def global_rank(df: DataFrame, order_col: str, rank_col: str = "rank", ascending
     """
     stats: dict = {}
     partition_by = list(partition_by)
+    if settle:
+        df = settled(df)
     dist = value_distribution(df, order_col, ascending, nulls_last, buckets, stats, partition_by)
     dist = dist.select(*[F.col(c).alias(f"__dp{i}") for i, c in enumerate(partition_by)],
                        F.col(order_col).alias("__dv"),
-                       (F.col("before") + 1).cast("int").alias(rank_col))
+                       (F.col("before") + 1).cast("bigint").alias(rank_col))
     # one row per distinct (partition, value): its size is known from the bounds job
     if max_broadcast_rows and stats["n_values"] <= max_broadcast_rows:
         dist = F.broadcast(dist)

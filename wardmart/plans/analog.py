@@ -11,23 +11,23 @@ Map (one analog per raw source):
 * hospital info   <- customer (+ nation): one hospital per customer; type,
                      rating and flags follow from segment and balance
 * cost report     <- orders (+ customer): one filing per order, year end =
-                     order date, several filings per hospital
+                     order date, several filings per hospital; customers of
+                     nation 3 file under their nation's number, so their
+                     hospitals have no filing; partly shipped urgent orders
+                     have no year end, 3-MEDIUM orders no Medicare CBSA
 * medicare        <- lineitem x orders grouped to (customer, part): one
                      hospital x DRG row, discharges = line items
-* ZIP crosswalk   <- lineitem x orders x supplier grouped to (customer,
-                     supplier nation): many CBSAs per ZIP, ratio = share of
-                     quantity; supplier nation 0 plays the non-metro code
-* census          <- customer grouped by nation (+ nation, region): one row
-                     per CBSA of the surveyed regions; nations of the one
-                     unsurveyed region keep their CBSA code but have no
-                     census row, so their hospitals form the NULL-metro group
+* ZIP crosswalk   <- lineitem x orders x supplier x customer grouped to
+                     (customer, supplier nation): many CBSAs per ZIP, ratio =
+                     share of quantity; supplier nation 0 and every line of
+                     a FURNITURE customer play the non-metro code, so ZIPs
+                     with no other code exist
+* census          <- customer grouped by nation (+ nation): one row per CBSA
 * DRG seed        <- part: DRG = part, service line = brand
 """
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,11 +38,9 @@ from ..session import warehouse_root
 from ..sources import TableSet, materialize, new_run_id
 from .etl import apply_load_rules
 
-# group volume in the analog grows linearly with the scale factor: one
-# discharge is one line item, so the reference's 30-discharge floor becomes
-# this many line items per unit of scale factor.
-VOLUME_PER_SF = 6000
 NON_METRO = "99999"
+# the nation whose hospitals file as one group
+GROUP_FILERS = 3
 # hospitals bill list price times a markup; with CCRs spread over [0, 1.1]
 # about half of the margins come out negative
 CHARGE_MARKUP = 1.8
@@ -57,15 +55,6 @@ def tables(spark, sf_dir: str) -> TableSet:
     return TableSet(spark, sf_dir, spread=FACT_TABLES)
 
 
-def scale_factor(sf_dir: str, default: float = 0.01) -> float:
-    m = re.search(r"sf([0-9]*\.?[0-9]+)", sf_dir or "")
-    return float(m.group(1)) if m else default
-
-
-def min_volume_for(sf_dir: str) -> float:
-    return max(1.0, round(VOLUME_PER_SF * scale_factor(sf_dir)))
-
-
 def _nation(t: TableSet) -> DataFrame:
     # TPC-H fixes nation at 25 rows: a proven bound, so it may be broadcast.
     return F.broadcast(t["nation"].select("n_nationkey", "n_name", "n_regionkey"))
@@ -112,7 +101,8 @@ def raw_cost_report(t: TableSet) -> DataFrame:
         return price * F.lit(x)
 
     return j.select(
-        F.col("o_custkey").cast("string").alias("Provider CCN"),
+        F.when(F.col("c_nationkey") == GROUP_FILERS, F.col("c_nationkey") + 900000)
+        .otherwise(F.col("o_custkey")).cast("string").alias("Provider CCN"),
         F.col("o_orderkey").alias("Report Record Number"),
         F.when(F.col("o_orderpriority") == "1-URGENT", F.upper(F.col("c_name")))
         .otherwise(F.col("c_name")).alias("Hospital Name"),
@@ -122,7 +112,8 @@ def raw_cost_report(t: TableSet) -> DataFrame:
         F.when(F.col("o_orderstatus") == "P", _zip5(F.col("o_orderkey")))
         .otherwise(_zip5(F.col("o_custkey"))).alias("Zip Code"),
         F.col("n_name").alias("County"),
-        F.col("c_nationkey").cast("string").alias("Medicare CBSA Number"),
+        F.when(F.col("o_orderpriority") != "3-MEDIUM", F.col("c_nationkey").cast("string"))
+        .alias("Medicare CBSA Number"),
         F.when(F.col("o_orderpriority").isin("4-NOT SPECIFIED", "5-LOW"), F.lit("R"))
         .otherwise(F.lit("U")).alias("Rural Versus Urban"),
         F.lit("STH").alias("CCN Facility Type"),
@@ -130,7 +121,8 @@ def raw_cost_report(t: TableSet) -> DataFrame:
         F.when(F.col("o_orderstatus") == "F", F.lit(1)).when(F.col("o_orderstatus") == "O", F.lit(2))
         .otherwise(F.lit(7)).alias("Type of Control"),
         F.date_format(F.date_sub(day, 364), "M/d/yyyy").alias("Fiscal Year Begin Date"),
-        F.date_format(day, "M/d/yyyy").alias("Fiscal Year End Date"),
+        F.when((F.col("o_orderstatus") != "P") | (F.col("o_orderpriority") != "1-URGENT"),
+               F.date_format(day, "M/d/yyyy")).alias("Fiscal Year End Date"),
         frac(0.001).alias("FTE - Employees on Payroll"),
         frac(0.00005).alias("Number of Interns and Residents (FTE)"),
         F.floor(price / 2000).cast("double").alias("Number of Beds"),
@@ -198,8 +190,9 @@ def raw_medicare_inpatient(t: TableSet) -> DataFrame:
 def raw_zip_cbsa_crosswalk(t: TableSet) -> DataFrame:
     s = t["supplier"].select("s_suppkey", "s_nationkey")
     lines = _lines_with_customer(t)
-    j = lines.join(s, lines["l_suppkey"] == s["s_suppkey"])
-    cbsa = F.when(F.col("s_nationkey") == 0, F.lit(NON_METRO)) \
+    c = t["customer"].select("c_custkey", "c_mktsegment")
+    j = lines.join(s, lines["l_suppkey"] == s["s_suppkey"]).join(c, F.col("o_custkey") == c["c_custkey"])
+    cbsa = F.when((F.col("s_nationkey") == 0) | (F.col("c_mktsegment") == "FURNITURE"), F.lit(NON_METRO)) \
         .otherwise(F.col("s_nationkey").cast("string"))
     g = j.groupBy(F.col("o_custkey"), cbsa.alias("cbsa")).agg(F.sum("l_quantity").alias("__q"))
     per_zip = Window.partitionBy("o_custkey")
@@ -207,11 +200,6 @@ def raw_zip_cbsa_crosswalk(t: TableSet) -> DataFrame:
                     (F.col("__q") / F.sum("__q").over(per_zip)).alias("res_ratio"))
 
 
-# Fixed value: the region the census stand-in does not survey (it also
-# holds nation 0, the crosswalk's non-metro code).
-UNSURVEYED_REGION = "AFRICA"
-
-
 def raw_census_acs(t: TableSet) -> DataFrame:
     c = t["customer"]
     neg = F.col("c_acctbal") < 0
@@ -227,11 +215,7 @@ def raw_census_acs(t: TableSet) -> DataFrame:
         uninsured("BUILDING").alias("B27010_033E"),
         uninsured("FURNITURE").alias("B27010_050E"),
         uninsured("MACHINERY").alias("B27010_066E"))
-    # region: 5 rows by TPC-H definition, a proven bound
-    surveyed = F.broadcast(t["region"].where(F.col("r_name") != UNSURVEYED_REGION)
-                           .select("r_regionkey"))
-    j = g.join(_nation(t), g["c_nationkey"] == F.col("n_nationkey")) \
-        .join(surveyed, F.col("n_regionkey") == F.col("r_regionkey"))
+    j = g.join(_nation(t), g["c_nationkey"] == F.col("n_nationkey"))
     return j.select(
         F.col("n_name").alias("NAME"),
         F.col("n_nationkey").cast("string").alias("metropolitan statistical area/micropolitan statistical area"),

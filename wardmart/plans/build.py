@@ -13,11 +13,14 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from ..operators import quality as Q
-from ..sources import materialize, new_run_id
+from ..sources import as_view, materialize, new_run_id
 from ..session import warehouse_root
 from .suite import spark_checks
 from .warehouse import Warehouse
 
+# staging models are views, named lazy plans
+VIEWS = ["stg_hospital_general_info", "stg_cost_report", "stg_census_acs", "stg_zip_cbsa_crosswalk",
+         "stg_medicare_inpatient"]
 # models written as tables, in dependency order; staging stays lazy (views)
 TABLES = ["dim_hospital", "dim_drg", "dim_geography", "dim_date", "fct_hospital_finance",
           "fct_medicare_drg", "mart_reimbursement_gap", "mart_service_line_margin",
@@ -49,6 +52,8 @@ def build_all(spark: SparkSession, wh: Warehouse, root: str | None = None,
     run_id = run_id or new_run_id()
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     audits = {}
+    for name in VIEWS:
+        as_view(wh.model(name), name)
     for name in TABLES:
         bucket = (n, ["hospital_key"]) if name in BUCKETED_ON_HOSPITAL else None
         df, metrics = materialize(spark, wh.model(name), root, name, run_id,

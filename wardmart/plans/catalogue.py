@@ -3,8 +3,9 @@ or model, each with its DuckDB oracle SQL.
 
 Every query builds the warehouse from the stand-in raw tables (see
 ``analog``) and runs the library's operators over whole tables. Double
-outputs that come from aggregates are rounded to 6 decimals (in Spark and
-in the SQL alike) so the comparison does not depend on summation order.
+outputs that come from aggregates are rounded in the query (in Spark and
+in the SQL alike) so the comparison does not depend on summation order; the
+models and operators behind them keep full values.
 """
 
 from __future__ import annotations
@@ -17,21 +18,21 @@ from pyspark.sql import functions as F
 from ..functions import pad_id, parse_date, sentinel_to_null, squash_upper, stable_round, surrogate_key
 from ..functions.text import col_of
 from ..operators import analysis as A
-from ..operators import exact_percentiles, global_rank, lookup_join, quality as Q
-from ..operators.cache import release_all
-from ..sources import audit_counts, date_spine_between
+from ..operators import (DEFAULT_BROADCAST_ROWS, exact_percentiles, global_rank, has_at_most, lookup_join,
+                         quality as Q)
+from ..operators.cache import release_all, settled
+from ..session import warehouse_root
+from ..sources import audit_counts, date_spine_between, new_run_id
 from . import etl, oracle
-from .analog import AnalogRaw, min_volume_for, seed_drg_service_line, tables
+from .analog import AnalogRaw, seed_drg_service_line, tables
 from .dims import dim_date
+from .load import load_raw_csv
 from .marts import mart_service_line_margin
 from .oracle import compose, pad, r6, sk, usdate
 from .build import build_all
 from .suite import report_sql
 from .warehouse import Warehouse
 
-ORACLE_SF = "sf0.01"
-
-
 def brand_lines(n: int = 25) -> list[str]:
     """Service lines of the analog: part brands Brand#1 .. Brand#n."""
     return [f"Brand#{i}" for i in range(1, n + 1)]
@@ -45,9 +46,11 @@ class Ctx:
         self.spark = spark
         self.t = tables(spark, sf_dir)
         self.raw = AnalogRaw(self.t, load=True)
-        self.min_volume = min_volume_for(sf_dir)
+        self.min_volume = oracle.MIN_VOLUME
         self.wh = Warehouse(self.raw, seed_drg_service_line(self.t),
                             cost_tie_break=("Report Record Number",), min_volume=self.min_volume,
+                            # the stand-ins' dimensions are read by several models of a query
+                            persist_dims=True,
                             persist_marts=persist_marts)
 
     @property
@@ -60,8 +63,9 @@ class Ctx:
         return self.wh.mart_service_line_margin.where(F.col("global_rank").isNotNull())
 
 
-def rounded(df: DataFrame, cols: list[str]) -> DataFrame:
-    return df.withColumns({c: stable_round(c) for c in cols})
+def rounded(df: DataFrame, cols: list[str], digits: int = 6) -> DataFrame:
+    """Sums of doubles as compared: the models keep full values."""
+    return df.withColumns({c: stable_round(c, digits) for c in cols})
 
 
 Q_: dict[str, Callable[[Ctx], DataFrame]] = {}
@@ -151,6 +155,28 @@ def q_parse_dates(c: Ctx) -> DataFrame:
                       parse_date("Fiscal Year End Date").alias("fiscal_year_end_date"))
 
 
+_HOSP_CSV = ", ".join(f'"{n}"' for n in _HOSP_RAW)
+
+
+@query("csv_load", compose(f"SELECT {_HOSP_CSV} FROM raw_hospital_general_info"))
+def q_csv_load(c: Ctx) -> DataFrame:
+    """The hospital registry written as delimited text under the shared root
+    and loaded from there by the raw loader (text ids, padding)."""
+    path = f"{warehouse_root(c.spark)}/csv/{new_run_id()}"
+    c.raw.unloaded("hospital_general_info").select([col_of(n) for n in _HOSP_RAW]) \
+        .write.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False) \
+        .option("ignoreTrailingWhiteSpace", False).csv(path)
+    return load_raw_csv(c.spark, {"hospital_general_info": path})["hospital_general_info"]
+
+
+@query("csv_crosswalk", compose("SELECT geoid, cbsa, res_ratio FROM raw_zip_cbsa_crosswalk"))
+def q_csv_crosswalk(c: Ctx) -> DataFrame:
+    """The ZIP crosswalk through the same path, with its ratio typed."""
+    path = f"{warehouse_root(c.spark)}/csv/{new_run_id()}"
+    c.raw.unloaded("zip_cbsa_crosswalk").write.option("header", True).csv(path)
+    return load_raw_csv(c.spark, {"zip_cbsa_crosswalk": path})["zip_cbsa_crosswalk"]
+
+
 # ---- staging -------------------------------------------------------------------
 @query("stg_hospital", compose("SELECT * FROM stg_hospital_general_info"))
 def q_stg_hospital(c: Ctx) -> DataFrame:
@@ -317,23 +343,30 @@ def q_reimbursement_gap(c: Ctx) -> DataFrame:
     return rounded(c.wh.mart_reimbursement_gap, _GAP_DOUBLES)
 
 
-_SLM = compose("SELECT * FROM mart_service_line_margin")
+_SLM = compose(f"""SELECT service_line_margin_key, service_line, metro_name,
+  {r6('avg_margin')} AS avg_margin, {r6('total_medicare_payment', 2)} AS total_medicare_payment,
+  {r6('total_derived_cost', 2)} AS total_derived_cost, total_discharge_volume, meets_volume_threshold,
+  global_rank, metro_rank FROM mart_service_line_margin""")
+
+
+def slm_shown(df: DataFrame) -> DataFrame:
+    return rounded(rounded(df, ["avg_margin"]), ["total_medicare_payment", "total_derived_cost"], 2)
 
 
 @query("service_line_margin", _SLM)
 def q_service_line_margin(c: Ctx) -> DataFrame:
-    return c.wh.mart_service_line_margin
+    return slm_shown(c.wh.mart_service_line_margin)
 
 
 @query("service_line_margin_join", _SLM)
 def q_service_line_margin_join(c: Ctx) -> DataFrame:
     """Same mart through the self-join form: ranked subset left-joined back
     on service line and null-safe metro."""
-    return mart_service_line_margin(c.wh.mart_reimbursement_gap, c.min_volume, form="join")
+    return slm_shown(mart_service_line_margin(c.wh.service_line_groups, c.min_volume, form="join"))
 
 
 @query("global_rank", compose(f"""SELECT hospital_key, drg_key, {r6('margin')} AS margin,
-  CAST(rank() OVER (ORDER BY margin ASC NULLS LAST) AS INTEGER) AS margin_rank
+  rank() OVER (ORDER BY margin ASC NULLS LAST) AS margin_rank
 FROM mart_reimbursement_gap"""))
 def q_global_rank(c: Ctx) -> DataFrame:
     """rank() over every hospital x DRG margin, without a single-task stage."""
@@ -341,24 +374,24 @@ def q_global_rank(c: Ctx) -> DataFrame:
     return rounded(global_rank(g, "margin", "margin_rank"), ["margin"])
 
 
-@query("top_worst", compose("""SELECT service_line, metro_name, avg_margin, total_discharge_volume,
+@query("top_worst", compose(f"""SELECT service_line, metro_name, {r6('avg_margin')} AS avg_margin, total_discharge_volume,
   global_rank FROM mart_service_line_margin WHERE global_rank IS NOT NULL
 ORDER BY global_rank, service_line, metro_name NULLS LAST LIMIT 5"""))
 def q_top_worst(c: Ctx) -> DataFrame:
-    return A.top_n(c.ranked_groups.select("service_line", "metro_name", "avg_margin",
-                                          "total_discharge_volume", "global_rank"),
-                   [F.col("global_rank"), F.col("service_line"), F.col("metro_name").asc_nulls_last()],
-                   5)
+    top = A.top_n(c.ranked_groups.select("service_line", "metro_name", "avg_margin",
+                                         "total_discharge_volume", "global_rank"),
+                  [F.col("global_rank"), F.col("service_line"), F.col("metro_name").asc_nulls_last()], 5)
+    return rounded(top, ["avg_margin"])
 
 
-@query("top_best", compose("""SELECT service_line, metro_name, avg_margin, total_discharge_volume,
-  global_rank FROM mart_service_line_margin WHERE global_rank IS NOT NULL
-ORDER BY avg_margin DESC, service_line, metro_name NULLS LAST LIMIT 5"""))
+@query("top_best", compose(f"""SELECT service_line, metro_name, {r6('m.avg_margin')} AS avg_margin,
+  total_discharge_volume, global_rank FROM mart_service_line_margin m WHERE global_rank IS NOT NULL
+ORDER BY m.avg_margin DESC, service_line, metro_name NULLS LAST LIMIT 5"""))
 def q_top_best(c: Ctx) -> DataFrame:
-    return A.top_n(c.ranked_groups.select("service_line", "metro_name", "avg_margin",
-                                          "total_discharge_volume", "global_rank"),
-                   [F.col("avg_margin").desc(), F.col("service_line"),
-                    F.col("metro_name").asc_nulls_last()], 5)
+    top = A.top_n(c.ranked_groups.select("service_line", "metro_name", "avg_margin",
+                                         "total_discharge_volume", "global_rank"),
+                  [F.col("avg_margin").desc(), F.col("service_line"), F.col("metro_name").asc_nulls_last()], 5)
+    return rounded(top, ["avg_margin"])
 
 
 @query("finance_scorecard", compose("SELECT * FROM mart_finance_scorecard"))
@@ -472,7 +505,7 @@ def q_dq_compare(c: Ctx) -> DataFrame:
   count_if(uninsured_rate IS NOT NULL AND uncompensated_pct_of_revenue IS NOT NULL) AS n_pairs
 FROM mart_burden_vs_community"""))
 def q_burden_corr(c: Ctx) -> DataFrame:
-    return A.pair_corr(c.wh.mart_burden_vs_community, "uninsured_rate", "uncompensated_pct_of_revenue")
+    return A.pair_corr(c.wh.mart_burden_vs_community, "uninsured_rate", "uncompensated_pct_of_revenue", 6)
 
 
 @query("volume_percentiles", compose(f"""SELECT
@@ -481,19 +514,18 @@ def q_burden_corr(c: Ctx) -> DataFrame:
   {r6('quantile_cont(total_discharge_volume, 0.5)')} AS p50
 FROM mart_service_line_margin"""))
 def q_volume_percentiles(c: Ctx) -> DataFrame:
-    p = exact_percentiles(c.wh.mart_service_line_margin, "total_discharge_volume",
-                          [0.05, 0.25, 0.5])
+    p = exact_percentiles(c.wh.service_line_groups, "total_discharge_volume", [0.05, 0.25, 0.5])
     return rounded(p, ["p5", "p25", "p50"])
 
 
 @query("threshold_coverage", compose(f"""SELECT
-  count_if(total_discharge_volume < {{min_volume}}) AS below_rows, count(*) AS total_rows,
-  {r6(f'CASE WHEN count(*) > 0 THEN count_if(total_discharge_volume < {{min_volume}}) / count(*) END')}
+  count_if(total_discharge_volume < {oracle.MIN_VOLUME}) AS below_rows, count(*) AS total_rows,
+  {r6(f'CASE WHEN count(*) > 0 THEN count_if(total_discharge_volume < {oracle.MIN_VOLUME}) / count(*) END')}
     AS below_share
 FROM mart_service_line_margin"""))
 def q_threshold_coverage(c: Ctx) -> DataFrame:
-    return A.share_where(c.wh.mart_service_line_margin,
-                         F.col("total_discharge_volume") < F.lit(c.min_volume), "below")
+    return A.share_where(c.wh.service_line_groups,
+                         F.col("total_discharge_volume") < F.lit(c.min_volume), "below", digits=6)
 
 
 @query("negative_share", compose(f"""SELECT count_if(avg_margin < 0) AS negative_rows,
@@ -501,14 +533,14 @@ def q_threshold_coverage(c: Ctx) -> DataFrame:
   {r6('CASE WHEN count(*) > 0 THEN count_if(avg_margin < 0) / count(*) END')} AS negative_share
 FROM mart_service_line_margin WHERE global_rank IS NOT NULL"""))
 def q_negative_share(c: Ctx) -> DataFrame:
-    return A.share_where(c.ranked_groups, F.col("avg_margin") < 0, "negative")
+    return A.share_where(c.ranked_groups, F.col("avg_margin") < 0, "negative", digits=6)
 
 
 @query("portfolio_gap", compose(f"""SELECT {r6('sum(margin * total_discharges)', 2)} AS portfolio_gap
 FROM mart_reimbursement_gap"""))
 def q_portfolio_gap(c: Ctx) -> DataFrame:
     return A.weighted_total(c.wh.mart_reimbursement_gap, "margin", "total_discharges",
-                            "portfolio_gap")
+                            "portfolio_gap", 2)
 
 
 @query("metro_coverage", compose("""SELECT count(DISTINCT metro_name) AS distinct_metros
@@ -523,7 +555,7 @@ def q_metro_coverage(c: Ctx) -> DataFrame:
   {r6('stddev_samp(avg_margin)')} AS stddev_value
 FROM mart_service_line_margin GROUP BY service_line"""))
 def q_margin_spread(c: Ctx) -> DataFrame:
-    return A.spread(c.wh.mart_service_line_margin, "service_line", "avg_margin")
+    return A.spread(c.wh.service_line_groups, "service_line", "avg_margin", 6)
 
 
 @query("source_mismatch", compose(f"""SELECT count(*) AS matched_keys,
@@ -539,7 +571,7 @@ def q_source_mismatch(c: Ctx) -> DataFrame:
                                               F.col("zip_code").alias("hi_zip"))
     d = etl.dedup_cost_report(c.raw["cost_report"], ("Report Record Number",)) \
         .select("ccn", F.col("hospital_name").alias("cr_name"), F.col("zip_code").alias("cr_zip"))
-    return A.mismatch_rates(h, d, "ccn", {"name": ("hi_name", "cr_name"), "zip": ("hi_zip", "cr_zip")})
+    return A.mismatch_rates(h, d, "ccn", {"name": ("hi_name", "cr_name"), "zip": ("hi_zip", "cr_zip")}, 6)
 
 
 @query("geo_reclass_rate", compose(f"""SELECT count_if(is_cbsa_reclassified) AS flagged,
@@ -548,7 +580,7 @@ def q_source_mismatch(c: Ctx) -> DataFrame:
     AS flag_rate
 FROM dim_hospital"""))
 def q_geo_reclass_rate(c: Ctx) -> DataFrame:
-    return A.known_rate(c.wh.dim_hospital, "is_cbsa_reclassified")
+    return A.known_rate(c.wh.dim_hospital, "is_cbsa_reclassified", 6)
 
 
 oracle.F["finance_with_owner"] = """
@@ -568,7 +600,7 @@ def q_null_lift(c: Ctx) -> DataFrame:
     f = lookup_join(c.wh.fct_hospital_finance,
                     c.wh.dim_hospital.select(F.col("hospital_key").alias("__hk"), "ownership_type"),
                     F.col("hospital_key") == F.col("__hk"), "inner", c.wh._small("dim_hospital"))
-    return A.null_lift(f, "cost_to_charge_ratio", "ownership_type")
+    return A.null_lift(f, "cost_to_charge_ratio", "ownership_type", 6)
 
 
 _GVO = ["number_of_beds", "total_costs", "net_patient_revenue"]
@@ -579,7 +611,7 @@ _GVO = ["number_of_beds", "total_costs", "net_patient_revenue"]
     f"{r6(f'avg(CASE WHEN cost_to_charge_ratio IS NULL THEN {x} END)')} AS {x}_group_avg, "
     f"{r6(f'avg({x})')} AS {x}_overall_avg" for x in _GVO) + " FROM fct_hospital_finance"))
 def q_group_vs_overall(c: Ctx) -> DataFrame:
-    return A.conditional_means(c.wh.fct_hospital_finance, F.col("cost_to_charge_ratio").isNull(), _GVO)
+    return A.conditional_means(c.wh.fct_hospital_finance, F.col("cost_to_charge_ratio").isNull(), _GVO, 6)
 
 
 @query("exclusion_audit", compose("""SELECT reason, count(*) AS fact_rows,
@@ -607,8 +639,7 @@ def q_exclusion_audit(c: Ctx) -> DataFrame:
 
 @query("drilldown", compose(f"""SELECT g.hospital_key, g.drg_code, g.service_line, g.metro_name,
   {r6('g.margin')} AS margin, g.total_discharges,
-  CAST(rank() OVER (PARTITION BY g.service_line, g.metro_name ORDER BY g.margin) AS INTEGER)
-    AS contribution_rank
+  rank() OVER (PARTITION BY g.service_line, g.metro_name ORDER BY g.margin) AS contribution_rank
 FROM mart_reimbursement_gap g
 SEMI JOIN (SELECT service_line, metro_name FROM mart_service_line_margin WHERE global_rank = 1) w
   ON g.service_line = w.service_line AND g.metro_name IS NOT DISTINCT FROM w.metro_name"""))
@@ -619,6 +650,9 @@ def q_drilldown(c: Ctx) -> DataFrame:
     worst = c.wh.mart_service_line_margin.where(F.col("global_rank") == 1) \
         .select(F.col("service_line").alias("__sl"), F.col("metro_name").alias("__mn"))
     g = c.wh.mart_reimbursement_gap
+    worst = settled(worst)
+    if has_at_most(worst, DEFAULT_BROADCAST_ROWS):
+        worst = F.broadcast(worst)        # tied groups apart, a single row
     rows = g.join(worst, (F.col("service_line") == F.col("__sl")) &
                   F.col("metro_name").eqNullSafe(F.col("__mn")), "left_semi")
     ranked = global_rank(rows.select("hospital_key", "drg_code", "service_line", "metro_name",
@@ -633,7 +667,7 @@ def q_drilldown(c: Ctx) -> DataFrame:
 FROM (SELECT avg_margin AS v FROM mart_service_line_margin WHERE global_rank IS NOT NULL
       ORDER BY avg_margin LIMIT 2) t"""))
 def q_extreme_gap(c: Ctx) -> DataFrame:
-    return A.two_lowest(c.ranked_groups, "avg_margin")
+    return A.two_lowest(c.ranked_groups, "avg_margin", 6)
 
 
 @query("top_ratio", compose("""SELECT hospital_key, hospital_name, charity_pct_of_revenue
@@ -657,9 +691,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: bind(fn) for name, fn in Q_.items()}
 
 
-def oracle_sql(sf_name: str = ORACLE_SF) -> dict[str, str]:
-    mv = int(min_volume_for(sf_name))
-    out = {}
-    for name, sql in S_.items():
-        out[name] = sql.replace("{min_volume}", str(mv))
-    return out
+def oracle_sql() -> dict[str, str]:
+    return dict(S_)

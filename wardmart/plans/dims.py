@@ -9,6 +9,7 @@ from ..functions import calendar_columns, date_key, known_and_different, surroga
 from ..functions.text import col_of
 from ..operators import dominant_match, lookup_join
 
+# The dimension's columns in order.
 DIM_HOSPITAL_COLUMNS = [
     "hospital_key", "ccn", "hospital_name", "address", "city", "state", "zip_code", "county",
     "phone_number", "hospital_ownership", "emergency_services", "birthing_friendly_designation",

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from ..functions import range_flag
 from ..operators import lookup_join, select_keys
 
+# The measures the fact carries, in order.
 FINANCE_MEASURES = [
     "fiscal_year_begin_date", "fiscal_year_end_date", "number_of_beds", "total_bed_days_available",
     "total_costs", "total_charges", "inpatient_total_charges", "outpatient_total_charges",

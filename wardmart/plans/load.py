@@ -12,9 +12,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources import scan_csv
+from .etl import PAD_RULES
 from .staging import CBSA_COLUMN, UNINSURED_PARTS, UNIVERSE
 
-# Per raw table, the columns kept as text and the ids padded.
+# Per raw table, the columns kept as text.
 TEXT_COLUMNS = {
     "medicare_inpatient": ["Rndrng_Prvdr_CCN", "Rndrng_Prvdr_State_FIPS", "Rndrng_Prvdr_Zip5"],
     "cost_report": ["Provider CCN", "Zip Code", "Medicare CBSA Number"],
@@ -22,14 +23,6 @@ TEXT_COLUMNS = {
     "census_acs": [CBSA_COLUMN],
     "zip_cbsa_crosswalk": ["geoid", "cbsa"],
 }
-PAD = {
-    "medicare_inpatient": {"Rndrng_Prvdr_CCN": 6},
-    "cost_report": {"Provider CCN": 6},
-    "hospital_general_info": {"Facility ID": 6},
-    "census_acs": {},
-    "zip_cbsa_crosswalk": {"geoid": 5},
-}
-
 _COST_DOUBLES = [
     "FTE - Employees on Payroll", "Number of Interns and Residents (FTE)", "Number of Beds",
     "Total Bed Days Available", "Cost of Charity Care", "Total Bad Debt Expense",
@@ -60,15 +53,17 @@ MEASURE_TYPES = {
 }
 
 
-def load_raw_csv(spark: SparkSession, paths: dict[str, str]) -> dict[str, DataFrame]:
+def load_raw_csv(spark: SparkSession, paths: dict[str, str], multiline=()) -> dict[str, DataFrame]:
     """Scan each raw file (or folder of files) with its typed config.
 
     Ids stay text and are padded as the loaders do; NA tokens become NULL;
-    a column the config does not name stays text.
+    a column the config does not name stays text. ``multiline`` names the
+    tables whose fields may hold line breaks.
     """
     out = {}
     for table, path in paths.items():
         out[table] = scan_csv(spark, path, types=MEASURE_TYPES.get(table, {}),
                               str_columns=TEXT_COLUMNS.get(table, ()),
-                              pad_columns=PAD.get(table, {}))
+                              pad_columns=PAD_RULES.get(table, {}),
+                              multiline=table in multiline)
     return out

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import guarded_ratio
-from ..operators import (derive_margin, left_join_nullsafe_split, lookup_join, rollup_ranked,
-                         usable_ratio)
+from ..operators import (derive_margin, left_join_nullsafe_split, lookup_join, rank_groups,
+                         rollup_groups, usable_ratio)
 
 def _geo_left(df: DataFrame, geo: DataFrame, take: list[str], geo_small: bool | None) -> DataFrame:
     """Left-join CBSA attributes on ``cbsa_code``. A proven-small geography
@@ -20,6 +20,7 @@ def _geo_left(df: DataFrame, geo: DataFrame, take: list[str], geo_small: bool |
     return left_join_nullsafe_split(df, geo, "cbsa_code", "cbsa_code", take)
 
 
+# The mart's columns in order.
 GAP_COLUMNS = [
     "hospital_key", "drg_key", "hospital_name", "cbsa_code", "metro_name", "drg_code",
     "drg_description", "service_line", "total_discharges", "charges", "medicare_payment",
@@ -57,15 +58,19 @@ def mart_reimbursement_gap(drg_fact: DataFrame, finance: DataFrame, dim_hospital
     return derive_margin(j, "charges", "medicare_payment", "cost_to_charge_ratio").select(GAP_COLUMNS)
 
 
-def mart_service_line_margin(gap: DataFrame, min_volume: float = 30, digits: int = 4,
-                             form: str = "union") -> DataFrame:
-    """service_line x metro roll-up with global and per-metro margin ranks
-    for groups of at least ``min_volume`` discharges; NULL metro is a group."""
-    return rollup_ranked(
+def service_line_groups(gap: DataFrame) -> DataFrame:
+    """service_line x metro averages, totals and volumes; NULL metro is a group."""
+    return rollup_groups(
         gap, ["service_line", "metro_name"], "margin",
         {"total_medicare_payment": "medicare_payment", "total_derived_cost": "derived_cost"},
-        "total_discharges", "total_discharge_volume", min_volume, "avg_margin",
-        "service_line_margin_key", "metro_name", digits, form)
+        "total_discharges", "total_discharge_volume", "avg_margin")
+
+
+def mart_service_line_margin(groups: DataFrame, min_volume: float = 30, form: str = "union") -> DataFrame:
+    """The service-line groups with global and per-metro margin ranks for
+    those of at least ``min_volume`` discharges."""
+    return rank_groups(groups, ["service_line", "metro_name"], "total_discharge_volume", min_volume,
+                       "avg_margin", "service_line_margin_key", "metro_name", form)
 
 
 def mart_finance_scorecard(finance: DataFrame, dim_hospital: DataFrame, dim_geography: DataFrame,

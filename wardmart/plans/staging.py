@@ -18,6 +18,7 @@ UNINSURED_PARTS = ["B27010_017E", "B27010_033E", "B27010_050E", "B27010_066E"]
 UNIVERSE = "B27010_001E"
 CBSA_COLUMN = "metropolitan statistical area/micropolitan statistical area"
 
+# Fixed values: (source column, model column) pairs in order.
 COST_REPORT_COLUMNS = [
     ("Provider CCN", "ccn"),
     ("Medicare CBSA Number", "medicare_payment_cbsa"),
@@ -47,6 +48,7 @@ COST_REPORT_COLUMNS = [
     ("Net Patient Revenue", "net_patient_revenue"),
 ]
 
+# Fixed values: (source column, model column) pairs in order.
 HOSPITAL_COLUMNS = [
     ("Facility ID", "facility_id"),
     ("Facility Name", "facility_name"),
@@ -62,6 +64,7 @@ HOSPITAL_COLUMNS = [
     ("Hospital overall rating", "hospital_overall_rating"),
 ]
 
+# Fixed values: (source column, model column) pairs in order.
 MEDICARE_COLUMNS = [
     ("Rndrng_Prvdr_CCN", "ccn"),
     ("Rndrng_Prvdr_RUCA", "ruca_code"),

@@ -24,7 +24,7 @@ class Warehouse:
     def __init__(self, raw: dict[str, DataFrame], seed_drg: DataFrame, *,
                  cost_tie_break: tuple[str, ...] = (), min_volume: float = 30,
                  date_range: tuple[str, str] = ("2022-10-01", "2024-10-01"),
-                 spine: DataFrame | None = None, persist_dims: bool = True,
+                 spine: DataFrame | None = None, persist_dims: bool = False,
                  max_broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
                  cost_nulls_win: bool = True, persist_marts: bool = False):
         self.raw = raw
@@ -71,8 +71,7 @@ class Warehouse:
 
     @cached_property
     def stg_cost_report(self) -> DataFrame:
-        return self._keep(staging.stg_cost_report(self.raw["cost_report"], self.cost_tie_break,
-                                                  self.cost_nulls_win))
+        return staging.stg_cost_report(self.raw["cost_report"], self.cost_tie_break, self.cost_nulls_win)
 
     @cached_property
     def stg_census_acs(self) -> DataFrame:
@@ -128,10 +127,14 @@ class Warehouse:
             self.dim_geography, self._small("dim_hospital"), self._small("dim_drg"),
             self._small("dim_geography")))
 
+    @cached_property
+    def service_line_groups(self) -> DataFrame:
+        """The margin roll-up before ranking."""
+        return marts.service_line_groups(self.mart_reimbursement_gap)
+
     @cached_property
     def mart_service_line_margin(self) -> DataFrame:
-        return self._keep_mart(marts.mart_service_line_margin(self.mart_reimbursement_gap,
-                                                              self.min_volume))
+        return self._keep_mart(marts.mart_service_line_margin(self.service_line_groups, self.min_volume))
 
     @cached_property
     def mart_finance_scorecard(self) -> DataFrame:

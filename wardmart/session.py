@@ -56,7 +56,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
                   app_name: str = "wardmart", extra: dict | None = None) -> SparkSession:
     """Create (or reuse) a session with the warehouse defaults.
 
-    On a cluster ``master`` stays None so spark-submit decides; locally the
+    On a cluster ``master`` stays None so spark-submit decides, and the
+    settings of ``cluster_conf`` for its cores are applied; locally the
     caller passes ``local[N]`` and a matching shuffle-partition count.
     """
     builder = SparkSession.builder.appName(app_name)
@@ -66,7 +67,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         if master.startswith("local"):
             # local mode: the driver JVM is the only executor; the default
             # catalog folder goes to a scratch folder, not the working dir
-            conf["spark.driver.memory"] = os.environ.get("WARDMART_DRIVER_MEMORY", "16g")
+            conf["spark.driver.memory"] = os.environ.get("WARDMART_DRIVER_MEMORY", "4g")
             conf["spark.sql.warehouse.dir"] = tempfile.mkdtemp(prefix="wardmart-catalog-",
                                                                dir="/tmp")
     if shuffle_partitions:
@@ -75,6 +76,11 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
+    if not spark.sparkContext.master.startswith("local["):
+        sized = cluster_conf(spark.sparkContext.defaultParallelism)
+        for k, v in sized.items():
+            if k not in conf:
+                spark.conf.set(k, v)
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
@@ -83,19 +89,23 @@ def checkpoint_root(spark: SparkSession, fallback: str | None = None) -> str:
     """Shared folder for lineage cuts and materialized tables.
 
     Reads ``spark.checkpoint.dir`` from the session (the cluster's shared
-    folder). Only when it is unset -- local tests -- a fallback is set.
+    folder). Only when it is unset on a single-machine ``local[..]`` master
+    a scratch folder is set; on a cluster that is an error, since executors
+    do not see each other's local files.
     """
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    path = configured or fallback or tempfile.mkdtemp(prefix="wardmart-ckpt-", dir="/tmp")
+    path = configured or fallback
+    if not path:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder shared by all executors")
+        path = tempfile.mkdtemp(prefix="wardmart-ckpt-", dir="/tmp")
     spark.sparkContext.setCheckpointDir(path)
     return spark.sparkContext.getCheckpointDir() or path
 
 
 def warehouse_root(spark: SparkSession, fallback: str | None = None) -> str:
     """Folder under which materialized models are written."""
-    root = checkpoint_root(spark, fallback)
-    return os.path.join(root.replace("file:", ""), "warehouse") if root.startswith("file:") else \
-        root.rstrip("/") + "/warehouse"
+    return checkpoint_root(spark, fallback).rstrip("/") + "/warehouse"

@@ -35,7 +35,7 @@ def normalize_na(df: DataFrame, na_values=PANDAS_NA) -> DataFrame:
 
 def scan_csv(spark: SparkSession, path: str, types: dict[str, str] | None = None,
              str_columns=(), pad_columns: dict[str, int] | None = None,
-             na_values=PANDAS_NA, sep: str = ",") -> DataFrame:
+             na_values=PANDAS_NA, sep: str = ",", multiline: bool = False) -> DataFrame:
     """Read a headed CSV by column name.
 
     Every column is read as text (so ids such as CCN ``010001`` keep their
@@ -43,10 +43,14 @@ def scan_csv(spark: SparkSession, path: str, types: dict[str, str] | None = None
     NULL, then ``types`` (name -> Spark SQL type) casts the measures.
     Columns not listed in ``types`` stay strings. ``pad_columns`` (name ->
     width) strips and zero-pads id columns without truncating.
-    The scan is split by file blocks; nothing passes through the driver.
+    Fields may be quoted, with doubled quotes inside (RFC 4180); a record
+    with other fields than the header raises. The scan is split by file
+    blocks; ``multiline`` reads fields with line breaks, and then each file
+    is one task's.
     """
     raw = (spark.read.option("header", True).option("sep", sep)
-           .option("inferSchema", False).option("multiLine", False).csv(path))
+           .option("quote", '"').option("escape", '"').option("mode", "FAILFAST")
+           .option("inferSchema", False).option("multiLine", multiline).csv(path))
     df = normalize_na(raw, na_values)
     types = dict(types or {})
     for c in str_columns:

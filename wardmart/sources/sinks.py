@@ -58,7 +58,8 @@ def materialize(spark: SparkSession, df: DataFrame, root: str, name: str, run_id
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` "
               f"LOCATION '{os.path.join(root, '_catalog', database)}'")
     table = f"`{database}`.`{name}__{run_id}`"
-    w = observed.write.mode("overwrite").format("parquet").option("path", path)
+    # rows of a bucket meet in one task first: one file a bucket
+    w = observed.repartition(n, *cols).write.mode("overwrite").format("parquet").option("path", path)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.bucketBy(n, *cols).saveAsTable(table)
