@@ -37,7 +37,7 @@ from .words import MULTIPLIER, WordHashes, mix, words
 CUTOFF = 5               # counts up to here are discounted by Good-Turing
 RESERVE = 0.05           # what a larger count gives up, so that every history can back off
 HOT = 2_000
-BATCH_TOKENS = 2_000_000
+BATCH_TOKENS = 500_000
 BATCH_DOCS = 60_000      # document numbers of a batch fit in 16 bits
 BIG = 64                 # a bigram's documents stay with the batch from here on
 PARTITION_BYTES = 16 << 20
