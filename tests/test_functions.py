@@ -95,3 +95,10 @@ def test_calendar_columns(spark):
     assert rows[2]["month_name"] == "February" and rows[2]["day_of_month"] == 29
     assert rows[3]["calendar_year"] == 2024 and rows[3]["day_of_week"] == 1
     assert F is not None
+
+
+def test_stable_round_keeps_large_nan_and_null(spark):
+    rows = [(1e14,), (1e17,), (5e17,), (float("nan"),), (None,), (-1e13,)]
+    df = spark.createDataFrame(rows, "v double")
+    got = [r[0] for r in df.select(stable_round("v", 6)).collect()]
+    assert got[:3] == [1e14, 1e17, 5e17] and got[3] != got[3] and got[4] is None and got[5] == -1e13

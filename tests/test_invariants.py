@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from wardmart.plans.analog import AnalogRaw, min_volume_for, seed_drg_service_line, tables
+from wardmart.plans.analog import AnalogRaw, seed_drg_service_line, tables
 from wardmart.plans.warehouse import Warehouse
 
 SMALL = "/root/testdata/sf0.001"
@@ -13,7 +13,7 @@ SMALL = "/root/testdata/sf0.001"
 def wh(spark):
     t = tables(spark, SMALL)
     return Warehouse(AnalogRaw(t), seed_drg_service_line(t), cost_tie_break=("Report Record Number",),
-                     min_volume=min_volume_for(SMALL))
+                     min_volume=30)
 
 
 def test_left_joins_preserve_rows(wh):

@@ -30,7 +30,7 @@ def test_scan_prunes_columns_and_aggregates_before_shuffle(spark):
 def test_flagship_has_no_pairwise_join_and_broadcasts_small_dims(spark):
     t = TableSet(spark, SMALL)
     wh = Warehouse(AnalogRaw(t), seed_drg_service_line(t), cost_tie_break=("Report Record Number",),
-                   min_volume=6)
+                   min_volume=30, persist_dims=True)
     plan = executed(wh.mart_service_line_margin)
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin"):
         assert bad not in plan
@@ -39,10 +39,21 @@ def test_flagship_has_no_pairwise_join_and_broadcasts_small_dims(spark):
     assert "BroadcastHashJoin" in gap_plan and "SortMergeJoin" not in gap_plan.split("InMemoryRelation")[0]
 
 
+def test_percentiles_skip_the_ranking_and_lift_has_no_window(spark):
+    from wardmart.plans import catalogue
+    from wardmart.operators.analysis import null_lift
+    plan = executed(catalogue.q_volume_percentiles(catalogue.Ctx(spark, SMALL)))
+    assert "rank(" not in plan                      # percentiles come before ranking
+    df = spark.createDataFrame([("a", None), ("a", 1.0), ("b", 2.0)], "g string, v double")
+    lift = null_lift(df, "v", "g")
+    assert "Window" not in executed(lift)
+    assert {(r.g, r.share_of_nulls, r.lift) for r in lift.collect()} == {("a", 1.0, 1.5), ("b", 0.0, 0.0)}
+
+
 def test_over_bound_dimension_is_not_broadcast(spark):
     t = TableSet(spark, SMALL)
     wh = Warehouse(AnalogRaw(t), seed_drg_service_line(t), cost_tie_break=("Report Record Number",),
-                   min_volume=6, max_broadcast_rows=10)
+                   min_volume=30, max_broadcast_rows=10, persist_dims=True)
     fact = wh.fct_medicare_drg
     assert wh._bounds["dim_hospital"] is False and wh._bounds["dim_drg"] is False
     plan = fact._jdf.queryExecution().optimizedPlan().toString()

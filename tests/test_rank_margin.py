@@ -1,10 +1,11 @@
+import math
 import random
 
 import numpy as np
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from wardmart.operators import exact_percentiles, global_rank, rollup_ranked
+from wardmart.operators import exact_percentiles, global_rank, rollup_groups, rollup_ranked
 
 
 def test_global_rank_equals_sql_rank_with_ties_and_nulls(spark):
@@ -50,7 +51,7 @@ def _fixture(spark):
 def _rollup(df, form):
     return rollup_ranked(df, ["service_line", "metro_name"], "margin", {"total_margin": "margin"},
                          "total_discharges", "total_discharge_volume", 30, "avg_margin",
-                         "key", "metro_name", 4, form)
+                         "key", "metro_name", form)
 
 
 def test_rollup_ranked_threshold_ties_and_null_metro(spark):
@@ -108,3 +109,31 @@ def test_bucket_of_tree_and_search_agree(spark):
     small = bounds[:40]
     got_small = [r[0] for r in df.select(_bucket_of(F.col("v"), small)).collect()]
     assert got_small == [bisect.bisect_left(small, x) for x in probe]
+
+
+def test_exact_sums_keep_large_values_and_nan(spark):
+    rows = [("a", 1e14, 1), ("a", 0.1, 1), ("b", 1e17, 1), ("b", 5e17, 1), ("c", float("nan"), 1), ("c", 1.0, 1),
+            ("d", None, 1), ("e", 0.1, 1), ("e", 0.2, 1)]
+    df = spark.createDataFrame(rows, "g string, v double, n long")
+    out = {r.g: r for r in rollup_groups(df, ["g"], "v", {"total": "v"}, "n", "volume", "avg").collect()}
+    assert out["a"].total == 1e14 + 0.1 and out["b"].total == 6e17 and out["b"].avg == 3e17
+    assert math.isnan(out["c"].total) and out["d"].total is None and out["d"].avg is None
+    assert out["e"].total == 0.3                      # 0.1 + 0.2 as doubles is not
+
+
+def test_rank_is_a_bigint(spark):
+    ranked = global_rank(spark.createDataFrame([(1.0,), (2.0,)], "v double"), "v", "r")
+    assert dict(ranked.dtypes)["r"] == "bigint"
+
+
+def test_rank_reads_its_input_once(spark):
+    scans = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def seen(v):
+        scans.add(1)
+        return v
+
+    df = spark.range(100).select(seen((F.col("id") % 7).cast("double")).alias("v"))
+    assert global_rank(df, "v", "r").where("r > 0").count() == 100
+    assert scans.value == 100

@@ -1,5 +1,9 @@
 import os
 
+import pytest
+from pyspark.sql import functions as F
+
+from wardmart.operators import has_at_most
 from wardmart.sources import audit_counts, date_spine, materialize, new_run_id, scan_csv
 
 
@@ -71,3 +75,36 @@ def test_integer_columns_accept_integral_decimal_text(spark, tmpdir_path):
         f.write("ccn,n\n1,40.5\n")
     with pytest.raises(Exception):
         scan_csv(spark, path, types={"n": "bigint"}).collect()
+
+
+def test_csv_quotes_line_breaks_and_backslashes(spark, tmpdir_path):
+    path = os.path.join(tmpdir_path, "quoted.csv")
+    with open(path, "w", newline="") as f:
+        f.write('id,name,note\r\n1,"ST ""MARY"" HOSP","a\nb"\r\n2,"a\\",x\r\n')
+    got = {r.id: r for r in scan_csv(spark, path, multiline=True).collect()}
+    assert got["1"].name == 'ST "MARY" HOSP' and got["1"].note == "a\nb"
+    assert got["2"].name == "a\\" and got["2"].note == "x"
+
+
+def test_csv_malformed_record_raises(spark, tmpdir_path):
+    path = os.path.join(tmpdir_path, "short.csv")
+    with open(path, "w") as f:
+        f.write("id,name\n1,a\n2\n")
+    with pytest.raises(Exception, match="MALFORMED|malformed|FAILFAST"):
+        scan_csv(spark, path).collect()
+
+
+def test_bucketed_table_has_one_file_a_bucket(spark, tmpdir_path):
+    df = spark.range(1000).repartition(8).withColumnRenamed("id", "k")
+    materialize(spark, df, tmpdir_path, "bucketed", new_run_id(), bucket_by=(4, ["k"]),
+                database="wardmart_test_" + new_run_id())
+    files = [f for _, _, names in os.walk(os.path.join(tmpdir_path, "bucketed")) for f in names
+             if f.endswith(".parquet")]
+    assert len(files) <= 4
+
+
+def test_broadcast_check_merges_one_row_a_task(spark):
+    df = spark.range(10_000).withColumn("s", F.repeat(F.lit("x"), 100))
+    assert has_at_most(df, 10_000) and not has_at_most(df, 9_999)
+    assert not has_at_most(df, 10_000, max_bytes=1000)
+    assert has_at_most(df.limit(0), 0)
