@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from wardmart.operators import has_at_most
-from wardmart.sources import audit_counts, date_spine, materialize, new_run_id, scan_csv
+from wardmart.sources import audit_counts, date_spine, drop_old_runs, materialize, new_run_id, scan_csv
 
 
 def test_scan_csv_keeps_id_text_and_nulls_na_tokens(spark, tmpdir_path):
@@ -108,3 +108,16 @@ def test_broadcast_check_merges_one_row_a_task(spark):
     assert has_at_most(df, 10_000) and not has_at_most(df, 9_999)
     assert not has_at_most(df, 10_000, max_bytes=1000)
     assert has_at_most(df.limit(0), 0)
+
+
+def test_old_runs_go_and_the_newest_stay(spark, tmpdir_path):
+    database, ids = "wardmart_test_" + new_run_id(), []
+    for n in range(3):
+        ids.append(new_run_id())
+        materialize(spark, spark.range(n + 1).withColumnRenamed("id", "k"), tmpdir_path, "model", ids[-1],
+                    bucket_by=(2, ["k"]), database=database)
+        os.utime(os.path.join(tmpdir_path, "model", f"run={ids[-1]}"), (n, n))
+    assert drop_old_runs(spark, tmpdir_path, "model", 2, database) == ids[:1]
+    assert sorted(os.listdir(os.path.join(tmpdir_path, "model"))) == sorted(f"run={i}" for i in ids[1:])
+    assert [spark.table(f"{database}.model__{i}").count() for i in ids[1:]] == [2, 3]
+    assert not spark.catalog.tableExists(f"{database}.model__{ids[0]}")

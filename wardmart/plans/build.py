@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from ..operators import quality as Q
-from ..sources import as_view, materialize, new_run_id
+from ..sources import as_view, drop_old_runs, materialize, new_run_id
 from ..session import warehouse_root
 from .suite import spark_checks
 from .warehouse import Warehouse
@@ -37,11 +37,13 @@ BUCKETED_ON_HOSPITAL = ["dim_hospital", "fct_hospital_finance", "fct_medicare_dr
 
 def build_all(spark: SparkSession, wh: Warehouse, root: str | None = None,
               run_id: str | None = None, service_lines: list[str] | None = None,
-              enforce: bool = True, buckets: int | None = None) -> dict:
+              enforce: bool = True, buckets: int | None = None, keep_runs: int = 2) -> dict:
     """Write every table model, then run the 52 declared tests on them.
 
     Hospital-keyed tables are bucketed on ``hospital_key`` into ``buckets``
-    (default: the session's shuffle partition count).
+    (default: the session's shuffle partition count). After success only the
+    ``keep_runs`` newest runs of a table stay, this one and by default the
+    one before, which readers may still use.
 
     Returns ``{"run_id", "root", "audits": {model: metrics}, "report":
     DataFrame, "tests": rows}``; the report DataFrame reads only the written
@@ -63,4 +65,6 @@ def build_all(spark: SparkSession, wh: Warehouse, root: str | None = None,
         audits[name] = metrics
     report = Q.quality_report(spark_checks(wh.model, service_lines))
     rows = Q.enforce(report) if enforce else None
+    for name in TABLES:
+        drop_old_runs(spark, root, name, keep_runs)
     return {"run_id": run_id, "root": root, "audits": audits, "report": report, "tests": rows}

@@ -66,6 +66,25 @@ def materialize(spark: SparkSession, df: DataFrame, root: str, name: str, run_id
     return spark.table(table), dict(obs.get)
 
 
+def drop_old_runs(spark: SparkSession, root: str, name: str, keep: int,
+                  database: str = "wardmart_runs") -> list[str]:
+    """Delete all but the ``keep`` newest runs of a materialised table, with
+    their catalog entries; returns the ids of the runs that went."""
+    fs = spark._jvm.org.apache.hadoop.fs
+    folder = fs.Path(f"{root}/{name}")
+    store = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    runs = sorted((s for s in store.listStatus(folder) if s.getPath().getName().startswith("run=")),
+                  key=lambda s: s.getModificationTime())
+    gone = []
+    for status in runs[:max(0, len(runs) - max(1, keep))]:
+        run_id = status.getPath().getName().removeprefix("run=")
+        if spark.catalog.databaseExists(database):
+            spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{name}__{run_id}`")
+        store.delete(status.getPath(), True)
+        gone.append(run_id)
+    return gone
+
+
 def as_view(df: DataFrame, name: str) -> DataFrame:
     """View materialisation (S9): a named lazy plan."""
     df.createOrReplaceTempView(name)
