@@ -10,7 +10,9 @@ declared data tests run against the written tables.
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import quality as Q
 from ..sources import as_view, drop_old_runs, materialize, new_run_id
@@ -22,9 +24,12 @@ from .warehouse import Warehouse
 VIEWS = ["stg_hospital_general_info", "stg_cost_report", "stg_census_acs", "stg_zip_cbsa_crosswalk",
          "stg_medicare_inpatient"]
 # models written as tables, in dependency order; staging stays lazy (views)
-TABLES = ["dim_hospital", "dim_drg", "dim_geography", "dim_date", "fct_hospital_finance",
-          "fct_medicare_drg", "mart_reimbursement_gap", "mart_service_line_margin",
-          "mart_finance_scorecard", "mart_burden_vs_community"]
+# the models of a wave read only models of earlier waves and are written side by side
+WAVES = [["dim_hospital", "dim_drg", "dim_geography", "dim_date"],
+         ["fct_hospital_finance", "fct_medicare_drg"],
+         ["mart_reimbursement_gap", "mart_finance_scorecard"],
+         ["mart_service_line_margin", "mart_burden_vs_community"]]
+TABLES = [name for wave in WAVES for name in wave]
 
 AUDIT_NULLS = {"dim_hospital": ["cbsa_code"], "mart_burden_vs_community": ["metro_name"]}
 
@@ -56,13 +61,20 @@ def build_all(spark: SparkSession, wh: Warehouse, root: str | None = None,
     audits = {}
     for name in VIEWS:
         as_view(wh.model(name), name)
-    for name in TABLES:
+
+    def write(name: str, model: DataFrame):
         bucket = (n, ["hospital_key"]) if name in BUCKETED_ON_HOSPITAL else None
-        df, metrics = materialize(spark, wh.model(name), root, name, run_id,
-                                  audit_nulls=AUDIT_NULLS.get(name, ()), bucket_by=bucket)
-        # later models read the written table (cached_property slot)
-        wh.__dict__[name] = df
-        audits[name] = metrics
+        return materialize(spark, model, root, name, run_id, audit_nulls=AUDIT_NULLS.get(name, ()),
+                           bucket_by=bucket)
+
+    for wave in WAVES:
+        models = {name: wh.model(name) for name in wave}
+        with ThreadPoolExecutor(len(wave)) as pool:
+            written = dict(zip(wave, pool.map(write, wave, models.values())))
+        for name, (df, metrics) in written.items():
+            # later models read the written table (cached_property slot)
+            wh.__dict__[name] = df
+            audits[name] = metrics
     report = Q.quality_report(spark_checks(wh.model, service_lines))
     rows = Q.enforce(report) if enforce else None
     for name in TABLES:
