@@ -14,16 +14,17 @@ import json
 import re
 import sys
 import unicodedata
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import bound_batches
+from .shared import bound_batches, frugal, ship
 
 NO_RANK = np.iinfo(np.int64).max
-KNOWN_WORDS = 300_000    # distinct chunks a task remembers between batches
+KNOWN_WORDS = 200_000    # distinct chunks a task remembers between batches
 SEPARATORS = re.compile("[\x1c-\x1f]")
 
 
@@ -91,23 +92,28 @@ class Vocabulary:
         return np.where(self.keys[at] == key, self.ranks[at], NO_RANK)
 
 
-def merge_rounds(vocab: Vocabulary, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Token ids of all words in one array, and the number of each word's."""
-    if not words:
+def merge_rounds(vocab: Vocabulary, text: bytes, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Token ids of all words in one array, and the number of each word's.
+    ``text`` is the words' UTF-8 without gaps, ``ends`` are their ends in
+    characters."""
+    if not len(ends):
         return np.empty(0, np.int64), np.empty(0, np.int64)
-    sizes = np.fromiter(map(len, words), np.int64, len(words))
-    flat = np.frombuffer(b"".join(words), np.uint8)
+    flat = np.frombuffer(text, np.uint8)
+    if ends[-1] != len(flat):
+        first_bytes = np.flatnonzero((flat & 0xC0) != 0x80)
+        ends = np.append(first_bytes, len(flat))[ends]
+    sizes = np.diff(ends, prepend=0)
+    ends = ends - 1
     symbol = vocab.inner[flat]
-    ends = np.cumsum(sizes) - 1
     symbol[ends] = vocab.last[flat[ends]]
-    word = np.repeat(np.arange(len(words)), sizes)
+    word = np.repeat(np.arange(len(ends)), sizes)
     rank = np.full(len(symbol), NO_RANK)
     within = np.flatnonzero(word[:-1] == word[1:])
     rank[within] = vocab.rank(symbol[within], symbol[within + 1])
     done_word, done_symbol = [], []
     while len(symbol):
-        starts = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
-        counts = np.diff(np.r_[starts, len(word)])
+        starts = np.flatnonzero(np.diff(word, prepend=-1))
+        counts = np.diff(starts, append=len(word))
         least = np.repeat(np.minimum.reduceat(rank, starts), counts)
         open_ = least != NO_RANK
         if not open_.all():
@@ -135,7 +141,7 @@ def merge_rounds(vocab: Vocabulary, words: list[bytes]) -> tuple[np.ndarray, np.
         rank[left] = vocab.rank(symbol[left], symbol[left + 1])
     word, symbol = np.concatenate(done_word), np.concatenate(done_symbol)
     order = np.argsort(word, kind="stable")
-    return symbol[order], np.bincount(word, minlength=len(words))
+    return symbol[order], np.bincount(word, minlength=len(ends))
 
 
 class Numbering(dict):
@@ -178,23 +184,24 @@ class Encoder:
 
     def _learn(self) -> None:
         """Encode the chunks seen since the last call."""
-        new = list(self.numbers)[len(self.start):]
+        new = list(islice(self.numbers, len(self.start), None))
         if not new:
             return
-        words, count = [], np.zeros(len(new), np.int64)
-        for k, chunk in enumerate(new):
-            if chunk not in self.vocab.special:
-                found = self.pattern.findall(chunk)
-                words += found
-                count[k] = len(found)
-        flat, sizes = merge_rounds(self.vocab, [w.encode() for w in words])
-        size = np.bincount(np.repeat(np.arange(len(new)), count), sizes, len(new)).astype(np.int64)
         special = [k for k, chunk in enumerate(new) if chunk in self.vocab.special]
-        at = (np.cumsum(size) - size)[special]
-        flat = np.insert(flat, at, [self.vocab.special[new[k]] for k in special])
-        size[special] = 1
+        plain = ["" if k in set(special) else chunk for k, chunk in enumerate(new)] if special else new
+        # every character of a chunk lies in one of its words
+        words = self.pattern.findall(" ".join(plain))
+        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
+        chunk_ends = np.cumsum(np.fromiter(map(len, plain), np.int64, len(plain)))
+        owner = np.searchsorted(chunk_ends, ends, "left")
+        flat, sizes = merge_rounds(self.vocab, "".join(words).encode(), ends)
+        size = np.bincount(owner, sizes, len(new)).astype(np.int64)
+        if special:
+            at = (np.cumsum(size) - size)[special]
+            flat = np.insert(flat, at, [self.vocab.special[new[k]] for k in special])
+            size[special] = 1
         start = len(self.flat) + np.cumsum(size) - size
-        self.flat, self.start, self.size = (np.r_[a, b] for a, b in (
+        self.flat, self.start, self.size = (np.concatenate(x) for x in (
             (self.flat, flat), (self.start, start), (self.size, size)))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
@@ -234,10 +241,10 @@ def bpe_encode(docs: DataFrame, path: str, text_col: str = "text", ids_col: str
     bound_batches(spark)
     made = [ids_col, *([decoded_col] if decoded_col else [])]
     passed = [c for c in docs.columns if c not in (text_col, *made)]
-    table = spark.sparkContext.broadcast(Vocabulary(path))
+    table = ship(spark, Vocabulary(path))
 
     def scan(batches):
-        vocab = table.value
+        vocab = table()
         encoder = Encoder(vocab)
         for batch in batches:
             ids = encoder.encode([t or "" for t in batch.column(batch.num_columns - 1).to_pylist()])
@@ -251,7 +258,7 @@ def bpe_encode(docs: DataFrame, path: str, text_col: str = "text", ids_col: str
     schema = source.select(*[f"`{c}`" for c in passed]).schema.add(ids_col, "binary")
     if decoded_col:
         schema = schema.add(decoded_col, "string")
-    return source.mapInArrow(scan, schema)
+    return source.mapInArrow(frugal(scan), schema)
 
 
 def bpe_decode(df: DataFrame, path: str, ids_col: str = "ids", decoded_col: str = "decoded") -> DataFrame:
@@ -260,14 +267,15 @@ def bpe_decode(df: DataFrame, path: str, ids_col: str = "ids", decoded_col: str
     spark = df.sparkSession
     bound_batches(spark)
     passed = [c for c in df.columns if c != decoded_col]
-    table = spark.sparkContext.broadcast(Vocabulary(path))
+    table = ship(spark, Vocabulary(path))
     at = passed.index(ids_col)
 
     def scan(batches):
+        vocab = table()
         for batch in batches:
-            texts = [decode(table.value, np.frombuffer(x or b"", "<u4")) for x in batch.column(at).to_pylist()]
+            texts = [decode(vocab, np.frombuffer(x or b"", "<u4")) for x in batch.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.binary()).cast(pa.string())],
                                              [*passed, decoded_col])
 
     source = df.select(*[f"`{c}`" for c in passed])
-    return source.mapInArrow(scan, source.select("*").schema.add(decoded_col, "string"))
+    return source.mapInArrow(frugal(scan), source.select("*").schema.add(decoded_col, "string"))
