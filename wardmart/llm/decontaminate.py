@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import bound_batches, cut, ship
+from .shared import bound_batches, cut, frugal, ship
 from .words import WordHashes, mix, shingle_hashes
 
 SHINGLE = 5
@@ -214,7 +214,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                      pa.array(starts, pa.int64()), pa.array(sizes, pa.int64()), pa.array(sims, pa.float64())],
                     ["id", "item", "start_word", "n_words", "similarity"])
 
-        part = texts.mapInArrow(scan, f"id {id_type}, item {'long' if item_type in ('bigint', 'int') else 'string'}, "
+        part = texts.mapInArrow(frugal(scan), f"id {id_type}, item {'long' if item_type in ('bigint', 'int') else 'string'}, "
                                       "start_word long, n_words long, similarity double")
         found = part if found is None else found.unionByName(part)
     return cut(found, "contamination").select(F.col("id").alias(id_col), F.col("item").cast(item_type).alias("item_id"),

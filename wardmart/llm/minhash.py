@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import bound_batches, cut, small
+from .shared import bound_batches, cut, frugal, small
 from .words import WordHashes, mix, shingle_set, words
 
 UNIVERSE_BITS = 20
@@ -95,7 +95,7 @@ def _fingerprints(docs: DataFrame, id_col: str, text_col: str, size: int, rows:
                  pa.array(found, pa.list_(pa.int64()))], ["id", "n", "set_key", "bands"])
 
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").cast("binary").alias("t")) \
-        .mapInArrow(scan, f"id {id_type}, n long, set_key string, bands array<long>")
+        .mapInArrow(frugal(scan), f"id {id_type}, n long, set_key string, bands array<long>")
 
 
 def _sets(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
@@ -111,7 +111,7 @@ def _sets(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, size: int
 
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").cast("binary").alias("t"))
     return texts.join(small(ids, BROADCAST_IDS), "id", "left_semi") \
-        .mapInArrow(scan, f"id {id_type}, shingles binary")
+        .mapInArrow(frugal(scan), f"id {id_type}, shingles binary")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -130,7 +130,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
     return pairs.select("a", "b").join(left, "a").join(right, "b") \
-        .select("a", "b", "sa", "sb").mapInArrow(check, f"a {id_type}, b {id_type}")
+        .select("a", "b", "sa", "sb").mapInArrow(frugal(check), f"a {id_type}, b {id_type}")
 
 
 def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
@@ -202,7 +202,7 @@ def _open_links(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     right = sets.select(F.col("id").alias("hub"), F.col("shingles").alias("sb"))
     apart = cut(near.join(left, "id").join(right, "hub")
                 .select("id", "hub", "c", "outside", F.xxhash64("hub").alias("salt"), "sa", "sb")
-                .mapInArrow(differences, f"id {id_type}, hub {id_type}, c {id_type}, outside boolean, "
+                .mapInArrow(frugal(differences), f"id {id_type}, hub {id_type}, c {id_type}, outside boolean, "
                                          "linked boolean, n long, diff binary"), "minhash-apart")
     to_hub = apart.where("linked and id <> hub").select(F.col("id").alias("a"), F.col("hub").alias("b"))
 
@@ -289,7 +289,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # rows with the representative of their set; a set without copies is its own
     same = classes.where("size > 1").select("set_key", "rep")
     placed = cut(scanned.join(small(same, BROADCAST_IDS), "set_key", "left")
-                 .select("id", "n", F.coalesce("rep", "id").alias("rep")), "minhash-placed")
+                 .select("id", "n", F.when(F.col("id").isNotNull(), F.coalesce("rep", "id")).alias("rep")),
+                 "minhash-placed")
     # an id that repeats with unlike texts links their representatives
     torn = cut(placed.where("id is not null").groupBy("id").agg(F.min("rep").alias("x"), F.max("rep").alias("y"))
                .where("x <> y").select("id"), "minhash-torn")

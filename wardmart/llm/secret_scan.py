@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import bound_batches, cut, small
+from .shared import bound_batches, cut, frugal, small
 
 # The kinds and their patterns.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
@@ -86,7 +86,7 @@ def _scan(docs: DataFrame, id_col: str, text_col: str, repo: Column, owner: Colu
 
     return docs.select(F.col(id_col).alias("id"), repo.cast("string").alias("repo"),
                        owner.cast("string").alias("owner"), F.col(text_col).cast("string").alias("t")) \
-        .mapInArrow(scan, f"id {id_type}, repo string, owner string, text_key string, spans array<{SPAN}>, "
+        .mapInArrow(frugal(scan), f"id {id_type}, repo string, owner string, text_key string, spans array<{SPAN}>, "
                           "n_assign long, n_access long, n_hex long, base_sha256 string")
 
 

@@ -6,6 +6,7 @@ import pickle
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -60,7 +61,7 @@ def fold(col: str, buckets: int) -> Column:
     return F.crc32(F.col(col).cast("string").cast("binary")) % buckets
 
 
-def bound_batches(spark: SparkSession, size: str = "8m") -> None:
+def bound_batches(spark: SparkSession, size: str = "4m") -> None:
     """Arrow batches sent to Python hold at most ``size`` (one row at least)."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
 
@@ -70,3 +71,12 @@ def ship(spark: SparkSession, value):
     by value, like functions."""
     held = spark.sparkContext.broadcast(cloudpickle.dumps(value))
     return lambda: pickle.loads(held.value)
+
+
+def frugal(scan):
+    """``scan`` that gives Arrow's unused memory back when a task ends; the
+    worker process lives on for other tasks."""
+    def run(batches):
+        yield from scan(batches)
+        pa.default_memory_pool().release_unused()
+    return run

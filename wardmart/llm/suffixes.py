@@ -15,7 +15,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import bound_batches, cut, small
+from .shared import bound_batches, cut, frugal, small
 from .words import MULTIPLIER, WordHashes, mix, shingle_hashes, words
 
 PASSAGE = 50             # words a repeated passage has at least
@@ -72,7 +72,7 @@ def _suffixes(docs: DataFrame, passage: int, gram: int) -> DataFrame:
                  batch.column(0).take(pa.array(np.concatenate(rows or empty))),
                  pa.array(np.concatenate(places or empty).astype(np.int32), pa.int32())], ["key", "ctx", "id", "pos"])
 
-    return docs.mapInArrow(scan, f"key long, ctx long, id {id_type}, pos int")
+    return docs.mapInArrow(frugal(scan), f"key long, ctx long, id {id_type}, pos int")
 
 
 def _neighbours(suffixes: DataFrame, order: list[str], name: str) -> tuple[DataFrame, DataFrame]:
@@ -124,7 +124,7 @@ def _neighbours(suffixes: DataFrame, order: list[str], name: str) -> tuple[DataF
             yield emit(carry, carry.num_rows - 1, carry.num_rows, True)
 
     found = cut(suffixes.repartitionByRange(*order).sortWithinPartitions(*order).select("key", "ctx", "id", "pos")
-                .mapInArrow(scan, f"key long, ctx long, id {id_type}, pos int, other {id_type}, other_pos int, "
+                .mapInArrow(frugal(scan), f"key long, ctx long, id {id_type}, pos int, other {id_type}, other_pos int, "
                                   "paired boolean, repeats boolean, edge int, part int"), name)
     # two rows a task
     ends = Window.orderBy("part", "edge_at")
@@ -175,7 +175,7 @@ def _extended(pairs: DataFrame, docs: DataFrame, passage: int) -> DataFrame:
     both = cut(places, "suffix-pairs").join(texts.select("id", F.col("t").alias("x")), "id") \
         .join(texts.select(F.col("id").alias("other"), F.col("t").alias("y")), "other")
     return both.select("id", "other", "at", "x", "y") \
-        .mapInArrow(extend, f"id {id_type}, start long, end long, other {id_type}, other_start long")
+        .mapInArrow(frugal(extend), f"id {id_type}, start long, end long, other {id_type}, other_start long")
 
 
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

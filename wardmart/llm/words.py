@@ -12,7 +12,7 @@ MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 class WordHashes(dict):
     """64-bit hash of a word's bytes, remembered up to ``limit`` words."""
 
-    def __init__(self, limit: int = 300_000):
+    def __init__(self, limit: int = 150_000):
         super().__init__()
         self.limit = limit
 
