@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import pickle
 import tempfile
 import uuid
@@ -61,7 +62,7 @@ def fold(col: str, buckets: int) -> Column:
     return F.crc32(F.col(col).cast("string").cast("binary")) % buckets
 
 
-def bound_batches(spark: SparkSession, size: str = "4m") -> None:
+def bound_batches(spark: SparkSession, size: str = "2m") -> None:
     """Arrow batches sent to Python hold at most ``size`` (one row at least)."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
 
@@ -73,10 +74,18 @@ def ship(spark: SparkSession, value):
     return lambda: pickle.loads(held.value)
 
 
+def give_back() -> None:
+    """Return memory that this worker process has freed to the machine; the
+    process lives on for other tasks, beside those of other stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def frugal(scan):
-    """``scan`` that gives Arrow's unused memory back when a task ends; the
-    worker process lives on for other tasks."""
-    def run(batches):
-        yield from scan(batches)
-        pa.default_memory_pool().release_unused()
+    """``scan`` that gives its memory back when a task ends."""
+    def run(*args):
+        yield from scan(*args)
+        give_back()
     return run

@@ -25,7 +25,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import bound_batches, cut, fold
+from .shared import bound_batches, cut, fold, frugal, give_back
 
 GRAMS = (4, 5, 6, 7)
 BUCKET_BITS = 20
@@ -102,7 +102,7 @@ def _ratios(sample: DataFrame, features: int) -> dict[int, float]:
             [pa.array(np.r_[at, -1].astype(np.int64)), pa.array(np.r_[seen[0, at], rows[0]].astype(np.int64)),
              pa.array(np.r_[seen[1, at], rows[1]].astype(np.int64))], ["bucket", "clean", "toxic"])
 
-    counts = cut(sample.select("text", "label").mapInArrow(count, "bucket long, clean long, toxic long")
+    counts = cut(sample.select("text", "label").mapInArrow(frugal(count), "bucket long, clean long, toxic long")
                  .groupBy("bucket").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")),
                  "toxicity-counts")
     total = counts.where("bucket = -1").first()
@@ -147,7 +147,7 @@ def train_model(docs: DataFrame, labels: DataFrame, train, id_col: str = "doc_id
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(grams, pa.list_(pa.string()))],
                                              ["label", "weight", "grams"])
 
-    found = cut(sample.mapInArrow(features_of, "label int, weight double, grams array<string>"), "toxicity-grams")
+    found = cut(sample.mapInArrow(frugal(features_of), "label int, weight double, grams array<string>"), "toxicity-grams")
     present = CountVectorizerModel.from_vocabulary([str(b) for b in chosen], "grams", "present") \
         .setBinary(True).transform(found)
     scaled = ElementwiseProduct(scalingVec=Vectors.dense([ratios[b] for b in chosen]),
@@ -176,6 +176,7 @@ def scorer(spark: SparkSession, model: Model):
                     b = buckets(text)
                     logits[k] += weights[np.unique(b[has[b]])].sum(dtype=np.float64)
             yield pd.Series(1 / (1 + np.exp(-np.clip(logits, -500, 500))))
+        give_back()
 
     return probability
 
