@@ -27,11 +27,10 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import bound_batches, cut, ship
+from .shared import bound_batches, cut, frugal, ship
 from .words import MULTIPLIER, WordHashes, mix, words
 
 CUTOFF = 5               # counts up to here are discounted by Good-Turing
@@ -51,16 +50,27 @@ PAIRS, DOCS, LISTS, SUMS, EVENTS, PART, VALUES, ADJUST = range(8)
 
 
 def pack(*arrays: np.ndarray) -> bytes:
+    """Arrays as one compressed blob, 16-bit numbers by byte planes."""
     head = b"".join(struct.pack("<2sQ", a.dtype.str[1:].encode(), len(a)) for a in arrays)
-    return struct.pack("<I", len(arrays)) + head + b"".join(a.tobytes() for a in arrays)
+    body = b"".join(np.ascontiguousarray(a.view("u1").reshape(-1, 2).T).tobytes() if a.dtype.itemsize == 2
+                    else a.tobytes() for a in arrays)
+    blob = struct.pack("<I", len(arrays)) + head + body
+    return struct.pack("<Q", len(blob)) + pa.Codec("zstd", 1).compress(blob, asbytes=True)
 
 
 def unpack(blob: bytes) -> list[np.ndarray]:
+    size, = struct.unpack_from("<Q", blob)
+    blob = pa.Codec("zstd", 1).decompress(memoryview(blob)[8:], size, asbytes=True)
     n, = struct.unpack_from("<I", blob)
     at, out = 4 + 10 * n, []
     for k in range(n):
         kind, size = struct.unpack_from("<2sQ", blob, 4 + 10 * k)
-        out.append(np.frombuffer(blob, "<" + kind.decode(), size, at))
+        kind = np.dtype("<" + kind.decode())
+        if kind.itemsize == 2:
+            planes = np.frombuffer(blob, "u1", 2 * size, at).reshape(2, -1)
+            out.append(np.ascontiguousarray(planes.T).view(kind).ravel())
+        else:
+            out.append(np.frombuffer(blob, kind, size, at))
         at += out[-1].nbytes
     return out
 
@@ -131,19 +141,18 @@ class Unigrams:
         return np.where(among[at] == x, at, -1)
 
 
-def _tokens(batches, memo: WordHashes) -> Iterator[tuple[list, np.ndarray, np.ndarray, list, np.ndarray]]:
+def _tokens(rows, memo: WordHashes) -> Iterator[tuple[list, np.ndarray, np.ndarray, list]]:
     """Batches of documents: ids, held-out flags, trained-on flags, token hashes by document."""
     ids, held, train, hashes, n = [], [], [], [], 0
-    for batch in batches:
-        for i, text, t, h in zip(*(c.to_pylist() for c in batch.columns)):
-            ids.append(i)
-            train.append(bool(t))
-            held.append(bool(h))
-            hashes.append(np.append(memo.of(words(text)), END))
-            n += len(hashes[-1])
-            if n >= BATCH_TOKENS or len(ids) >= BATCH_DOCS:
-                yield ids, np.array(held), np.array(train), hashes
-                ids, held, train, hashes, n = [], [], [], [], 0
+    for i, text, t, h in rows:
+        ids.append(i)
+        train.append(bool(t))
+        held.append(bool(h))
+        hashes.append(np.append(memo.of(words(text)), END))
+        n += len(hashes[-1])
+        if n >= BATCH_TOKENS or len(ids) >= BATCH_DOCS:
+            yield ids, np.array(held), np.array(train), hashes
+            ids, held, train, hashes, n = [], [], [], [], 0
     if ids:
         yield ids, np.array(held), np.array(train), hashes
 
@@ -153,7 +162,8 @@ def _unigrams(source: DataFrame) -> Unigrams:
     def count(batches):
         memo = WordHashes()
         seen, times = np.empty(0, np.uint64), np.empty(0, np.int64)
-        for _, _, train, hashes in _tokens(batches, memo):
+        rows = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns)))
+        for _, _, train, hashes in _tokens(rows, memo):
             mine = [h for h, t in zip(hashes, train) if t]
             if mine:
                 w, c = np.unique(np.concatenate(mine), return_counts=True)
@@ -162,7 +172,7 @@ def _unigrams(source: DataFrame) -> Unigrams:
                 seen = both
         yield pa.RecordBatch.from_arrays([pa.array(seen.view(np.int64)), pa.array(times)], ["w", "c"])
 
-    counts = cut(source.mapInArrow(count, "w long, c long").groupBy("w").agg(F.sum("c").alias("c")), "katz-unigrams")
+    counts = cut(source.mapInArrow(frugal(count), "w long, c long").groupBy("w").agg(F.sum("c").alias("c")), "katz-unigrams")
     n = [0] * (CUTOFF + 2)
     for r in counts.where(F.col("c") <= CUTOFF + 1).groupBy("c").agg(F.count(F.lit(1)).alias("n")).collect():
         n[r.c] = r.n
@@ -179,13 +189,12 @@ def _unigrams(source: DataFrame) -> Unigrams:
                     w[order], np.array([r.c for r in hot], np.int64)[order])
 
 
-def _emit(parts: int, uni, id_type: pa.DataType):
-    """Blobs (key, tag, batch, payload) of a partition's documents."""
-    def emit(batches):
+def _emit(parts: int, uni):
+    """Blobs (key, (tag, batch, payload, ids)) of a partition's documents."""
+    def emit(index, rows):
         memo, u = WordHashes(), uni()
-        base = TaskContext.get().partitionId() << 24
-        for seq, (ids, held, train, hashes) in enumerate(_tokens(batches, memo)):
-            batch = base + seq
+        for seq, (ids, held, train, hashes) in enumerate(_tokens(rows, memo)):
+            batch = (index << 24) + seq
             size = np.fromiter(map(len, hashes), np.int64, len(hashes))
             w = np.concatenate(hashes)
             h = np.r_[START, w[:-1]]
@@ -193,7 +202,7 @@ def _emit(parts: int, uni, id_type: pa.DataType):
             h[first] = START
             h &= SHORT
             doc = np.repeat(np.arange(len(ids)), size)
-            out = [(batch % parts, DOCS, pa.array(ids, id_type), pack(held.astype("u1"), size))]
+            yield batch % parts, (DOCS, batch, pack(held.astype("u1"), size), ids)
 
             pair = mix(w * MULTIPLIER + h)
             spread = Unigrams.find(u.hot, w) >= 0
@@ -210,8 +219,8 @@ def _emit(parts: int, uni, id_type: pa.DataType):
             uid = np.flatnonzero(big)
             if len(uid):
                 inside = np.repeat(big, occurs)
-                out.append((batch % parts, LISTS, None, pack(uid.astype("<u4"), occurs[uid].astype("<u4"),
-                                                             doc[inside].astype("<u2"))))
+                yield batch % parts, (LISTS, batch, pack(uid.astype("<u4"), occurs[uid].astype("<u4"),
+                                                         doc[inside].astype("<u2")), None)
             doc_small = doc[np.repeat(~big, occurs)].astype("<u2")
             listed = np.where(big, 0, occurs)
             ends = np.r_[0, np.cumsum(listed)]
@@ -221,16 +230,10 @@ def _emit(parts: int, uni, id_type: pa.DataType):
             for lo, hi in zip(cuts[:-1], cuts[1:]):
                 starts = np.flatnonzero(word_at[lo:hi])
                 mine = uid[(uid >= lo) & (uid < hi)]
-                out.append((int(pair_part[lo]), PAIRS, None, pack(
+                yield int(pair_part[lo]), (PAIRS, batch, pack(
                     w[at[lo:hi]][starts], np.diff(np.r_[starts, hi - lo]).astype("<u4"), shorten(h[at[lo:hi]]),
                     listed[lo:hi].astype("<u4"), trained[lo:hi].astype("<u4"), doc_small[ends[lo]:ends[hi]],
-                    (mine - lo).astype("<u4"), mine.astype("<u4"))))
-            id_array = out[0][2]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.int32()),
-                 pa.array([batch] * len(out), pa.int64()), pa.array([o[3] for o in out], pa.binary()),
-                 pa.ListArray.from_arrays(pa.array([0] + [len(id_array)] * len(out), pa.int32()),
-                                          id_array)], ["key", "tag", "batch", "payload", "ids"])
+                    (mine - lo).astype("<u4"), mine.astype("<u4")), None)
     return emit
 
 
@@ -245,14 +248,15 @@ class Partition:
         w_list = np.concatenate([p[0] for p in parts])
         w_pairs = np.concatenate([p[1] for p in parts]).astype(np.int64)
         self.h = lengthen(np.concatenate([p[2] for p in parts]))
-        trained = np.concatenate([p[4] for p in parts]).astype(np.int64)
+        trained = np.concatenate([p[4] for p in parts])
         word, at = np.unique(w_list, return_inverse=True)
-        word_of = np.repeat(at, w_pairs)
+        word_of = np.repeat(at.astype(np.int32), w_pairs)
         c = np.bincount(word_of, trained, len(word)).astype(np.int64)
         hot = Unigrams.find(uni.hot, word)
         c[hot >= 0] = uni.hot_counts[hot[hot >= 0]]
         pair, first, self.pair_of = np.unique(mix(word[word_of] * MULTIPLIER + self.h),
                                               return_index=True, return_inverse=True)
+        self.pair_of = self.pair_of.astype(np.int32)
         self.count = np.bincount(self.pair_of, trained, len(pair)).astype(np.int64)   # by distinct bigram
         self.pair_h = self.h[first]
         self.pair_c = c[word_of[first]]          # count of the bigram's word
@@ -319,6 +323,7 @@ def _answers(uni, table: np.ndarray, hot_alpha, parts: int):
             for to, s in _cuts(part_of(h, parts)):
                 yield int(to), (SUMS, 0, pack(shorten(h[s]), star[s], mass[s], total[s]), None)
 
+            del h, at, count, star, mass, total, cold
             # each entry's share of a document's score and base score
             count = p.count[p.pair_of]
             seen = count > 0
@@ -448,14 +453,10 @@ def katz_scores(docs: DataFrame, train: Column, held_out: Column, id_col: str =
     size = docs.agg(F.sum(F.octet_length(F.col(text_col)))).first()[0] or 0
     parts = max(spark.sparkContext.defaultParallelism, -(-size // partition_bytes))
 
-    blobs = source.mapInArrow(_emit(parts, uni, pa.int64() if kind == "long" else pa.string()),
-                              f"key long, tag int, batch long, payload binary, ids array<{kind}>")
-    # only the documents' own blob carries their ids
-    first = blobs.rdd.map(lambda r: (r.key, (r.tag, r.batch, bytes(r.payload), r.ids if r.tag == DOCS else None)))
-    counted = first.partitionBy(parts, int)
+    counted = source.rdd.mapPartitionsWithIndex(frugal(_emit(parts, uni))).partitionBy(parts, int)
 
     zero = np.zeros(CUTOFF + 2, np.int64), np.zeros((len(unigrams.hot_short), CUTOFF + 3))
-    n, hot = counted.mapPartitions(_statistics(uni)).treeAggregate(
+    n, hot = counted.mapPartitions(frugal(_statistics(uni))).treeAggregate(
         zero, lambda a, b: (a[0] + b[0], a[1] + b[1]), lambda a, b: (a[0] + b[0], a[1] + b[1]))
     table = good_turing(n.tolist())
     star = hot[:, 0] + hot[:, 1:CUTOFF + 1] @ table[1:]
@@ -463,8 +464,8 @@ def katz_scores(docs: DataFrame, train: Column, held_out: Column, id_col: str =
     alpha = np.log10(backoff(star, hot[:, CUTOFF + 1], history)) + np.log10(np.maximum(history, 1))
     alpha = ship(spark, np.where(history > 0, alpha, 0.0))
 
-    answered = counted.mapPartitions(_answers(uni, table, alpha, parts)).partitionBy(parts, int)
-    rows = answered.mapPartitions(_weights(parts)).partitionBy(parts, int).mapPartitions(_rows(uni))
+    answered = counted.mapPartitions(frugal(_answers(uni, table, alpha, parts))).partitionBy(parts, int)
+    rows = answered.mapPartitions(frugal(_weights(parts))).partitionBy(parts, int).mapPartitions(_rows(uni))
     schema = (f"id {kind}, held_out boolean, n_tokens long, n_known long, "
               "train_tokens long, base_score double, score double")
     scored = spark.createDataFrame(rows, schema, verifySchema=False)
