@@ -110,6 +110,27 @@ def test_repeated_passages_match_brute_force(make_docs, empty):
     assert again == [] and repeated_passages(empty).count() == 0
 
 
+def test_repeated_passages_around_a_common_line(make_docs):
+    rng = random.Random(21)
+    hot = gibberish(rng, 44)
+    rows = [f"{gibberish(rng, 20)} {hot} {gibberish(rng, 20)}" for _ in range(300)]
+    for before, after in [(0, 8)] * 20 + [(8, 0)] * 20 + [(4, 4)] * 20 + [(0, 6)] * 20:
+        passage = f"{gibberish(rng, before)} {hot} {gibberish(rng, after)}".strip()
+        rows += [f"{gibberish(rng, 20)} {passage} {gibberish(rng, 20)}" for _ in range(2)]
+    rng.shuffle(rows)
+    docs = {i: t.encode().lower().split() for i, t in enumerate(rows)}
+    seen = Counter(tuple(w[a:a + 50]) for w in docs.values() for a in range(len(w) - 49))
+    want = {i: {p for a in range(len(w) - 49) if seen[tuple(w[a:a + 50])] > 1 for p in range(a, a + 50)}
+            for i, w in docs.items()}
+    cover = defaultdict(set)
+    for r in repeated_passages(make_docs(rows)).collect():
+        assert docs[r.doc_id][r.start_word:r.end_word] == \
+            docs[r.other_id][r.other_start:r.other_start + r.end_word - r.start_word]
+        cover[r.doc_id].update(range(r.start_word, r.end_word))
+    assert sum(map(bool, want.values())) == 160
+    assert {i: cover[i] for i in docs} == want
+
+
 @pytest.mark.parametrize("tokens,big,hot", [(500_000, 64, 2_000), (300, 3, 20)])
 def test_katz_matches_brute_force(make_docs, monkeypatch, tokens, big, hot):
     monkeypatch.setattr(katz, "BATCH_TOKENS", tokens)
