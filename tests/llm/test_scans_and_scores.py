@@ -8,7 +8,7 @@ from hashlib import sha256
 import pytest
 from pyspark.sql import functions as F
 
-from wardmart.llm import katz
+from wardmart.llm import decontaminate, katz
 from wardmart.llm.decontaminate import contamination
 from wardmart.llm.katz import katz_scores
 from wardmart.llm.secret_scan import secret_spans, span_text
@@ -89,6 +89,19 @@ def test_contamination_matches_brute_force(spark, make_docs, empty):
     assert contamination(make_docs(rows), benchmark.limit(0)).count() == 0
 
 
+def test_contamination_does_not_depend_on_blocks(spark, make_docs, monkeypatch):
+    rng = random.Random(31)
+    stem = gibberish(rng, 20)
+    items = [(k, f"{stem} {gibberish(rng, 10)}") for k in range(12)]
+    rows = [t.rsplit(" ", edits)[0] + " " + gibberish(rng, edits) for _, t in items for edits in (1, 2, 3)]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    run = lambda: sorted((r.doc_id, r.item_id, r.start_word, round(r.similarity, 9))
+                         for r in contamination(make_docs(rows), benchmark).collect())
+    whole = run()
+    monkeypatch.setattr(decontaminate, "ITEMS_PER_SCAN", 3)
+    assert run() == whole and whole
+
+
 def test_repeated_passages_match_brute_force(make_docs, empty):
     rng = random.Random(11)
     passages = [gibberish(rng, n) for n in (50, 60, 49, 120, 51)]

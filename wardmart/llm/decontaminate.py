@@ -46,10 +46,39 @@ def fingerprints(shingles: np.ndarray, weights: np.ndarray, starts: np.ndarray,
     return np.packbits(positive, axis=1).view(np.uint64).ravel()
 
 
+def shingle_counts(items: DataFrame) -> tuple[int, DataFrame]:
+    """Number of the items with words; (shingle, df, blocks) of the shingles
+    of more than one block of items, with their document frequency over all."""
+    def scan(batches):
+        memo = WordHashes()
+        for batch in batches:
+            shingles, held = [], []
+            for block, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                words = plain_words(text)
+                if words:
+                    own = np.unique(shingle_hashes(memo.of(words), SHINGLE)).view(np.int64)
+                    shingles += [pa.array([None], pa.int64()), pa.array(own)]   # null counts the item
+                    held.append(np.full(len(own) + 1, block, np.int32))
+            yield pa.RecordBatch.from_arrays(
+                [pa.concat_arrays(shingles) if shingles else pa.array([], pa.int64()),
+                 pa.array(np.concatenate(held) if held else np.empty(0, np.int32))], ["shingle", "block"])
+
+    counts = cut(items.select("block", "t").mapInArrow(frugal(scan), "shingle long, block int").groupBy("shingle")
+                 .agg(F.count(F.lit(1)).alias("df"), F.collect_set("block").alias("blocks"))
+                 .where("shingle is null or size(blocks) > 1"), "item-shingles")
+    n = counts.where("shingle is null").first()
+    return n.df if n else 0, counts.where("shingle is not null")
+
+
 class Items:
-    """Shingles, weights and the block index of a block of items."""
+    """Shingles, weights and the index of a block of items.
+
+    ``n`` is the number of all items with words, ``shared`` (shingles, df)
+    the document frequency over all items of shingles that other blocks
+    hold too; without them the block is taken for all items.
+    """
 
-    def __init__(self, rows: list[tuple]):
+    def __init__(self, rows: list[tuple], n: int | None = None, shared: tuple[np.ndarray, np.ndarray] | None = None):
         memo = WordHashes(limit=1 << 40)
         self.ids, self.hashes = [], []
         for item, text in rows:
@@ -63,7 +92,10 @@ class Items:
         shingles = [shingle_hashes(h, SHINGLE) for h in self.hashes]
         all_, df = np.unique(np.concatenate([np.unique(s) for s in shingles]), return_counts=True) \
             if shingles else (np.empty(0, np.uint64), np.empty(0))
-        n = max(1, len(shingles))
+        if shared is not None:
+            df = df.copy()
+            df[np.searchsorted(all_, shared[0])] = shared[1]
+        n = max(1, len(shingles) if n is None else n)
         self.known, self.weight = all_, np.log1p(n / df)
         self.unknown = float(np.log1p(n))
         self.filter = np.zeros(1 << 20, bool)
@@ -183,7 +215,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     columns are not read.
 
     Items are a query set: they are taken in blocks of about
-    ``ITEMS_PER_SCAN``, each a pass over the documents.
+    ``ITEMS_PER_SCAN``, each a pass over the documents. A shingle weighs
+    log(1 + n / df) over all items, whatever the blocks.
     """
     spark = docs.sparkSession
     bound_batches(spark)
@@ -192,11 +225,20 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     items = benchmark.select(F.col(item_col).alias("item"), F.col(item_text_col).cast("string").alias("t")) \
         .where("t is not null")
     blocks = max(1, -(-items.count() // ITEMS_PER_SCAN))
+    items = items.withColumn("block", F.pmod(F.xxhash64("item"), F.lit(blocks)).cast("int"))
+    n = counts = None
+    if blocks > 1:
+        items = cut(items, "items")
+        n, counts = shingle_counts(items)
     item_arrow = pa.from_numpy_dtype(np.int64) if item_type in ("bigint", "int") else pa.string()
     found = None
     for block in range(blocks):
-        rows = items.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == block).collect()
-        shared = ship(spark, Items([(r.item, r.t) for r in rows]))
+        rows = items.where(F.col("block") == block).collect()
+        others = None
+        if blocks > 1:
+            held = counts.where(F.array_contains("blocks", block)).select("shingle", "df").toArrow()
+            others = held.column(0).to_numpy().view(np.uint64), held.column(1).to_numpy()
+        shared = ship(spark, Items([(r.item, r.t) for r in rows], n, others))
 
         def scan(batches, shared=shared):
             table, memo = shared(), WordHashes()
