@@ -3,7 +3,7 @@ import zlib
 from pyspark.sql import functions as F
 
 from wardmart.llm.exact import exact_dedup
-from wardmart.llm.hilbert import hilbert_index, hilbert_shards
+from wardmart.llm.hilbert import hilbert_index, hilbert_shards, write_shards
 from wardmart.llm.queries import ORACLE_SQL
 
 
@@ -73,3 +73,15 @@ def test_hilbert_shards_are_even_ordered_and_gapless(make_docs, empty):
     assert null["size"] == 16 and null.text_crc32 == 0
     assert hilbert_shards(empty, 8, ["lang", "n_chars"]).count() == 0
     assert hilbert_shards(docs.limit(3), 8, ["lang", "source"]).count() == 3
+
+
+def test_written_shards_hold_null_and_repeated_ids(spark, make_docs, tmp_path):
+    texts = [(i, "w" * (i * 7 % 50)) for i in range(30)] + [(None, f"null {i}") for i in range(5)] + \
+        [(3, f"hot {i}") for i in range(25)]
+    write_shards(make_docs(texts), 8, ["lang", "n_chars"], str(tmp_path / "out"))
+    rows = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert sorted((r.doc_id or -1, r.text) for r in rows) == sorted((i or -1, t) for i, t in texts)
+    sizes = [sum(r.shard == s for r in rows) for s in range(8)]
+    assert max(sizes) - min(sizes) <= 1
+    for s in range(8):
+        assert sorted(r.slot for r in rows if r.shard == s) == list(range(sizes[s]))

@@ -121,10 +121,16 @@ def hilbert_shards(docs: DataFrame, shards: int, dims: list[str], id_col: str =
     inside the sorted files plus per-file counts, so no task sees more than
     its share of rows.
     """
+    return _placed(docs, shards, dims, id_col, text_col, bits)
+
+
+def _placed(docs: DataFrame, shards: int, dims: list[str], id_col: str, text_col: str, bits: int,
+            *carried: str) -> DataFrame:
+    """Shard and slot of every row beside the ``carried`` columns."""
     text = text_of(text_col)
     meta = curve_keys(docs, dims, bits).select(
         F.col(id_col), (F.coalesce(F.octet_length(F.col(text_col)), F.lit(0)) + ROW_OVERHEAD)
-        .cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), "curve_index")
+        .cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), "curve_index", *carried)
     # monotonically_increasing_id: sorted partition number and row in it
     run = cut(meta.orderBy("curve_index", "text_crc32", id_col)
               .withColumn("at", F.monotonically_increasing_id()), "hilbert-run")
@@ -141,11 +147,19 @@ def hilbert_shards(docs: DataFrame, shards: int, dims: list[str], id_col: str =
     start = F.expr(f"(shard * total + {shards - 1}L) div {shards}L")
     return ranked.withColumn("shard", shard).select(
         id_col, "size", "text_crc32", "curve_index", F.col("shard").cast("int").alias("shard"),
-        (F.col("rank") - start).cast("long").alias("slot"))
+        (F.col("rank") - start).cast("long").alias("slot"), *carried)
 
 
-def write_shards(docs: DataFrame, placed: DataFrame, path: str, id_col: str = "doc_id") -> None:
-    """Write the rows of ``docs`` as ``path/shard=N``, each shard sorted by slot."""
-    at = placed.select(F.col(id_col), "shard", "slot").dropDuplicates([id_col])
-    docs.join(at, id_col).repartitionByRange("shard", "slot") \
+def write_shards(docs: DataFrame, shards: int, dims: list[str], path: str, id_col: str = "doc_id",
+                 text_col: str = "text", bits: int = BITS) -> None:
+    """Write every row of ``docs`` as ``path/shard=N``, each shard sorted by
+    slot, at the place ``hilbert_shards`` gives it.
+
+    The rows go through the ranked run itself, so those with a null id or an
+    id that repeats have places of their own. Columns named shard or slot
+    are replaced.
+    """
+    columns = [F.col(f"`{c}`") for c in docs.columns if c not in ("shard", "slot")]
+    placed = _placed(docs.withColumn("__row", F.struct(*columns)), shards, dims, id_col, text_col, bits, "__row")
+    placed.select("__row.*", "shard", "slot").repartitionByRange("shard", "slot") \
         .sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
