@@ -102,6 +102,17 @@ def test_contamination_does_not_depend_on_blocks(spark, make_docs, monkeypatch):
     assert run() == whole and whole
 
 
+def test_contamination_finds_windows_of_unequal_weights():
+    rng = random.Random(32)
+    hot = gibberish(rng, 120).split()
+    items = decontaminate.Items([(k, " ".join(hot)) for k in range(200)] + [(200 + k, gibberish(rng, 20)) for k in range(400)])
+    memo = decontaminate.WordHashes()
+    for _ in range(60):
+        hashes = memo.of([w.encode() for w in hot[:-4] + gibberish(rng, 4).split()])
+        assert items.similarity(decontaminate.shingle_hashes(hashes, 5), 0) >= 0.8
+        assert {i for i, *_ in items.matches(hashes)} == set(range(200))
+
+
 def test_repeated_passages_match_brute_force(make_docs, empty):
     rng = random.Random(11)
     passages = [gibberish(rng, n) for n in (50, 60, 49, 120, 51)]

@@ -1,16 +1,16 @@
-"""Benchmark decontamination with SimHash over item-sized windows.
+"""Benchmark decontamination over item-sized windows.
 
 A benchmark item is compared with the windows of a document that have as
-many words as the item. Windows and items have 64-bit SimHash fingerprints
-of their weighted word shingles; fingerprints are cut into blocks, and two
-that differ in at most ``RADIUS`` bits differ in at most ``RADIUS // BLOCKS``
-bits of some block, so probing the block tables finds every fingerprint
-within the radius. Candidates are confirmed by the exact weighted Jaccard
-similarity of their shingles.
+many words as the item. An index from shingles to the items that hold them
+gives the weight that a window shares with an item at most; a window and an
+item whose similarity that weight does not rule out are compared by the
+exact weighted Jaccard similarity of their shingles. Fingerprints with a
+radius are not used: with unequal weights no radius bounds the similarity.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from itertools import repeat
 
 import numpy as np
@@ -19,13 +19,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shared import bound_batches, cut, frugal, ship
-from .words import WordHashes, mix, shingle_hashes
+from .words import WordHashes, shingle_hashes
 
 SHINGLE = 5
 SIMILARITY = 0.8
-BITS, BLOCKS = 64, 4
-# cosine 0.889, as of sets with Jaccard 0.8, flips 9.7 of 64 bits (sd 2.9)
-RADIUS = 24
 ITEMS_PER_SCAN = 20_000   # items whose tables one pass over the documents holds
 
 # ASCII punctuation and white space part words
@@ -37,15 +34,6 @@ def plain_words(text: str | None) -> list[bytes]:
     return text.lower().encode("utf-8", "surrogatepass").translate(PLAIN).split() if text else []
 
 
-def fingerprints(shingles: np.ndarray, weights: np.ndarray, starts: np.ndarray, width: int) -> np.ndarray:
-    """SimHash of the windows of ``width`` shingles at ``starts``."""
-    bits = np.unpackbits(mix(shingles).view(np.uint8).reshape(-1, 8), axis=1).astype(np.float64)
-    sums = np.zeros((len(shingles) + 1, BITS))
-    np.cumsum((2 * bits - 1) * weights[:, None], axis=0, out=sums[1:])
-    positive = sums[starts + width] - sums[starts] > 1e-9
-    return np.packbits(positive, axis=1).view(np.uint64).ravel()
-
-
 def shingle_counts(items: DataFrame) -> tuple[int, DataFrame]:
     """Number of the items with words; (shingle, df, blocks) of the shingles
     of more than one block of items, with their document frequency over all."""
@@ -101,20 +89,17 @@ class Items:
         self.filter = np.zeros(1 << 20, bool)
         self.filter[(all_ >> np.uint64(44)).astype(np.int64)] = True
         self.profile = [self._profile(s) for s in shingles]
-        self.prints = np.array([fingerprints(s, self.weights(s), np.zeros(1, np.int64), len(s))[0]
-                                for s in shingles], np.uint64)
-        # block tables of the items of each length: a window meets only
+        self.total = np.array([(self.weights(u) * c).sum() for u, c in self.profile])
+        # the items of each length by their shingles: a window meets only
         # items of its own length
         self.groups = {}
         for length in np.unique(self.length).tolist():
             items = np.flatnonzero(self.length == length)
-            tables = [np.unique(self.block(self.prints[items], b), return_inverse=True) for b in range(BLOCKS)]
-            self.groups[length] = items, tables
-
-    @staticmethod
-    def block(prints: np.ndarray, b: int) -> np.ndarray:
-        width = BITS // BLOCKS
-        return prints >> np.uint64(b * width) & np.uint64((1 << width) - 1)
+            at = np.concatenate([np.searchsorted(all_, self.profile[i][0]) for i in items])
+            holder = np.repeat(items, [len(self.profile[i][0]) for i in items])
+            order = np.argsort(at, kind="stable")
+            keys, first = np.unique(at[order], return_index=True)
+            self.groups[length] = all_[keys], np.r_[first, len(at)], holder[order]
 
     def found(self, shingles: np.ndarray) -> np.ndarray:
         """Which shingles an item holds."""
@@ -134,18 +119,30 @@ class Items:
     def _profile(self, shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return np.unique(shingles, return_counts=True)
 
-    def near(self, prints: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-        """(window, item) of all fingerprints within ``RADIUS`` bits, found
-        through the block tables."""
-        items, tables = self.groups[length]
-        candidate = np.zeros((len(prints), len(items)), bool)
-        for b, (values, value_of) in enumerate(tables):
-            apart = np.bitwise_count(self.block(prints, b)[:, None] ^ values[None, :])
-            candidate |= (apart <= RADIUS // BLOCKS)[:, value_of]
-        window, item = np.nonzero(candidate)
-        item = items[item]
-        near = np.bitwise_count(prints[window] ^ self.prints[item]) <= RADIUS
-        return window[near], item[near]
+    def near(self, shingles: np.ndarray, weights: np.ndarray, starts: np.ndarray, width: int,
+             length: int) -> Iterator[tuple[int, int]]:
+        """(window, item) of all pairs that may have the similarity: they
+        share at most the weight of the window's shingles that the item holds."""
+        keys, first, holder = self.groups[length]
+        where = np.minimum(np.searchsorted(keys, shingles), len(keys) - 1)
+        at = np.flatnonzero(keys[where] == shingles)
+        held = first[where[at] + 1] - first[where[at]]
+        place = np.repeat(at, held)
+        item = holder[np.repeat(first[where[at]], held) + np.arange(len(place)) - np.repeat(np.cumsum(held) - held, held)]
+        order = np.argsort(item, kind="stable")
+        item, place = item[order], place[order]
+        own, begin = np.unique(item, return_index=True)
+        whole = np.r_[0, np.cumsum(weights)]
+        total = whole[starts + width] - whole[starts]
+        least = SIMILARITY - 1e-9
+        for i, lo, hi in zip(own.tolist(), begin, np.r_[begin[1:], len(item)]):
+            if weights[place[lo:hi]].sum() < least * self.total[i]:
+                continue
+            shared = np.zeros(len(shingles) + 1)
+            shared[place[lo:hi] + 1] = weights[place[lo:hi]]
+            shared = np.cumsum(shared)
+            for k in np.flatnonzero(shared[starts + width] - shared[starts] >= least * np.maximum(total, self.total[i])):
+                yield int(k), i
 
     def similarity(self, window: np.ndarray, item: int) -> float:
         """Weighted Jaccard similarity of shingle multisets."""
@@ -193,7 +190,7 @@ class Items:
             starts = starts[share >= SIMILARITY - 1e-9]
             if not len(starts):
                 continue
-            for k, item in zip(*self.near(fingerprints(part, w, starts, width), length)):
+            for k, item in self.near(part, w, starts, width, length):
                 s = int(starts[k])
                 sim = self.similarity(part[s:s + width], item)
                 if sim >= SIMILARITY - 1e-12 and (item not in best or sim > best[item][0]):
