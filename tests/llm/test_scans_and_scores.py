@@ -13,7 +13,7 @@ from wardmart.llm.decontaminate import contamination
 from wardmart.llm.katz import katz_scores
 from wardmart.llm.secret_scan import secret_spans, span_text
 from wardmart.llm.suffixes import repeated_passages
-from wardmart.llm.toxicity import toxicity
+from wardmart.llm.toxicity import _labelled, toxicity
 
 from .conftest import gibberish
 
@@ -231,3 +231,11 @@ def test_toxicity_learns_from_its_fold(spark, make_docs, empty):
     assert toxicity(empty, table).count() == 0
     none = toxicity(make_docs(rows[:3]), table.limit(0)).collect()
     assert [r.score for r in none] == [0.5] * 3
+
+
+def test_toxicity_sample_takes_one_text_an_id(spark, make_docs):
+    docs = make_docs([(1, f"text {k}") for k in range(10, 60)] + [(2, "other"), (3, None)])
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "doc_id long, toxic int")
+    sample, _ = _labelled(docs, labels, lambda i: F.lit(True), "doc_id", "text", "toxic", 8)
+    assert sorted((r.text or "", r.label, r.weight) for r in sample.collect()) == \
+        [("", 0, 0.5), ("other", 0, 0.5), ("text 10", 1, 1.0)]

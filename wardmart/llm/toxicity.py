@@ -82,8 +82,10 @@ def _labelled(docs: DataFrame, labels: DataFrame, train, id_col: str, text_col:
         return docs.select(F.col(text_col).alias("text"), F.lit(0).alias("label"),
                            F.lit(0.0).alias("weight")).limit(0), totals
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    # at most 2 * per_class rows of two numbers
-    picked = texts.join(F.broadcast(cut(sample, "toxicity-sample")), "id").select("text", "label", "weight")
+    # at most 2 * per_class rows of two numbers; one text an id, the smallest
+    picked = texts.join(F.broadcast(cut(sample, "toxicity-sample")), "id").groupBy("id") \
+        .agg(F.min("text").alias("text"), F.first("label").alias("label"), F.first("weight").alias("weight")) \
+        .select("text", "label", "weight")
     return cut(picked, "toxicity-texts"), totals
 
 
@@ -124,7 +126,7 @@ def train_model(docs: DataFrame, labels: DataFrame, train, id_col: str = "doc_id
     that ``train`` (a condition on the id) admits.
 
     Labels other than 0 and 1 and null ids are left out; an id with both
-    labels counts as toxic. Without texts of both classes the model has no
+    labels counts as toxic. Of the rows of an id the smallest text is taken. Without texts of both classes the model has no
     feature and scores every text with the smoothed share of toxic labels.
     """
     bound_batches(docs.sparkSession)
