@@ -16,6 +16,7 @@ from .minhash import near_duplicates
 from .packing import pack_documents, packed_rows
 from .secret_scan import secret_spans, span_text
 from .shared import cut, fold
+from .spelling import spelling_variants, word_counts
 from .suffixes import repeated_passages
 from .toxicity import toxicity
 
@@ -97,6 +98,11 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op11_spelling_bloom(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of 7 letters or more with its near words, form and root."""
+    return spelling_variants(word_counts(table(spark, sf_dir, "documents"), drop_every=31))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity_nb_ngrams": op1_toxicity_nb_ngrams,
     "op2_secret_ownership": op2_secret_ownership,
@@ -108,6 +114,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_hilbert_shards": op8_hilbert_shards,
     "op9_katz_bigrams": op9_katz_bigrams,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_spelling_bloom": op11_spelling_bloom,
 }
 
 _WHITE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -120,4 +127,35 @@ SELECT doc_id, first_value(doc_id) OVER best AS keep_id,
   CAST(count(*) OVER (PARTITION BY norm) AS BIGINT) AS group_size,
   doc_id = first_value(doc_id) OVER best AS kept, sha256(norm) AS text_sha256
 FROM d WINDOW best AS (PARTITION BY norm ORDER BY n_chars DESC, doc_id)""",
+    # crc32 by its table of 256 entries; near words meet in what is left of
+    # them without one code point, or with a gap in its place
+    "op11_spelling_bloom": """
+WITH RECURSIVE crc AS (SELECT list(list_reduce([i] || range(8), lambda c, k:
+        CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS tab FROM range(256) r(i)),
+runs AS (SELECT doc_id, unnest(regexp_extract_all(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[A-Za-z\u00C0-\u00FF]+')) AS run FROM documents),
+held AS (SELECT doc_id, run, count(*) AS n, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)) AS hexed
+         FROM runs WHERE length(run) >= 7 GROUP BY doc_id, run),
+coded AS (SELECT run, n, xor(list_reduce([4294967295] || list_transform(range(length(hexed) // 2),
+            lambda k: CAST('0x' || substr(hexed, 2 * k + 1, 2) AS BIGINT)),
+            lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), 4294967295) AS h FROM held, crc),
+typed AS (SELECT CASE WHEN h % 31 <> 0 THEN run ELSE substr(run, 1, h % length(run))
+            || substr(run, h % length(run) + 2) END AS word, n FROM coded),
+vocab AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM typed WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+cuts AS (SELECT word, n, i, substr(word, 1, i - 1) AS head, substr(word, i + 1) AS tail
+         FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM vocab)),
+near AS (SELECT DISTINCT a.word, a.n, b.word AS w, b.n AS wn FROM cuts a
+           JOIN cuts b ON a.head || '*' || a.tail = b.head || '*' || b.tail AND a.word <> b.word
+         UNION SELECT a.word, a.n, b.word, b.n FROM cuts a JOIN vocab b ON a.head || a.tail = b.word
+         UNION SELECT b.word, b.n, a.word, a.n FROM cuts a JOIN vocab b ON a.head || a.tail = b.word),
+best AS (SELECT word, count(*) AS n_near, max(wn) AS most FROM near GROUP BY word),
+chosen AS (SELECT word, w AS form, wn AS form_n FROM near JOIN best USING (word) WHERE wn = most AND wn >= 10 * n
+           QUALIFY row_number() OVER (PARTITION BY word ORDER BY w) = 1),
+walk AS (SELECT word, word AS root FROM vocab
+         UNION ALL SELECT walk.word, form FROM walk JOIN chosen ON chosen.word = walk.root)
+SELECT word, form, (SELECT last.root FROM walk last WHERE last.word = v.word
+                    AND last.root NOT IN (SELECT word FROM chosen)) AS root,
+  v.n, CAST(coalesce(n_near, 0) AS BIGINT) AS n_near, CAST(form_n AS BIGINT) AS form_n
+FROM vocab v LEFT JOIN best USING (word) LEFT JOIN chosen USING (word)""",
 }
