@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .bpe import bpe_encode
 from .decontaminate import contamination
 from .exact import exact_dedup
+from .hard_negatives import hard_negatives
 from .hilbert import hilbert_shards
 from .katz import katz_scores
 from .minhash import near_duplicates
@@ -103,6 +104,13 @@ def op11_spelling_bloom(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(word_counts(table(spark, sf_dir, "documents"), drop_every=31))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hard negatives of every positive of every fiftieth vector; every
+    seventh vector passes for one of the next label."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, label=label)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity_nb_ngrams": op1_toxicity_nb_ngrams,
     "op2_secret_ownership": op2_secret_ownership,
@@ -115,6 +123,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_katz_bigrams": op9_katz_bigrams,
     "op10_exact_dedup": op10_exact_dedup,
     "op11_spelling_bloom": op11_spelling_bloom,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 _WHITE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -158,4 +167,21 @@ SELECT word, form, (SELECT last.root FROM walk last WHERE last.word = v.word
                     AND last.root NOT IN (SELECT word FROM chosen)) AS root,
   v.n, CAST(coalesce(n_near, 0) AS BIGINT) AS n_near, CAST(form_n AS BIGINT) AS form_n
 FROM vocab v LEFT JOIN best USING (word) LEFT JOIN chosen USING (word)""",
+    # sums of products below 2^53 are exact in doubles
+    "op13_hard_negatives": """
+WITH e AS (SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+             list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q FROM embeddings
+           WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, e.vec_id, a.label = e.label AS alike,
+        CAST(list_dot_product(a.q, e.q) AS BIGINT) AS score
+      FROM e a JOIN e ON a.vec_id <> e.vec_id WHERE a.vec_id % 50 = 0),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE alike
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, positive_id,
+  CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id) AS INT) AS rank,
+  vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT alike
+  AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3""",
 }
