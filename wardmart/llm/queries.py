@@ -15,6 +15,7 @@ from .hilbert import hilbert_shards
 from .katz import katz_scores
 from .minhash import near_duplicates
 from .packing import pack_documents, packed_rows
+from .pii import pii_spans
 from .secret_scan import secret_spans, span_text
 from .shared import cut, fold
 from .spelling import spelling_variants, word_counts
@@ -104,6 +105,11 @@ def op11_spelling_bloom(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(word_counts(table(spark, sf_dir, "documents"), drop_every=31))
 
 
+def op12_pii_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's personal data: fixed patterns and learned contexts."""
+    return pii_spans(table(spark, sf_dir, "documents")).withColumn("spans", span_text(F.col("spans")))
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The hard negatives of every positive of every fiftieth vector; every
     seventh vector passes for one of the next label."""
@@ -123,6 +129,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_katz_bigrams": op9_katz_bigrams,
     "op10_exact_dedup": op10_exact_dedup,
     "op11_spelling_bloom": op11_spelling_bloom,
+    "op12_pii_bootstrap": op12_pii_bootstrap,
     "op13_hard_negatives": op13_hard_negatives,
 }
 
