@@ -1,15 +1,20 @@
 """Command line: the warehouse's two runs.
 
 ``python -m wardmart build --raw DIR --seed FILE [--out DIR]``
-    load the raw CSV files (typed, ids padded), build every model, write the
-    table models into a run folder and run the 52 declared tests; prints
-    the load and build audits and the test report as JSON lines. Exits
-    non-zero when an error-severity test fails.
+    load the raw CSV files (typed, ids padded), write them and every table
+    model into a run folder, run the 52 declared tests and publish the run;
+    prints the load and build audits and the test report as JSON lines.
+    Exits non-zero when an error-severity test fails; the run is then not
+    published, and readers keep seeing the one before.
 
 ``python -m wardmart etl --raw DIR [--out DIR]``
     the script-built staging tables: cleaned hospital info, de-duplicated
     cost report, hospital geography, census uninsured rate; each written
-    with its row count (and unmatched-CBSA count for the geography).
+    with its row count (and unmatched-CBSA count for the geography), and
+    published together under ``<out>/staging``.
+
+``python -m wardmart retire --out DIR [--keep N]``
+    delete the runs that no reader can see or still holds.
 
 ``DIR`` holds ``medicare_inpatient.csv``, ``cost_report.csv``,
 ``hospital_general_info.csv``, ``census_acs.csv`` and
@@ -44,13 +49,17 @@ def run_build(spark, raw_dir: str, seed_path: str, out: str | None = None,
               tie_break: tuple[str, ...] = (), min_volume: float = 30) -> dict:
     from .plans.build import build_all
     from .plans.load import load_raw_csv
+    from .plans.views import staging_views
     from .plans.warehouse import Warehouse
-    from .sources import scan_csv
+    from .sources import publish, scan_csv
     raw = load_raw_csv(spark, _paths(raw_dir))
     seed = scan_csv(spark, seed_path)
     wh = Warehouse(raw, seed, cost_tie_break=tie_break, min_volume=min_volume)
-    result = build_all(spark, wh, root=out, enforce=False)
+    result = build_all(spark, wh, root=out, enforce=False, load=True)
     result["tests"] = [r.asDict() for r in result["report"].collect()]
+    if not any(t["status"] == "fail" for t in result["tests"]):
+        result["version"] = publish(spark, result["root"], result["run_id"], result["entries"],
+                                    staging_views(wh.cost_tie_break, wh.cost_nulls_win))
     return result
 
 
@@ -58,21 +67,23 @@ def run_etl(spark, raw_dir: str, out: str | None = None, tie_break: tuple[str, .
     from .plans import etl
     from .plans.load import load_raw_csv
     from .session import warehouse_root
-    from .sources import materialize, new_run_id
+    from .sources import begin, entry_of, materialize, new_run_id, publish
     raw = load_raw_csv(spark, _paths(raw_dir))
     root = os.path.join(out or warehouse_root(spark), "staging")
     run_id = new_run_id()
-    clean = etl.clean_hospital_info(raw["hospital_general_info"])
-    clean_t, a1 = materialize(spark, clean, root, "hospital_general_info_clean", run_id)
-    _, a2 = materialize(spark, etl.dedup_cost_report(raw["cost_report"], tie_break), root,
-                        "cost_report_dedup", run_id)
-    _, a3 = materialize(spark, etl.build_hospital_geo(clean_t, raw["zip_cbsa_crosswalk"]), root,
-                        "hospital_geo", run_id, audit_nulls=["cbsa_code"])
-    _, a4 = materialize(spark, etl.build_census_uninsured(raw["census_acs"]), root,
-                        "census_uninsured_clean", run_id)
-    return {"run_id": run_id, "root": root,
-            "audits": {"hospital_general_info_clean": a1, "cost_report_dedup": a2,
-                       "hospital_geo": a3, "census_uninsured_clean": a4}}
+    begin(spark, root, run_id)
+    audits, entries = {}, {}
+
+    def write(name: str, df, audit_nulls=()):
+        written, audits[name] = materialize(spark, df, root, name, run_id, audit_nulls=audit_nulls)
+        entries[name] = entry_of(written, root, name, run_id, audits[name])
+        return written
+
+    clean = write("hospital_general_info_clean", etl.clean_hospital_info(raw["hospital_general_info"]))
+    write("cost_report_dedup", etl.dedup_cost_report(raw["cost_report"], tie_break))
+    write("hospital_geo", etl.build_hospital_geo(clean, raw["zip_cbsa_crosswalk"]), ["cbsa_code"])
+    write("census_uninsured_clean", etl.build_census_uninsured(raw["census_acs"]))
+    return {"run_id": run_id, "root": root, "audits": audits, "version": publish(spark, root, run_id, entries)}
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -86,6 +97,10 @@ def main(argv: list[str] | None = None) -> int:
     e = sub.add_parser("etl")
     e.add_argument("--raw", required=True)
     e.add_argument("--out")
+    r = sub.add_parser("retire")
+    r.add_argument("--out")
+    r.add_argument("--keep", type=int, default=2)
+    r.add_argument("--master")
     for sp in (b, e):
         sp.add_argument("--master", help="e.g. local[8]; omit under spark-submit")
         sp.add_argument("--cost-tie-break", action="append", default=[],
@@ -94,10 +109,16 @@ def main(argv: list[str] | None = None) -> int:
     args = p.parse_args(argv)
     from .session import build_session
     spark = build_session(args.master)
+    if args.cmd == "retire":
+        from .session import warehouse_root
+        from .sources import retire
+        out = args.out or warehouse_root(spark)
+        print(json.dumps({r: retire(spark, r, args.keep) for r in (out, os.path.join(out, "staging"))}))
+        return 0
     if args.cmd == "build":
         res = run_build(spark, args.raw, args.seed, args.out, tuple(args.cost_tie_break),
                         min_volume=args.min_volume)
-        print(json.dumps({"run_id": res["run_id"], "root": res["root"], "audits": res["audits"]}))
+        print(json.dumps({k: res[k] for k in ("run_id", "root", "version", "audits")}))
         for row in res["tests"]:
             print(json.dumps(row))
         return 1 if any(r["status"] == "fail" for r in res["tests"]) else 0

@@ -1,11 +1,12 @@
-"""Full build: materialize every model in dependency order, then test.
+"""Full build: materialize every model in dependency order, test, publish.
 
 The Spark counterpart of a warehouse build run: views (staging) stay lazy,
 dimensions, facts and marts are written as Parquet tables into a run
 folder under the shared warehouse root (``spark.checkpoint.dir`` of the
 session), each later model reads the written tables -- so a lost executor
-never forces a recompute past the last written model -- and finally the
-declared data tests run against the written tables.
+never forces a recompute past the last written model -- and the declared
+data tests run against the written tables. Only a build that is whole and
+passes its tests is published; until then readers see the one before.
 """
 
 from __future__ import annotations
@@ -15,9 +16,11 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import quality as Q
-from ..sources import as_view, drop_old_runs, materialize, new_run_id
+from ..sources import as_view, begin, entry_of, materialize, new_run_id
+from ..sources import publish as make_visible
 from ..session import warehouse_root
 from .suite import spark_checks
+from .views import RAW, raw_name, staging_views
 from .warehouse import Warehouse
 
 # staging models are views, named lazy plans
@@ -42,41 +45,57 @@ BUCKETED_ON_HOSPITAL = ["dim_hospital", "fct_hospital_finance", "fct_medicare_dr
 
 def build_all(spark: SparkSession, wh: Warehouse, root: str | None = None,
               run_id: str | None = None, service_lines: list[str] | None = None,
-              enforce: bool = True, buckets: int | None = None, keep_runs: int = 2) -> dict:
+              enforce: bool = True, buckets: int | None = None, load: bool = False, publish: bool = False,
+              tables: list[str] | None = None) -> dict:
     """Write every table model, then run the 52 declared tests on them.
 
     Hospital-keyed tables are bucketed on ``hospital_key`` into ``buckets``
-    (default: the session's shuffle partition count). After success only the
-    ``keep_runs`` newest runs of a table stay, this one and by default the
-    one before, which readers may still use.
-
-    Returns ``{"run_id", "root", "audits": {model: metrics}, "report":
-    DataFrame, "tests": rows}``; the report DataFrame reads only the written
-    tables. With ``enforce`` the (one row per test) report is collected and
-    an error-severity failure raises; without it ``tests`` is None.
+    (default: the session's shuffle partition count). ``tables`` writes some
+    models only; the tests are then those that read nothing else. Nothing is
+    ever deleted here: see ``retire``.
+
+    With ``load`` the raw tables are written first, as part of the run.
+    ``publish`` does so too, and once the tests have passed the whole run
+    becomes the version that readers of ``root`` see: raw tables, models,
+    and the staging models as views. A failing test of error severity, or an
+    error anywhere, leaves the version before in place.
+
+    Returns ``{"run_id", "root", "audits": {model: metrics}, "entries",
+    "report": DataFrame, "tests": rows, "version"}``; the report DataFrame reads only
+    the written tables. With ``enforce`` or ``publish`` the (one row per
+    test) report is collected and an error-severity failure raises; without
+    them ``tests`` and ``version`` are None.
     """
     root = root or warehouse_root(spark)
     run_id = run_id or new_run_id()
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    audits = {}
-    for name in VIEWS:
-        as_view(wh.model(name), name)
+    audits, entries, version = {}, {}, None
+    begin(spark, root, run_id)
 
-    def write(name: str, model: DataFrame):
+    def write(name: str, model: DataFrame) -> DataFrame:
         bucket = (n, ["hospital_key"]) if name in BUCKETED_ON_HOSPITAL else None
-        return materialize(spark, model, root, name, run_id, audit_nulls=AUDIT_NULLS.get(name, ()),
-                           bucket_by=bucket)
+        df, audits[name] = materialize(spark, model, root, name, run_id, audit_nulls=AUDIT_NULLS.get(name, ()),
+                                       bucket_by=bucket)
+        entries[name] = entry_of(df, root, name, run_id, audits[name], bucket)
+        return df
 
+    def write_all(models: dict[str, DataFrame]) -> dict[str, DataFrame]:
+        begin(spark, root, run_id)
+        with ThreadPoolExecutor(max(1, len(models))) as pool:
+            return dict(zip(models, pool.map(write, models, models.values())))
+
+    if load or publish:
+        written = write_all({raw_name(t): wh.raw[t] for t in RAW})
+        wh.raw = {t: written[raw_name(t)] for t in RAW}
+    for name in VIEWS:
+        as_view(wh.model(name), name)
+    wanted = set(TABLES if tables is None else tables)
     for wave in WAVES:
-        models = {name: wh.model(name) for name in wave}
-        with ThreadPoolExecutor(len(wave)) as pool:
-            written = dict(zip(wave, pool.map(write, wave, models.values())))
-        for name, (df, metrics) in written.items():
-            # later models read the written table (cached_property slot)
-            wh.__dict__[name] = df
-            audits[name] = metrics
-    report = Q.quality_report(spark_checks(wh.model, service_lines))
-    rows = Q.enforce(report) if enforce else None
-    for name in TABLES:
-        drop_old_runs(spark, root, name, keep_runs)
-    return {"run_id": run_id, "root": root, "audits": audits, "report": report, "tests": rows}
+        # later models read the written table (cached_property slot)
+        wh.__dict__.update(write_all({name: wh.model(name) for name in wave if name in wanted}))
+    report = Q.quality_report(spark_checks(wh.model, service_lines, None if tables is None else {*VIEWS, *wanted}))
+    rows = Q.enforce(report) if enforce or publish else None
+    if publish:
+        version = make_visible(spark, root, run_id, entries, staging_views(wh.cost_tie_break, wh.cost_nulls_win))
+    return {"run_id": run_id, "root": root, "audits": audits, "entries": entries, "report": report, "tests": rows,
+            "version": version}

@@ -22,7 +22,7 @@ from ..operators import (DEFAULT_BROADCAST_ROWS, exact_percentiles, global_rank,
                          quality as Q)
 from ..operators.cache import release_all, settled
 from ..session import warehouse_root
-from ..sources import audit_counts, date_spine_between, new_run_id
+from ..sources import audit_counts, date_spine_between, new_run_id, snapshot
 from . import etl, oracle
 from .analog import AnalogRaw, seed_drg_service_line, tables
 from .dims import dim_date
@@ -53,6 +53,17 @@ class Ctx:
                             persist_dims=True,
                             persist_marts=persist_marts)
 
+    def published(self, name: str, tables: list[str]) -> DataFrame:
+        """``name`` as a second session reads it after a build of ``tables``."""
+        run = new_run_id()
+        root = f"{warehouse_root(self.spark)}/published/{run}"
+        build_all(self.spark, self.wh, root, run, brand_lines(), publish=True, tables=tables)
+        reader = self.spark.newSession()
+        for key in ("spark.sql.shuffle.partitions", "spark.sql.session.timeZone", "spark.sql.ansi.enabled"):
+            reader.conf.set(key, self.spark.conf.get(key))
+        snapshot(reader, root).bind(f"published_{run}")
+        return reader.table(f"published_{run}.{name}")
+
     @property
     def hospital_geo(self) -> DataFrame:
         return etl.build_hospital_geo(etl.clean_hospital_info(self.raw["hospital_general_info"]),
@@ -470,6 +481,25 @@ def q_dq_report(c: Ctx) -> DataFrame:
 S_["dq_report"] = compose(report_sql(brand_lines()))
 
 
+@query("published_burden", compose("SELECT * FROM mart_burden_vs_community"))
+def q_published_burden(c: Ctx) -> DataFrame:
+    """The community mart as readers see it: built and published, then read
+    by its published name in a second session."""
+    return c.published("mart_burden_vs_community", ["dim_hospital", "dim_geography", "fct_hospital_finance",
+                                                    "mart_finance_scorecard", "mart_burden_vs_community"])
+
+
+@query("published_stg_cost", compose("SELECT * FROM stg_cost_report"))
+def q_published_stg_cost(c: Ctx) -> DataFrame:
+    """A staging model read as a persistent view over the published raw tables."""
+    return c.published("stg_cost_report", [])
+
+
+@query("published_stg_hospital", compose("SELECT * FROM stg_hospital_general_info"))
+def q_published_stg_hospital(c: Ctx) -> DataFrame:
+    return c.published("stg_hospital_general_info", [])
+
+
 @query("dq_identity", compose("""SELECT count_if("Net Patient Revenue" IS NOT NULL
     AND "Total Patient Revenue" IS NOT NULL AND "Contractual Allowance" IS NOT NULL) AS rows_checked,
   count_if("Net Patient Revenue" IS NOT NULL AND "Total Patient Revenue" IS NOT NULL

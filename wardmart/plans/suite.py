@@ -89,10 +89,13 @@ def specs(service_lines: list[str] | None = None) -> list[Spec]:
     ]
 
 
-def spark_checks(models, service_lines: list[str] | None = None) -> list[Q.Check]:
-    """``models`` maps a model name to its DataFrame (e.g. a Warehouse)."""
+def spark_checks(models, service_lines: list[str] | None = None, only=None) -> list[Q.Check]:
+    """``models`` maps a model name to its DataFrame (e.g. a Warehouse).
+    ``only`` restricts the tests to those that read no other models."""
     out = []
     for s in specs(service_lines):
+        if only is not None and not {s.model, s.to or s.model} <= set(only):
+            continue
         df = models(s.model)
         c = s.columns
         extra = {}

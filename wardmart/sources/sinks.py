@@ -3,7 +3,8 @@
 Full-refresh semantics of the modelled warehouse: every run rewrites its
 tables. Each run writes into its own folder under the shared warehouse
 root, so readers of an earlier run are never disturbed and a failed run
-leaves no half-replaced table behind.
+leaves no half-replaced table behind. ``publish`` then makes a whole run the
+one that readers see, and ``retire`` deletes runs that nobody can read.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import quote
+from .publication import Entry
 
 
 def write_table(df: DataFrame, path: str, partition_by=None) -> None:
@@ -66,23 +68,12 @@ def materialize(spark: SparkSession, df: DataFrame, root: str, name: str, run_id
     return spark.table(table), dict(obs.get)
 
 
-def drop_old_runs(spark: SparkSession, root: str, name: str, keep: int,
-                  database: str = "wardmart_runs") -> list[str]:
-    """Delete all but the ``keep`` newest runs of a materialised table, with
-    their catalog entries; returns the ids of the runs that went."""
-    fs = spark._jvm.org.apache.hadoop.fs
-    folder = fs.Path(f"{root}/{name}")
-    store = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    runs = sorted((s for s in store.listStatus(folder) if s.getPath().getName().startswith("run=")),
-                  key=lambda s: s.getModificationTime())
-    gone = []
-    for status in runs[:max(0, len(runs) - max(1, keep))]:
-        run_id = status.getPath().getName().removeprefix("run=")
-        if spark.catalog.databaseExists(database):
-            spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{name}__{run_id}`")
-        store.delete(status.getPath(), True)
-        gone.append(run_id)
-    return gone
+def entry_of(df: DataFrame, root: str, name: str, run_id: str, metrics: dict,
+             bucket_by: tuple[int, list[str]] | None = None, partition_by=()) -> Entry:
+    """How a table that ``materialize`` wrote is published."""
+    n, cols = bucket_by or (0, [])
+    return Entry(os.path.join(root, name, f"run={run_id}"), metrics["row_count"], df.schema.json(), n, list(cols),
+                 list(partition_by or ()))
 
 
 def as_view(df: DataFrame, name: str) -> DataFrame:
