@@ -16,13 +16,13 @@ HOSP_COLS = ["Facility ID", "Facility Name", "Address", "City/Town", "State", "Z
 
 def hospitals(spark):
     rows = [
-        ("10001", "Alpha", "1 A St", "Town", "MN", "55401", " Hennepin ", "555", "Acute Care Hospitals",
+        ("10001", "Alpha", "1 A St", "Town", "MN", "55401", " Hennepin ", "(612) 555-0555", "Acute Care Hospitals",
          "Voluntary", "Yes", "Y", "4"),
-        ("10002", "Beta", "2 B St", "Town", "NM", "87301", "Mc Kinley", "556", "Acute Care Hospitals",
+        ("10002", "Beta", "2 B St", "Town", "NM", "87301", "Mc Kinley", "(612) 555-0556", "Acute Care Hospitals",
          "Government", "Yes", None, "Not Available"),
-        ("10003", "Gamma", "3 C St", "Town", "SD", "57001", "Union", "557", "Acute Care Hospitals",
+        ("10003", "Gamma", "3 C St", "Town", "SD", "57001", "Union", "(612) 555-0557", "Acute Care Hospitals",
          "Tribal", "No", None, None),
-        ("10004", "Delta", "4 D St", "Town", "TX", "78501", "Hidalgo", "558",
+        ("10004", "Delta", "4 D St", "Town", "TX", "78501", "Hidalgo", "(612) 555-0558",
          "Critical Access Hospitals", "Voluntary", "Yes", None, "3"),
     ]
     return spark.createDataFrame(rows, ", ".join(f"`{c}` string" for c in HOSP_COLS))
@@ -248,13 +248,12 @@ def test_cli_runs_build_and_etl_from_csv(spark, tmpdir_path):
               "medicare_inpatient": medicare(spark), "zip_cbsa_crosswalk": crosswalk(spark),
               "census_acs": census(spark)}
     from wardmart.plans.etl import DEDUP_COLUMNS
-    from wardmart.plans.load import MEASURE_TYPES
     for name, df in frames.items():
         pdf = df.toPandas()
         if name == "cost_report":     # the ETL dedup also reads the identity fields
             for src, _ in DEDUP_COLUMNS:
                 if src not in pdf:
-                    pdf[src] = 1.0 if src in MEASURE_TYPES["cost_report"] else "x"
+                    pdf[src] = 1.0 if any(w in src for w in ("Cost", "Total", "FTE", "Payments")) else "x"
         pdf.to_csv(os.path.join(raw_dir, f"{name}.csv"), index=False)
     seed_path = os.path.join(tmpdir_path, "seed_drg_service_line.csv")
     seed(spark).toPandas().to_csv(seed_path, index=False)

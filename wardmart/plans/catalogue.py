@@ -169,23 +169,50 @@ def q_parse_dates(c: Ctx) -> DataFrame:
 _HOSP_CSV = ", ".join(f'"{n}"' for n in _HOSP_RAW)
 
 
-@query("csv_load", compose(f"SELECT {_HOSP_CSV} FROM raw_hospital_general_info"))
-def q_csv_load(c: Ctx) -> DataFrame:
-    """The hospital registry written as delimited text under the shared root
-    and loaded from there by the raw loader (text ids, padding)."""
+def from_csv(c: Ctx, table: str, columns: list[str] | None = None) -> DataFrame:
+    """A stand-in written as delimited text under the shared root and loaded
+    from there by the raw loader (text ids, padding, inferred types)."""
     path = f"{warehouse_root(c.spark)}/csv/{new_run_id()}"
-    c.raw.unloaded("hospital_general_info").select([col_of(n) for n in _HOSP_RAW]) \
+    raw = c.raw.unloaded(table)
+    raw.select([col_of(n) for n in columns or raw.columns]) \
         .write.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False) \
         .option("ignoreTrailingWhiteSpace", False).csv(path)
-    return load_raw_csv(c.spark, {"hospital_general_info": path})["hospital_general_info"]
+    return load_raw_csv(c.spark, {table: path})[table]
+
+
+@query("csv_load", compose(f"SELECT {_HOSP_CSV} FROM raw_hospital_general_info"))
+def q_csv_load(c: Ctx) -> DataFrame:
+    return from_csv(c, "hospital_general_info", _HOSP_RAW)
 
 
 @query("csv_crosswalk", compose("SELECT geoid, cbsa, res_ratio FROM raw_zip_cbsa_crosswalk"))
 def q_csv_crosswalk(c: Ctx) -> DataFrame:
-    """The ZIP crosswalk through the same path, with its ratio typed."""
-    path = f"{warehouse_root(c.spark)}/csv/{new_run_id()}"
-    c.raw.unloaded("zip_cbsa_crosswalk").write.option("header", True).csv(path)
-    return load_raw_csv(c.spark, {"zip_cbsa_crosswalk": path})["zip_cbsa_crosswalk"]
+    return from_csv(c, "zip_cbsa_crosswalk")
+
+
+_CODES = ["Provider Type", "Type of Control"]
+
+
+@query("csv_cost_report", compose("SELECT * REPLACE (" + ", ".join(
+    f'CAST("{n}" AS BIGINT) AS "{n}"' for n in _CODES) + ") FROM raw_cost_report"))
+def q_csv_cost_report(c: Ctx) -> DataFrame:
+    """All columns of the cost report: codes and record numbers come out as
+    integers, measures as doubles, dates and ids as text."""
+    return from_csv(c, "cost_report")
+
+
+_MEDICARE_AVGS = ["Avg_Submtd_Cvrd_Chrg", "Avg_Tot_Pymt_Amt", "Avg_Mdcr_Pymt_Amt"]
+
+
+@query("csv_medicare", compose("SELECT * REPLACE (" + ", ".join(
+    f'{r6(n)} AS {n}' for n in _MEDICARE_AVGS) + ") FROM raw_medicare_inpatient"))
+def q_csv_medicare(c: Ctx) -> DataFrame:
+    return rounded(from_csv(c, "medicare_inpatient"), _MEDICARE_AVGS)
+
+
+@query("csv_census", compose("SELECT * FROM raw_census_acs"))
+def q_csv_census(c: Ctx) -> DataFrame:
+    return from_csv(c, "census_acs")
 
 
 # ---- staging -------------------------------------------------------------------

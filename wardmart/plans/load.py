@@ -1,10 +1,8 @@
 """Raw load from delimited files.
 
 Per source file: which columns are read as text (ids that would lose their
-leading zeros as numbers), which text ids are stripped and zero-padded, and
-the Spark types of the measures (the reference leaves these to inference;
-here they are declared so nothing is guessed per file). Everything not
-listed stays text.
+leading zeros as numbers) and which text ids are stripped and zero-padded.
+The types of all other columns are inferred from the whole file.
 """
 
 from __future__ import annotations
@@ -13,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..sources import scan_csv
 from .etl import PAD_RULES
-from .staging import CBSA_COLUMN, UNINSURED_PARTS, UNIVERSE
+from .staging import CBSA_COLUMN
 
 # Per raw table, the columns kept as text.
 TEXT_COLUMNS = {
@@ -23,47 +21,23 @@ TEXT_COLUMNS = {
     "census_acs": [CBSA_COLUMN],
     "zip_cbsa_crosswalk": ["geoid", "cbsa"],
 }
-_COST_DOUBLES = [
-    "FTE - Employees on Payroll", "Number of Interns and Residents (FTE)", "Number of Beds",
-    "Total Bed Days Available", "Cost of Charity Care", "Total Bad Debt Expense",
-    "Cost of Uncompensated Care", "Total Unreimbursed and Uncompensated Care",
-    "Total Salaries From Worksheet A", "Overhead Non-Salary Costs", "Depreciation Cost",
-    "Total Costs", "Inpatient Total Charges", "Outpatient Total Charges",
-    "Combined Outpatient + Inpatient Total Charges", "Cash on Hand and in Banks",
-    "Total Current Assets", "Total Assets", "Total Current Liabilities",
-    "Total Long Term Liabilities", "Total Liabilities", "Total Fund Balances",
-    "Total Liabilities and Fund Balances", "DRG Amounts Other Than Outlier Payments",
-    "Outlier Payments For Discharges", "Disproportionate Share Adjustment",
-    "Allowable DSH Percentage", "Managed Care Simulated Payments", "Cost To Charge Ratio",
-    "Net Income", "Net Income from Service to Patients", "Net Patient Revenue",
-    "Total Patient Revenue", "Contractual Allowance",
-]
-
-MEASURE_TYPES = {
-    "medicare_inpatient": {"Rndrng_Prvdr_RUCA": "double", "Tot_Dschrgs": "bigint",
-                           "Avg_Submtd_Cvrd_Chrg": "double", "Avg_Tot_Pymt_Amt": "double",
-                           "Avg_Mdcr_Pymt_Amt": "double"},
-    "cost_report": {**{c: "double" for c in _COST_DOUBLES}, "Provider Type": "int",
-                    "Type of Control": "int", "Report Record Number": "bigint"},
-    "hospital_general_info": {},
-    "census_acs": {c: "double" for c in ["B19013_001E", "B01003_001E", "B01002_001E", UNIVERSE,
-                                         *UNINSURED_PARTS]},
-    "zip_cbsa_crosswalk": {"res_ratio": "double", "bus_ratio": "double", "oth_ratio": "double",
-                           "tot_ratio": "double"},
-}
+# Surrogate keys hash the text form of a DRG code and the seed maps that
+# form, so it must not depend on whether a file's codes look like numbers.
+KEY_COLUMNS = {"medicare_inpatient": ["DRG_Cd"]}
 
 
-def load_raw_csv(spark: SparkSession, paths: dict[str, str], multiline=()) -> dict[str, DataFrame]:
-    """Scan each raw file (or folder of files) with its typed config.
+def load_raw_csv(spark: SparkSession, paths: dict[str, str], multiline=(),
+                 types: dict[str, dict[str, str]] | None = None) -> dict[str, DataFrame]:
+    """Scan each raw file (or folder of files) with its config.
 
     Ids stay text and are padded as the loaders do; NA tokens become NULL;
-    a column the config does not name stays text. ``multiline`` names the
-    tables whose fields may hold line breaks.
+    every other column gets the type that all its values allow. ``types``
+    (table -> column -> Spark type) declares columns instead. ``multiline``
+    names the tables whose fields may hold line breaks.
     """
     out = {}
     for table, path in paths.items():
-        out[table] = scan_csv(spark, path, types=MEASURE_TYPES.get(table, {}),
-                              str_columns=TEXT_COLUMNS.get(table, ()),
-                              pad_columns=PAD_RULES.get(table, {}),
-                              multiline=table in multiline)
+        out[table] = scan_csv(spark, path, types=(types or {}).get(table, {}),
+                              str_columns=TEXT_COLUMNS.get(table, []) + KEY_COLUMNS.get(table, []),
+                              pad_columns=PAD_RULES.get(table, {}), multiline=table in multiline, infer=True)
     return out
