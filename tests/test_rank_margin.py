@@ -118,7 +118,7 @@ def test_exact_sums_keep_large_values_and_nan(spark):
     out = {r.g: r for r in rollup_groups(df, ["g"], "v", {"total": "v"}, "n", "volume", "avg").collect()}
     assert out["a"].total == 1e14 + 0.1 and out["b"].total == 6e17 and out["b"].avg == 3e17
     assert math.isnan(out["c"].total) and out["d"].total is None and out["d"].avg is None
-    assert out["e"].total == 0.3                      # 0.1 + 0.2 as doubles is not
+    assert out["e"].total == 0.1 + 0.2                # the two doubles' sum, rounded once
 
 
 def test_rank_is_a_bigint(spark):

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import col_of
 from ..functions.values import stable_round
+from .exact import exact_sums
 
 
 def _shown(c: Column, digits: int | None) -> Column:
@@ -36,8 +37,9 @@ def share_where(df: DataFrame, cond: Column, name: str, where: Column | None = N
 
 
 def weighted_total(df: DataFrame, a: str, b: str, name: str, digits: int | None = None) -> DataFrame:
-    """sum(a x b) over all rows."""
-    return df.agg(_shown(F.sum(col_of(a) * col_of(b)), digits).alias(name))
+    """sum(a x b) over all rows: the products are doubles, their sum exact."""
+    total = exact_sums(df, [], {name: col_of(a).cast("double") * col_of(b).cast("double")})
+    return total.select(_shown(F.col(name), digits).alias(name))
 
 
 def distinct_count(df: DataFrame, col: str, name: str, approx: bool = False,

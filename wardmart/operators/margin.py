@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.keys import surrogate_key
 from ..functions.text import col_of
 from .cache import settled
+from .exact import exact_sums
 from .joins import keyed_join
 from .rank import global_rank
 
@@ -24,23 +25,12 @@ def derive_margin(df: DataFrame, charge: str, payment: str, ratio: str,
     return df.withColumns({cost_name: cost, margin_name: col_of(payment) - cost})
 
 
-def exact_sum(c: str) -> Column:
-    """Sum of doubles as a double: values below 10^17 are added as decimals
-    with ten digits, exactly; larger ones and NaN as doubles."""
-    x = col_of(c).cast("double")
-    usual = F.abs(x) < F.lit(1e17)
-    cents, rest = F.sum(F.when(usual, x.cast("decimal(28,10)"))).cast("double"), F.sum(F.when(~usual, x))
-    return F.when(rest.isNull(), cents).otherwise(F.coalesce(cents, F.lit(0.0)) + rest)
-
-
 def rollup_groups(df: DataFrame, groups: list[str], measure: str, sums: dict[str, str],
                   volume: str, volume_name: str, avg_name: str) -> DataFrame:
     """One row per group: average of ``measure``, totals and volume, as full
     values that do not depend on the order of summation."""
-    aggs = [(exact_sum(measure) / F.count(col_of(measure))).alias(avg_name)]
-    aggs += [exact_sum(src).alias(dst) for dst, src in sums.items()]
-    aggs.append(F.sum(col_of(volume)).alias(volume_name))
-    return df.groupBy(*[col_of(g) for g in groups]).agg(*aggs)
+    return exact_sums(df, groups, {"__m": measure, **sums}, {volume_name: col_of(volume)}, {avg_name: "__m"}) \
+        .select(*[col_of(c) for c in [*groups, avg_name, *sums, volume_name]])
 
 
 def rank_groups(grouped: DataFrame, groups: list[str], volume_name: str, min_volume: float,

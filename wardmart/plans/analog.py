@@ -167,12 +167,19 @@ def _lines_with_customer(t: TableSet) -> DataFrame:
 
 
 def raw_medicare_inpatient(t: TableSet) -> DataFrame:
-    paid = F.col("l_extendedprice") * (1 - F.col("l_discount"))
+    # averages as whole sums of cents and hundredths, divided once
+    price, discount, tax = (F.round(F.col(c) * 100).cast("bigint")
+                            for c in ("l_extendedprice", "l_discount", "l_tax"))
+    paid, n = price * (100 - discount), F.count(F.lit(1))
+
+    def total(c: Column) -> Column:
+        return F.sum(c).cast("double")
+
     g = _lines_with_customer(t).groupBy("o_custkey", "l_partkey").agg(
-        F.count(F.lit(1)).alias("Tot_Dschrgs"),
-        F.avg(F.col("l_extendedprice") * CHARGE_MARKUP).alias("Avg_Submtd_Cvrd_Chrg"),
-        F.avg(paid).alias("Avg_Tot_Pymt_Amt"),
-        F.avg(paid * (1 - F.col("l_tax"))).alias("Avg_Mdcr_Pymt_Amt"))
+        n.alias("Tot_Dschrgs"),
+        (total(price) * CHARGE_MARKUP / (n * F.lit(100.0))).alias("Avg_Submtd_Cvrd_Chrg"),
+        (total(paid) / (n * F.lit(10_000.0))).alias("Avg_Tot_Pymt_Amt"),
+        (total(paid * (100 - tax)) / (n * F.lit(1_000_000.0))).alias("Avg_Mdcr_Pymt_Amt"))
     c = t["customer"].select("c_custkey", "c_nationkey")
     j = g.join(c, g["o_custkey"] == c["c_custkey"])
     return j.select(

@@ -3,9 +3,8 @@ or model, each with its DuckDB oracle SQL.
 
 Every query builds the warehouse from the stand-in raw tables (see
 ``analog``) and runs the library's operators over whole tables. Double
-outputs that come from aggregates are rounded in the query (in Spark and
-in the SQL alike) so the comparison does not depend on summation order; the
-models and operators behind them keep full values.
+sums of the marts are exact on both sides and compared bit by bit; shares
+and rates are rounded in the query, in Spark and in the SQL alike.
 """
 
 from __future__ import annotations
@@ -18,7 +17,7 @@ from pyspark.sql import functions as F
 from ..functions import pad_id, parse_date, sentinel_to_null, squash_upper, stable_round, surrogate_key
 from ..functions.text import col_of
 from ..operators import analysis as A
-from ..operators import (DEFAULT_BROADCAST_ROWS, exact_percentiles, global_rank, has_at_most, lookup_join,
+from ..operators import (DEFAULT_BROADCAST_ROWS, exact_percentiles, exact_sums, global_rank, has_at_most, lookup_join,
                          quality as Q)
 from ..operators.cache import release_all, settled
 from ..session import warehouse_root
@@ -28,7 +27,7 @@ from .analog import AnalogRaw, seed_drg_service_line, tables
 from .dims import dim_date
 from .load import load_raw_csv
 from .marts import mart_service_line_margin
-from .oracle import compose, pad, r6, sk, usdate
+from .oracle import compose, exact_double, pad, r6, scaled_sum, sk, usdate
 from .build import build_all
 from .suite import report_sql
 from .warehouse import Warehouse
@@ -201,13 +200,9 @@ def q_csv_cost_report(c: Ctx) -> DataFrame:
     return from_csv(c, "cost_report")
 
 
-_MEDICARE_AVGS = ["Avg_Submtd_Cvrd_Chrg", "Avg_Tot_Pymt_Amt", "Avg_Mdcr_Pymt_Amt"]
-
-
-@query("csv_medicare", compose("SELECT * REPLACE (" + ", ".join(
-    f'{r6(n)} AS {n}' for n in _MEDICARE_AVGS) + ") FROM raw_medicare_inpatient"))
+@query("csv_medicare", compose("SELECT * FROM raw_medicare_inpatient"))
 def q_csv_medicare(c: Ctx) -> DataFrame:
-    return rounded(from_csv(c, "medicare_inpatient"), _MEDICARE_AVGS)
+    return from_csv(c, "medicare_inpatient")
 
 
 @query("csv_census", compose("SELECT * FROM raw_census_acs"))
@@ -225,13 +220,10 @@ _AVGS = ["avg_submitted_covered_charge", "avg_total_payment_amount", "avg_medica
 
 
 @query("stage_measures", compose(f"""SELECT ccn, ruca_code, ruca_description, drg_code,
-  drg_description, total_discharges,
-  {r6('avg_submitted_covered_charge')} AS avg_submitted_covered_charge,
-  {r6('avg_total_payment_amount')} AS avg_total_payment_amount,
-  {r6('avg_medicare_payment_amount')} AS avg_medicare_payment_amount
+  drg_description, total_discharges, {', '.join(_AVGS)}
 FROM stg_medicare_inpatient"""))
 def q_stage_measures(c: Ctx) -> DataFrame:
-    return rounded(c.wh.stg_medicare_inpatient, _AVGS)
+    return c.wh.stg_medicare_inpatient
 
 
 @query("stg_crosswalk", compose("SELECT * FROM stg_zip_cbsa_crosswalk"))
@@ -359,77 +351,56 @@ def q_range_flag(c: Ctx) -> DataFrame:
     return c.wh.fct_hospital_finance.select("hospital_key", "cost_to_charge_ratio", "is_ccr_outlier")
 
 
-@query("fact_drg", compose(f"""SELECT hospital_key, drg_key, total_discharges,
-  {r6('avg_submitted_covered_charge')} AS avg_submitted_covered_charge,
-  {r6('avg_total_payment_amount')} AS avg_total_payment_amount,
-  {r6('avg_medicare_payment_amount')} AS avg_medicare_payment_amount
+@query("fact_drg", compose(f"""SELECT hospital_key, drg_key, total_discharges, {', '.join(_AVGS)}
 FROM fct_medicare_drg"""))
 def q_fact_drg(c: Ctx) -> DataFrame:
-    return rounded(c.wh.fct_medicare_drg, _AVGS)
+    return c.wh.fct_medicare_drg
 
 
 # ---- marts ---------------------------------------------------------------------------------
-_GAP_DOUBLES = ["charges", "medicare_payment", "derived_cost", "margin"]
-
-
-@query("reimbursement_gap", compose(f"""SELECT hospital_key, drg_key, hospital_name, cbsa_code,
-  metro_name, drg_code, drg_description, service_line, total_discharges,
-  {r6('charges')} AS charges, {r6('medicare_payment')} AS medicare_payment, cost_to_charge_ratio,
-  {r6('derived_cost')} AS derived_cost, {r6('margin')} AS margin
-FROM mart_reimbursement_gap"""))
+@query("reimbursement_gap", compose("SELECT * FROM mart_reimbursement_gap"))
 def q_reimbursement_gap(c: Ctx) -> DataFrame:
-    return rounded(c.wh.mart_reimbursement_gap, _GAP_DOUBLES)
-
-
-_SLM = compose(f"""SELECT service_line_margin_key, service_line, metro_name,
-  {r6('avg_margin')} AS avg_margin, {r6('total_medicare_payment', 2)} AS total_medicare_payment,
-  {r6('total_derived_cost', 2)} AS total_derived_cost, total_discharge_volume, meets_volume_threshold,
-  global_rank, metro_rank FROM mart_service_line_margin""")
+    return c.wh.mart_reimbursement_gap
 
 
-def slm_shown(df: DataFrame) -> DataFrame:
-    return rounded(rounded(df, ["avg_margin"]), ["total_medicare_payment", "total_derived_cost"], 2)
+_SLM = compose("SELECT * FROM mart_service_line_margin")
 
 
 @query("service_line_margin", _SLM)
 def q_service_line_margin(c: Ctx) -> DataFrame:
-    return slm_shown(c.wh.mart_service_line_margin)
+    return c.wh.mart_service_line_margin
 
 
 @query("service_line_margin_join", _SLM)
 def q_service_line_margin_join(c: Ctx) -> DataFrame:
     """Same mart through the self-join form: ranked subset left-joined back
     on service line and null-safe metro."""
-    return slm_shown(mart_service_line_margin(c.wh.service_line_groups, c.min_volume, form="join"))
+    return mart_service_line_margin(c.wh.service_line_groups, c.min_volume, form="join")
 
 
-@query("global_rank", compose(f"""SELECT hospital_key, drg_key, {r6('margin')} AS margin,
+@query("global_rank", compose("""SELECT hospital_key, drg_key, margin,
   rank() OVER (ORDER BY margin ASC NULLS LAST) AS margin_rank
 FROM mart_reimbursement_gap"""))
 def q_global_rank(c: Ctx) -> DataFrame:
     """rank() over every hospital x DRG margin, without a single-task stage."""
-    g = c.wh.mart_reimbursement_gap.select("hospital_key", "drg_key", "margin")
-    return rounded(global_rank(g, "margin", "margin_rank"), ["margin"])
+    return global_rank(c.wh.mart_reimbursement_gap.select("hospital_key", "drg_key", "margin"), "margin", "margin_rank")
 
 
-@query("top_worst", compose(f"""SELECT service_line, metro_name, {r6('avg_margin')} AS avg_margin, total_discharge_volume,
-  global_rank FROM mart_service_line_margin WHERE global_rank IS NOT NULL
-ORDER BY global_rank, service_line, metro_name NULLS LAST LIMIT 5"""))
+_RANKED = ["service_line", "metro_name", "avg_margin", "total_discharge_volume", "global_rank"]
+
+
+@query("top_worst", compose(f"""SELECT {', '.join(_RANKED)} FROM mart_service_line_margin
+WHERE global_rank IS NOT NULL ORDER BY global_rank, service_line, metro_name NULLS LAST LIMIT 5"""))
 def q_top_worst(c: Ctx) -> DataFrame:
-    top = A.top_n(c.ranked_groups.select("service_line", "metro_name", "avg_margin",
-                                         "total_discharge_volume", "global_rank"),
-                  [F.col("global_rank"), F.col("service_line"), F.col("metro_name").asc_nulls_last()], 5)
-    return rounded(top, ["avg_margin"])
+    return A.top_n(c.ranked_groups.select(_RANKED),
+                   [F.col("global_rank"), F.col("service_line"), F.col("metro_name").asc_nulls_last()], 5)
 
 
-@query("top_best", compose(f"""SELECT service_line, metro_name, {r6('m.avg_margin')} AS avg_margin,
-  total_discharge_volume, global_rank FROM mart_service_line_margin m WHERE global_rank IS NOT NULL
-ORDER BY m.avg_margin DESC, service_line, metro_name NULLS LAST LIMIT 5"""))
+@query("top_best", compose(f"""SELECT {', '.join(_RANKED)} FROM mart_service_line_margin
+WHERE global_rank IS NOT NULL ORDER BY avg_margin DESC, service_line, metro_name NULLS LAST LIMIT 5"""))
 def q_top_best(c: Ctx) -> DataFrame:
-    top = A.top_n(c.ranked_groups.select("service_line", "metro_name", "avg_margin",
-                                         "total_discharge_volume", "global_rank"),
-                  [F.col("avg_margin").desc(), F.col("service_line"), F.col("metro_name").asc_nulls_last()], 5)
-    return rounded(top, ["avg_margin"])
+    return A.top_n(c.ranked_groups.select(_RANKED),
+                   [F.col("avg_margin").desc(), F.col("service_line"), F.col("metro_name").asc_nulls_last()], 5)
 
 
 @query("finance_scorecard", compose("SELECT * FROM mart_finance_scorecard"))
@@ -593,11 +564,25 @@ def q_negative_share(c: Ctx) -> DataFrame:
     return A.share_where(c.ranked_groups, F.col("avg_margin") < 0, "negative", digits=6)
 
 
-@query("portfolio_gap", compose(f"""SELECT {r6('sum(margin * total_discharges)', 2)} AS portfolio_gap
-FROM mart_reimbursement_gap"""))
+@query("portfolio_gap", compose(f"""SELECT {exact_double('s', 66)} AS portfolio_gap
+FROM (SELECT {scaled_sum('(margin * total_discharges)', 66)} AS s FROM mart_reimbursement_gap) t"""))
 def q_portfolio_gap(c: Ctx) -> DataFrame:
-    return A.weighted_total(c.wh.mart_reimbursement_gap, "margin", "total_discharges",
-                            "portfolio_gap", 2)
+    return A.weighted_total(c.wh.mart_reimbursement_gap, "margin", "total_discharges", "portfolio_gap")
+
+
+_EXACT = {"total_costs": "Total Costs", "net_income": "Net Income", "interns": "Number of Interns and Residents (FTE)"}
+
+
+@query("exact_sums", compose(f"""SELECT control, n, {', '.join(
+    f"{exact_double(k, 60)} / n AS avg_{k}, {exact_double(k, 60)} AS {k}" for k in _EXACT)} FROM (
+SELECT "Type of Control" AS control, count(*) AS n, {', '.join(
+    scaled_sum(f'"{v}"', 60) + f" AS {k}" for k, v in _EXACT.items())}
+FROM raw_cost_report GROUP BY 1) t"""))
+def q_exact_sums(c: Ctx) -> DataFrame:
+    """Sums and means of the filings' measures by type of control, compared
+    bit by bit: the SQL adds whole numbers."""
+    return exact_sums(c.raw["cost_report"].withColumnRenamed("Type of Control", "control"), ["control"],
+                      _EXACT, {"n": F.lit(1)}, {f"avg_{k}": k for k in _EXACT})
 
 
 @query("metro_coverage", compose("""SELECT count(DISTINCT metro_name) AS distinct_metros
@@ -695,7 +680,7 @@ def q_exclusion_audit(c: Ctx) -> DataFrame:
 
 
 @query("drilldown", compose(f"""SELECT g.hospital_key, g.drg_code, g.service_line, g.metro_name,
-  {r6('g.margin')} AS margin, g.total_discharges,
+  g.margin, g.total_discharges,
   rank() OVER (PARTITION BY g.service_line, g.metro_name ORDER BY g.margin) AS contribution_rank
 FROM mart_reimbursement_gap g
 SEMI JOIN (SELECT service_line, metro_name FROM mart_service_line_margin WHERE global_rank = 1) w
@@ -712,10 +697,9 @@ def q_drilldown(c: Ctx) -> DataFrame:
         worst = F.broadcast(worst)        # tied groups apart, a single row
     rows = g.join(worst, (F.col("service_line") == F.col("__sl")) &
                   F.col("metro_name").eqNullSafe(F.col("__mn")), "left_semi")
-    ranked = global_rank(rows.select("hospital_key", "drg_code", "service_line", "metro_name",
-                                     "margin", "total_discharges"),
-                         "margin", "contribution_rank", partition_by=["service_line", "metro_name"])
-    return rounded(ranked, ["margin"])
+    return global_rank(rows.select("hospital_key", "drg_code", "service_line", "metro_name",
+                                   "margin", "total_discharges"),
+                       "margin", "contribution_rank", partition_by=["service_line", "metro_name"])
 
 
 @query("extreme_gap", compose(f"""SELECT {r6('min(v)')} AS lowest_value,
