@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from ..functions.text import col_of
 from ..functions.values import stable_round
 from .exact import exact_sums
+from .joins import keyed_join
+from .moments import correlation, merge_moments, moment_states, sample_stddev
 
 
 def _shown(c: Column, digits: int | None) -> Column:
@@ -21,9 +23,13 @@ def _shown(c: Column, digits: int | None) -> Column:
 
 def pair_corr(df: DataFrame, x: str, y: str, digits: int | None = None) -> DataFrame:
     """Pearson correlation over rows where both values are known, and n."""
-    both = col_of(x).isNotNull() & col_of(y).isNotNull()
-    return df.agg(_shown(F.corr(col_of(x), col_of(y)), digits).alias("correlation"),
-                  F.count_if(both).alias("n_pairs"))
+    return corr_of(moment_states(df, [], x, y), digits)
+
+
+def corr_of(states: DataFrame, digits: int | None = None) -> DataFrame:
+    """``pair_corr`` from moment states, stored or not."""
+    return merge_moments(states, []).select(_shown(correlation(), digits).alias("correlation"),
+                                            F.col("n").alias("n_pairs"))
 
 
 def share_where(df: DataFrame, cond: Column, name: str, where: Column | None = None,
@@ -52,13 +58,25 @@ def distinct_count(df: DataFrame, col: str, name: str, approx: bool = False,
 
 def spread(df: DataFrame, group: str, col: str, digits: int | None = None) -> DataFrame:
     """Per group: number of rows, min, max, range and sample stddev."""
+    return spread_of(moment_states(df, [group], col), extremes(df, group, col), group, digits)
+
+
+def extremes(df: DataFrame, group: str, col: str) -> DataFrame:
+    """Per group: rows, min and max. Rows of such tables merge by sum, min
+    and max."""
     c = col_of(col)
-    return df.groupBy(col_of(group)).agg(
-        F.count(F.lit(1)).alias("n_groups"),
-        _shown(F.min(c), digits).alias("min_value"),
-        _shown(F.max(c), digits).alias("max_value"),
-        _shown(F.max(c) - F.min(c), digits).alias("value_range"),
-        _shown(F.stddev_samp(c), digits).alias("stddev_value"))
+    return df.groupBy(col_of(group)).agg(F.count(F.lit(1)).alias("n_groups"), F.min(c).alias("min_value"),
+                                         F.max(c).alias("max_value"))
+
+
+def spread_of(states: DataFrame, ends: DataFrame, group: str, digits: int | None = None) -> DataFrame:
+    """``spread`` from moment states and extremes, stored or not."""
+    merged = merge_moments(states, [group]).select(col_of(group), sample_stddev().alias("__stddev"))
+    j = keyed_join(ends, merged, null_safe_keys=[group], how="left")
+    return j.select(col_of(group), "n_groups", _shown(F.col("min_value"), digits).alias("min_value"),
+                    _shown(F.col("max_value"), digits).alias("max_value"),
+                    _shown(F.col("max_value") - F.col("min_value"), digits).alias("value_range"),
+                    _shown(F.col("__stddev"), digits).alias("stddev_value"))
 
 
 def mismatch_rates(left: DataFrame, right: DataFrame, key: str,
@@ -105,11 +123,14 @@ def null_lift(df: DataFrame, target: str, category: str, digits: int | None = No
 def conditional_means(df: DataFrame, cond: Column, cols: list[str],
                       digits: int | None = None) -> DataFrame:
     """For each column: average over rows meeting ``cond`` and overall."""
-    aggs = []
+    sums, means = {}, {}
     for c in cols:
-        aggs.append(_shown(F.avg(F.when(cond, col_of(c))), digits).alias(f"{c}_group_avg"))
-        aggs.append(_shown(F.avg(col_of(c)), digits).alias(f"{c}_overall_avg"))
-    return df.agg(F.count_if(cond).alias("group_rows"), F.count(F.lit(1)).alias("all_rows"), *aggs)
+        sums |= {f"__g_{c}": F.when(cond, col_of(c).cast("double")), f"__o_{c}": c}
+        means |= {f"{c}_group_avg": f"__g_{c}", f"{c}_overall_avg": f"__o_{c}"}
+    total = exact_sums(df, [], sums, {"group_rows": F.when(cond, 1).otherwise(0), "all_rows": F.lit(1)}, means)
+    return total.select(F.coalesce("group_rows", F.lit(0).cast("bigint")).alias("group_rows"),
+                        F.coalesce("all_rows", F.lit(0).cast("bigint")).alias("all_rows"),
+                        *[_shown(F.col(m), digits).alias(m) for m in means])
 
 
 def two_lowest(df: DataFrame, col: str, digits: int | None = None) -> DataFrame:

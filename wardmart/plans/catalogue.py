@@ -20,8 +20,9 @@ from ..operators import analysis as A
 from ..operators import (DEFAULT_BROADCAST_ROWS, exact_percentiles, exact_sums, global_rank, has_at_most, lookup_join,
                          quality as Q)
 from ..operators.cache import release_all, settled
+from ..operators.moments import correlation, merge_moments, moment_states
 from ..session import warehouse_root
-from ..sources import audit_counts, date_spine_between, new_run_id, snapshot
+from ..sources import audit_counts, date_spine_between, materialize, new_run_id, snapshot
 from . import etl, oracle
 from .analog import AnalogRaw, seed_drg_service_line, tables
 from .dims import dim_date
@@ -78,6 +79,11 @@ def rounded(df: DataFrame, cols: list[str], digits: int = 6) -> DataFrame:
     return df.withColumns({c: stable_round(c, digits) for c in cols})
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as a table under the shared root and scanned from there."""
+    return materialize(df.sparkSession, df, f"{warehouse_root(df.sparkSession)}/states", name, new_run_id())[0]
+
+
 Q_: dict[str, Callable[[Ctx], DataFrame]] = {}
 S_: dict[str, str] = {}
 
@@ -533,7 +539,18 @@ def q_dq_compare(c: Ctx) -> DataFrame:
   count_if(uninsured_rate IS NOT NULL AND uncompensated_pct_of_revenue IS NOT NULL) AS n_pairs
 FROM mart_burden_vs_community"""))
 def q_burden_corr(c: Ctx) -> DataFrame:
-    return A.pair_corr(c.wh.mart_burden_vs_community, "uninsured_rate", "uncompensated_pct_of_revenue", 6)
+    return A.pair_corr(settled(c.wh.mart_burden_vs_community), "uninsured_rate", "uncompensated_pct_of_revenue", 6)
+
+
+@query("burden_corr_stored", S_["burden_corr"])
+def q_burden_corr_stored(c: Ctx) -> DataFrame:
+    """The same correlation from moment states kept as a table per ownership,
+    as a dashboard would add extracts to it."""
+    mart = settled(c.wh.mart_burden_vs_community)
+    states = stored(moment_states(mart, ["hospital_ownership"], "uninsured_rate", "uncompensated_pct_of_revenue"),
+                    "burden_states")
+    merged = merge_moments(states, [], ["hospital_ownership", "part"])
+    return merged.select(stable_round(correlation(), 6).alias("correlation"), F.col("n").alias("n_pairs"))
 
 
 @query("volume_percentiles", compose(f"""SELECT
@@ -597,7 +614,15 @@ def q_metro_coverage(c: Ctx) -> DataFrame:
   {r6('stddev_samp(avg_margin)')} AS stddev_value
 FROM mart_service_line_margin GROUP BY service_line"""))
 def q_margin_spread(c: Ctx) -> DataFrame:
-    return A.spread(c.wh.service_line_groups, "service_line", "avg_margin", 6)
+    return A.spread(settled(c.wh.service_line_groups), "service_line", "avg_margin", 6)
+
+
+@query("margin_spread_stored", S_["margin_spread"])
+def q_margin_spread_stored(c: Ctx) -> DataFrame:
+    """The same spread from stored moment states and extremes."""
+    groups = settled(c.wh.service_line_groups)
+    return A.spread_of(stored(moment_states(groups, ["service_line"], "avg_margin"), "margin_states"),
+                       stored(A.extremes(groups, "service_line", "avg_margin"), "margin_extremes"), "service_line", 6)
 
 
 @query("source_mismatch", compose(f"""SELECT count(*) AS matched_keys,
