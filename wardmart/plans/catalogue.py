@@ -18,7 +18,7 @@ from ..functions import pad_id, parse_date, sentinel_to_null, squash_upper, stab
 from ..functions.text import col_of
 from ..operators import analysis as A
 from ..operators import (DEFAULT_BROADCAST_ROWS, exact_percentiles, exact_sums, global_rank, has_at_most, lookup_join,
-                         quality as Q)
+                         pruned_orphans, quality as Q)
 from ..operators.cache import release_all, settled
 from ..operators.moments import correlation, merge_moments, moment_states
 from ..session import warehouse_root
@@ -363,6 +363,14 @@ def q_fact_drg(c: Ctx) -> DataFrame:
     return c.wh.fct_medicare_drg
 
 
+@query("fact_drg_split", S_["fact_drg"])
+def q_fact_drg_split(c: Ctx) -> DataFrame:
+    """The same fact with both dimensions over the broadcast bound: Bloom
+    filters drop unmatched rows, hot keys are joined apart."""
+    c.wh.bcast = 1
+    return c.wh.fct_medicare_drg
+
+
 # ---- marts ---------------------------------------------------------------------------------
 @query("reimbursement_gap", compose("SELECT * FROM mart_reimbursement_gap"))
 def q_reimbursement_gap(c: Ctx) -> DataFrame:
@@ -448,6 +456,14 @@ def q_dq_unique(c: Ctx) -> DataFrame:
     return Q.unique(c.raw["cost_report"], "Provider CCN")
 
 
+@query("dq_relationships_large", None)
+def q_dq_relationships_large(c: Ctx) -> DataFrame:
+    """``dq_relationships`` for a parent too large to broadcast: a Bloom
+    filter settles the certain orphans before any shuffle."""
+    return pruned_orphans(c.wh.stg_medicare_inpatient.select(F.col("ccn").alias("from_field")), "from_field",
+                          c.wh.stg_hospital_general_info, "facility_id")
+
+
 _ACCEPTED = brand_lines(20)
 
 
@@ -468,6 +484,9 @@ def q_dq_relationships(c: Ctx) -> DataFrame:
                            "facility_id")
 
 
+S_["dq_relationships_large"] = S_["dq_relationships"]
+
+
 @query("dq_range", compose("""SELECT * FROM fct_hospital_finance WHERE cost_to_charge_ratio IS NOT NULL
   AND (cost_to_charge_ratio < 0 OR cost_to_charge_ratio > 1)"""))
 def q_dq_range(c: Ctx) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from ..functions import range_flag
-from ..operators import lookup_join, select_keys
+from ..operators import lookup_join, pruned_join, select_keys
 
 # The measures the fact carries, in order.
 FINANCE_MEASURES = [
@@ -34,12 +34,15 @@ def fct_medicare_drg(medicare: DataFrame, dim_hospital: DataFrame, dim_drg: Data
     """Hospital x DRG measures carrying surrogate keys only.
 
     The dimensions enter as key-only projections; a dimension proven small
-    is broadcast, so the fact is not shuffled for it.
+    is broadcast, so the fact is not shuffled for it. For one proven large,
+    rows without a match are dropped by a Bloom filter and rows of hot keys
+    joined by broadcast before the rest is shuffled.
     """
     h = select_keys(dim_hospital, "ccn", "hospital_key")
     d = select_keys(dim_drg, "drg_code", "drg_key")
-    j = lookup_join(medicare, h, "ccn", "inner", hospital_small)
-    j = lookup_join(j, d, "drg_code", "inner", drg_small)
+    j = medicare
+    for keys, on, small in ((h, "ccn", hospital_small), (d, "drg_code", drg_small)):
+        j = pruned_join(j, keys, on) if small is False else lookup_join(j, keys, on, "inner", small)
     return j.select("hospital_key", "drg_key", "total_discharges", "avg_submitted_covered_charge",
                     "avg_total_payment_amount", "avg_medicare_payment_amount")
 
