@@ -93,7 +93,9 @@ def build_all(spark: SparkSession, wh: Warehouse, root: str | None = None,
     for wave in WAVES:
         # later models read the written table (cached_property slot)
         wh.__dict__.update(write_all({name: wh.model(name) for name in wave if name in wanted}))
-    report = Q.quality_report(spark_checks(wh.model, service_lines, None if tables is None else {*VIEWS, *wanted}))
+    report = Q.quality_report(spark_checks(
+        wh.model, service_lines, None if tables is None else {*VIEWS, *wanted},
+        {name: "hospital_key" for name in BUCKETED_ON_HOSPITAL if name in wanted}))
     rows = Q.enforce(report) if enforce or publish else None
     if publish:
         version = make_visible(spark, root, run_id, entries, staging_views(wh.cost_tie_break, wh.cost_nulls_win))

@@ -17,9 +17,10 @@ from pyspark.sql import functions as F
 from ..functions import pad_id, parse_date, sentinel_to_null, squash_upper, stable_round, surrogate_key
 from ..functions.text import col_of
 from ..operators import analysis as A
-from ..operators import (DEFAULT_BROADCAST_ROWS, exact_percentiles, exact_sums, global_rank, has_at_most, lookup_join,
-                         pruned_orphans, quality as Q)
+from ..operators import (DEFAULT_BROADCAST_ROWS, exact_percentiles, exact_sums, global_rank, has_at_most, keyed_join,
+                         lookup_join, pruned_orphans, quality as Q)
 from ..operators.cache import release_all, settled
+from ..operators import sketches as K
 from ..operators.moments import correlation, merge_moments, moment_states
 from ..session import warehouse_root
 from ..sources import audit_counts, date_spine_between, materialize, new_run_id, snapshot
@@ -28,6 +29,7 @@ from .analog import AnalogRaw, seed_drg_service_line, tables
 from .dims import dim_date
 from .load import load_raw_csv
 from .marts import mart_service_line_margin
+from .partitioned import rows_of, with_line, write_by_line
 from .oracle import compose, exact_double, pad, r6, scaled_sum, sk, usdate
 from .build import build_all
 from .suite import report_sql
@@ -474,6 +476,17 @@ def q_dq_accepted(c: Ctx) -> DataFrame:
     return Q.accepted_values(c.wh.dim_drg, "service_line", _ACCEPTED)
 
 
+@query("dq_unique_bucketed", S_["dq_unique"])
+def q_dq_unique_bucketed(c: Ctx) -> DataFrame:
+    """``dq_unique`` over a table bucketed on the tested key: duplicates are
+    searched within the buckets, without a shuffle."""
+    n = int(c.spark.conf.get("spark.sql.shuffle.partitions"))
+    table, _ = materialize(c.spark, c.raw["cost_report"].select("Provider CCN", "Report Record Number"),
+                           f"{warehouse_root(c.spark)}/bucketed", "cost_report", new_run_id(),
+                           bucket_by=(n, ["Provider CCN"]))
+    return Q.unique(table, "Provider CCN")
+
+
 @query("dq_relationships", compose("""SELECT m.ccn AS from_field FROM stg_medicare_inpatient m
 LEFT JOIN (SELECT DISTINCT facility_id AS pk FROM stg_hospital_general_info) p ON m.ccn = p.pk
 WHERE m.ccn IS NOT NULL AND p.pk IS NULL"""))
@@ -582,6 +595,54 @@ def q_volume_percentiles(c: Ctx) -> DataFrame:
     return rounded(p, ["p5", "p25", "p50"])
 
 
+def by_rank(share: float, name: str) -> str:
+    """SQL: the smallest value with at least ``share`` of the values up to it."""
+    return f"min(CASE WHEN nth >= ceil({share} * n) THEN v END) AS {name}"
+
+
+@query("volume_sketches", compose(f"""SELECT service_line, CAST(max(n) AS BIGINT) AS n, {by_rank(.05, 'p5')},
+  {by_rank(.25, 'p25')}, {by_rank(.5, 'p50')} FROM (
+SELECT *, row_number() OVER (PARTITION BY level, service_line ORDER BY v) AS nth,
+       count(*) OVER (PARTITION BY level, service_line) AS n FROM (
+SELECT 1 AS level, service_line, CAST(total_discharge_volume AS DOUBLE) AS v FROM slm_groups
+UNION ALL SELECT 2, NULL, CAST(total_discharge_volume AS DOUBLE) FROM slm_groups) r) q GROUP BY level, service_line"""))
+def q_volume_sketches(c: Ctx) -> DataFrame:
+    """Volume percentiles by service line, and overall, from one stored table
+    of quantile states (exact up to 2,048 groups a line)."""
+    states = stored(K.quantile_states(c.wh.service_line_groups, ["service_line"], "total_discharge_volume"),
+                    "volume_states")
+    levels = states.unionByName(K.merge_quantiles(states, []).withColumn("service_line", F.lit(None).cast("string")))
+    return levels.select("service_line", "n", *[K.quantile(p).alias(n) for p, n in
+                                                ((.05, "p5"), (.25, "p25"), (.5, "p50"))])
+
+
+@query("metro_sketches", compose("""SELECT service_line, count(DISTINCT metro_name) AS exact_metros,
+  count(DISTINCT metro_name) AS merged_metros FROM mart_reimbursement_gap WHERE metro_name IS NOT NULL GROUP BY 1
+UNION ALL SELECT NULL, count(DISTINCT metro_name), count(DISTINCT metro_name) FROM mart_reimbursement_gap"""))
+def q_metro_sketches(c: Ctx) -> DataFrame:
+    """Distinct metros by service line and overall: counted exactly, and from
+    one stored table of states, in which metros are shared between lines."""
+    rows = settled(c.wh.mart_reimbursement_gap.select("service_line", "metro_name").where("metro_name IS NOT NULL"))
+    states = stored(K.distinct_states(rows, ["service_line"], "metro_name"), "metro_states")
+    total = F.lit(None).cast("string").alias("service_line")
+    merged = states.unionByName(K.merge_distinct(states, []).select(total, "distinct")) \
+        .select("service_line", K.distinct_estimate().alias("merged_metros"))
+    exact = rows.groupBy("service_line").agg(F.count_distinct("metro_name").alias("exact_metros")) \
+        .unionByName(rows.agg(F.count_distinct("metro_name").alias("exact_metros")).select(total, "exact_metros"))
+    return keyed_join(exact, merged, null_safe_keys=["service_line"], how="inner")
+
+
+@query("fact_by_line", compose("""SELECT f.*, d.service_line, d.drg_code FROM fct_medicare_drg f
+JOIN dim_drg d ON f.drg_key = d.drg_key WHERE d.drg_code <= '000120'"""))
+def q_fact_by_line(c: Ctx) -> DataFrame:
+    """Rows of some DRGs from the fact partitioned by service line: a filter
+    on the dimension decides which folders are read."""
+    small = c.wh._small("dim_drg")
+    by_line, _ = write_by_line(c.spark, with_line(c.wh.fct_medicare_drg, c.wh.dim_drg, small),
+                               f"{warehouse_root(c.spark)}/facts", new_run_id())
+    return rows_of(by_line, c.wh.dim_drg, F.col("drg_code") <= "000120", small)
+
+
 @query("threshold_coverage", compose(f"""SELECT
   count_if(total_discharge_volume < {oracle.MIN_VOLUME}) AS below_rows, count(*) AS total_rows,
   {r6(f'CASE WHEN count(*) > 0 THEN count_if(total_discharge_volume < {oracle.MIN_VOLUME}) / count(*) END')}
