@@ -32,7 +32,7 @@ LETTERS = r"A-Za-zÀ-ÿ"
 
 LONGEST_SHARD = 64           # longer words share this shard
 BITS_A_WORD = 20
-SEGMENT = 1 << 15            # blocks of 64 bits that one task fills
+SEGMENT = 1 << 13            # blocks of 64 bits that one task fills
 FILTER_BYTES = 32 << 20      # filters of one pass over the vocabulary
 HELD_WORDS, HELD_CHARS = 200_000, 16_000_000    # counted words a task holds
 CELLS = 200_000              # (word, position) pairs probed at once
@@ -152,7 +152,7 @@ def shard_sizes(vocabulary: DataFrame) -> dict[int, int]:
 
 def bloom_segments(vocabulary: DataFrame, sizes: dict[int, int]) -> DataFrame:
     """(shard, segment, bits): the filters in pieces of ``SEGMENT`` blocks,
-    each filled by one task from the hashes of some 100,000 words."""
+    each filled by one task from the hashes of some 26,000 words."""
     def hash_words(batches):
         for batch in batches:
             words = batch.column(0).to_pylist()
