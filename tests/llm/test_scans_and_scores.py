@@ -1,10 +1,12 @@
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 from hashlib import sha256
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -52,65 +54,137 @@ def test_secret_spans_and_ownership(make_docs, empty):
     assert by[8].line == "" and secret_spans(empty).count() == 0
 
 
-def test_contamination_matches_brute_force(spark, make_docs, empty):
-    rng = random.Random(5)
-    items = [(k, gibberish(rng, n)) for k, n in enumerate([12, 15, 30, 30, 45, 7])] + [(6, "two words"), (7, None), (8, "")]
-    rows = []
-    for k, t in items[:6]:
-        w = t.split()
-        edits = list(w)
-        edits[0] = "edited"
-        rows += [f"{gibberish(rng, 20)} {t} {gibberish(rng, 20)}", t.upper().replace(" ", ", "),
-                 " ".join(edits), " ".join(w[:len(w) // 2]), t + " " + t]
-    rows += ["some two words here", None, "", gibberish(rng, 300), "!!!"]
-    benchmark = spark.createDataFrame(items, "item_id long, text string")
+def brute_contamination(rows, items):
+    """{(doc, item): (similarity, start)} of texts; weights over distinct items."""
     split = lambda t: re.sub(r"[\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]", " ", (t or "").lower()).split()
     known = [split(t) for _, t in items]
     shingles = lambda w, s: Counter(tuple(w[j:j + s]) for j in range(len(w) - s + 1))
     sets = [shingles(w, min(5, len(w))) if w else Counter() for w in known]
-    df = Counter(x for s in sets for x in s)
-    n = sum(1 for w in known if w)
-    weight = lambda x: math.log1p(n / df.get(x, 1))
+    distinct = {tuple(w): s for w, s in zip(known, sets) if w}
+    df = Counter(x for s in distinct.values() for x in s)
+    weight = lambda x: math.log1p(len(distinct) / df.get(x, 1))
     want = {}
     for d, t in enumerate(rows):
         w = split(t)
-        for k, item in enumerate(known):
+        for (key, _), item, own in zip(items, known, sets):
             size, length = min(5, len(item)), min(len(item), len(w))
             for a in range(len(w) - length + 1) if item and length >= size else ():
                 c = shingles(w[a:a + length], size)
-                sim = sum(weight(x) * v for x, v in (c & sets[k]).items()) / sum(weight(x) * v for x, v in (c | sets[k]).items())
-                if sim >= 0.8 - 1e-12 and sim > want.get((d, k), (0, 0))[0] + 1e-12:
-                    want[d, k] = sim, a
-    got = {(r.doc_id, r.item_id): r for r in contamination(make_docs(rows), benchmark).collect()}
-    assert got.keys() == want.keys() and len(want) > 12
+                if not c & own:
+                    continue
+                sim = sum((c & own)[x] * weight(x) for x in c & own) / sum((c | own)[x] * weight(x) for x in c | own)
+                if sim >= 0.8 - 1e-12 and sim > want.get((d, key), (0, 0))[0] + 1e-12:
+                    want[d, key] = sim, a
+    return want
+
+
+def check_contamination(spark, make_docs, rows, items, want=None):
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    want = want or brute_contamination(rows, items)
+    found = contamination(make_docs(rows), benchmark).collect()
+    got = {(r.doc_id, r.item_id): r for r in found}
+    assert got.keys() == want.keys() and len(found) >= len(got)
     for key, (sim, start) in want.items():
         assert got[key].start_word == start and abs(got[key].similarity - sim) < 1e-9
+    return want
+
+
+def edited(rng, text, n):
+    words = text.split()
+    for _ in range(n):
+        words[rng.randrange(len(words))] = rng.choice(["edited", "", gibberish(rng, 1)])
+    return " ".join(words)
+
+
+def test_contamination_matches_brute_force(spark, make_docs, empty):
+    rng = random.Random(5)
+    items = [(k, gibberish(rng, n)) for k, n in enumerate([12, 15, 30, 30, 45, 7])] + [(6, "two words"), (7, None), (8, "")]
+    rows = []
+    for k, t in items[:6]:
+        w = t.split()
+        rows += [f"{gibberish(rng, 20)} {t} {gibberish(rng, 20)}", t.upper().replace(" ", ", "),
+                 " ".join(["edited", *w[1:]]), " ".join(w[:len(w) // 2]), t + " " + t]
+    rows += ["some two words here", None, "", gibberish(rng, 300), "!!!"]
+    assert len(check_contamination(spark, make_docs, rows, items)) > 12
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
     assert contamination(empty, benchmark).count() == 0
     assert contamination(make_docs(rows), benchmark.limit(0)).count() == 0
+    again = contamination(make_docs([(None, rows[0]), (3, rows[0]), (3, rows[0])]),
+                          benchmark.unionByName(benchmark).withColumn("item_id", F.expr("nullif(item_id, 0)"))).collect()
+    assert sorted((r.doc_id or 0, r.item_id) for r in again) == [(0, None)] * 2 + [(3, None)] * 4
 
 
-def test_contamination_does_not_depend_on_blocks(spark, make_docs, monkeypatch):
+def test_contamination_of_repeated_items_hot_stems_and_repeated_words(spark, make_docs, monkeypatch):
     rng = random.Random(31)
-    stem = gibberish(rng, 20)
-    items = [(k, f"{stem} {gibberish(rng, 10)}") for k in range(12)]
-    rows = [t.rsplit(" ", edits)[0] + " " + gibberish(rng, edits) for _, t in items for edits in (1, 2, 3)]
-    benchmark = spark.createDataFrame(items, "item_id long, text string")
-    run = lambda: sorted((r.doc_id, r.item_id, r.start_word, round(r.similarity, 9))
-                         for r in contamination(make_docs(rows), benchmark).collect())
-    whole = run()
-    monkeypatch.setattr(decontaminate, "ITEMS_PER_SCAN", 3)
-    assert run() == whole and whole
+    hot, stem = gibberish(rng, 40), gibberish(rng, 20)
+    items = [(k, hot) for k in range(30)] + [(30 + k, hot.upper().replace(" ", "; ")) for k in range(5)]
+    items += [(100 + k, f"{stem} {gibberish(rng, 10)}") for k in range(25)]
+    items += [(200, "again " * 12), (201, "again and again and " * 6), (202, "again " * 40), (203, gibberish(rng, 40))]
+    rows = [edited(rng, f"{gibberish(rng, 9)} {t} {gibberish(rng, 9)}", n) for _, t in items[28:] for n in (0, 1, 3)]
+    rows += [stem, f"{stem} {stem}", "again " * 90, "again and " * 30, " ".join(t for _, t in items[55:])]
+    want = check_contamination(spark, make_docs, rows, items)
+    assert sum(k == 0 for _, k in want) > 5 and len(want) > 200
+    # blocks, small groups of windows: nothing changes
+    monkeypatch.setattr(decontaminate, "ITEMS_PER_SCAN", 15)
+    monkeypatch.setattr(decontaminate, "WINDOWS", 7)
+    check_contamination(spark, make_docs, rows, items, want)
+    monkeypatch.setattr(decontaminate, "ITEMS_PER_SCAN", 20_000)
+    monkeypatch.setattr(decontaminate, "BYTES_PER_SCAN", 3_000)
+    check_contamination(spark, make_docs, rows, items, want)
 
 
-def test_contamination_finds_windows_of_unequal_weights():
+def items_of(texts, n=None):
+    return decontaminate.Items([(str(k), t.encode().split()) for k, t in enumerate(texts)], n)
+
+
+def test_radius_holds_for_unequal_weights():
     rng = random.Random(32)
     hot = gibberish(rng, 120).split()
-    items = decontaminate.Items([(k, " ".join(hot)) for k in range(200)] + [(200 + k, gibberish(rng, 20)) for k in range(400)])
+    # the hot item's shingles weigh little beside new ones
+    items = items_of([" ".join(hot)] + [" ".join(hot[:100] + gibberish(rng, 20).split()) for _ in range(300)]
+                     + [gibberish(rng, 20) for _ in range(400)])
+    memo = decontaminate.WordHashes()
+    seen = 0
+    for _ in range(120):
+        hashes = memo.of([w.encode() for w in hot[:-rng.randint(1, 3)] + gibberish(rng, 3).split()][:120])
+        shingles = decontaminate.shingle_hashes(hashes, 5)
+        sims = items.similarities(shingles, items.weights(shingles), np.arange(1))
+        if sims[0] >= 0.8:
+            seen += 1
+            assert 0 in {i for i, *_ in items.matches(hashes)}
+    assert seen > 20
+    # a flip is as likely as the angle's share of pi, so 1e-6 is the chance of a miss
+    p = math.acos(1.6 / 1.8) / math.pi
+    tail = sum(math.comb(decontaminate.BITS, k) * p ** k * (1 - p) ** (decontaminate.BITS - k)
+               for k in range(decontaminate.RADIUS + 1, decontaminate.BITS + 1))
+    assert tail <= decontaminate.MISS < 100 * tail
+
+
+def test_hamming_blocks_lose_nothing_within_the_radius():
+    rng = np.random.default_rng(4)
+    prints = rng.integers(0, 1 << 63, (500, 2), dtype=np.uint64)
+    queries = prints[rng.integers(0, 500, 400)].copy()
+    for q in queries:
+        for bit in rng.integers(0, 128, rng.integers(0, 60)):
+            q[bit // 64] ^= np.uint64(1) << np.uint64(bit % 64)
+    for radius in (0, 9, decontaminate.RADIUS, 60):
+        query, item = decontaminate.HammingIndex(prints).within(queries, radius)
+        distance = np.bitwise_count(queries[:, None] ^ prints).sum(axis=2)
+        assert sorted(zip(query.tolist(), item.tolist())) == sorted(map(tuple, np.argwhere(distance <= radius).tolist()))
+
+
+def test_a_long_text_against_many_items_of_one_stem():
+    rng = random.Random(33)
+    stem = gibberish(rng, 20)
+    texts = [f"{stem} {gibberish(rng, 10)}" for _ in range(20_000)]
+    items = items_of(texts)
     memo = decontaminate.WordHashes()
-    for _ in range(60):
-        hashes = memo.of([w.encode() for w in hot[:-4] + gibberish(rng, 4).split()])
-        assert items.similarity(decontaminate.shingle_hashes(hashes, 5), 0) >= 0.8
-        assert {i for i, *_ in items.matches(hashes)} == set(range(200))
+    picked = [texts[k] for k in range(0, 20_000, 60)]
+    hashes = memo.of(" ".join(picked).encode().split())
+    begin = time.process_time()
+    got = items.matches(hashes)
+    assert time.process_time() - begin < 5          # about a second, with room for a slow machine
+    assert {i for i, *_ in got} >= set(range(0, 20_000, 60)) and len(hashes) > 10_000 - 40
 
 
 def test_repeated_passages_match_brute_force(make_docs, empty):
