@@ -61,6 +61,50 @@ def word_pattern() -> str:
     return f"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]|[^{space}{letters}{numbers}]+"
 
 
+OTHER, LETTER, NUMBER = 0, 1, 2
+# The endings that the split pattern takes with their apostrophe
+SHORT, LONG = "stmd", ("re", "ve", "ll")
+
+
+def letter_classes() -> np.ndarray:
+    """Class of every code point in the split pattern's terms."""
+    return np.frombuffer(bytes({"L": LETTER, "N": NUMBER}.get(unicodedata.category(chr(c))[0], OTHER)
+                               for c in range(sys.maxunicode + 1)), np.uint8)
+
+
+def word_ends(text: str, cuts: np.ndarray, classes: np.ndarray) -> np.ndarray:
+    """Ends of the words of the split pattern in a text without white space,
+    each of whose stretches up to the next of ``cuts`` is split on its own.
+
+    A word is a run of letters, a number, a run of other characters, or an
+    apostrophe that begins such a run with one of its endings.
+    """
+    codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+    kind = classes[codes]
+    last = np.ones(len(codes), bool)
+    last[:-1] = (kind[1:] != kind[:-1]) | (kind[:-1] == NUMBER)
+    last[cuts - 1] = True
+    mark = np.flatnonzero(codes == ord("'"))
+    # one that ends a stretch has no ending, one inside a run is part of it
+    mark = mark[(mark + 1 < len(codes)) & ((mark == 0) | last[mark - 1])]
+    mark = mark[kind[np.minimum(mark + 1, len(codes) - 1)] == LETTER]
+    if len(mark):
+        inside = np.zeros(len(codes) + 1, bool)
+        inside[cuts[cuts < len(codes)]] = True      # the first of a stretch
+        mark = mark[~inside[mark + 1]]
+        one = codes[mark + 1]
+        short = np.isin(one, [ord(c) for c in SHORT])
+        two = np.where((mark + 2 < len(codes)) & ~inside[np.minimum(mark + 2, len(codes))],
+                       codes[np.minimum(mark + 2, len(codes) - 1)], 0)
+        long_ = np.zeros(len(mark), bool)
+        for a, b in LONG:
+            long_ |= (one == ord(a)) & (two == ord(b))
+        last[mark[short | long_]] = False
+        last[mark[short] + 1] = True
+        last[mark[long_] + 2] = True
+    return np.flatnonzero(last) + 1
+
+
 class Vocabulary:
     """Tables of a byte-level BPE file with a word-end suffix."""
 
@@ -68,7 +112,7 @@ class Vocabulary:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model = spec["model"]
-        self.pattern = word_pattern()
+        self.pattern, self.classes = word_pattern(), letter_classes()
         vocab, end = model["vocab"], model["end_of_word_suffix"]
         chars = byte_chars()
         self.inner = np.array([vocab[c] for c in chars], np.int64)
@@ -79,6 +123,9 @@ class Vocabulary:
         order = np.argsort(keys, kind="stable")
         self.keys, self.ranks = keys[order], order.astype(np.int64)
         self.merged = np.array([vocab[a + b] for a, b in pairs], np.int64)     # by rank
+        # ranks of two bytes side by side, the second inside a word or its last
+        self.byte_ranks = np.stack([self.rank(np.repeat(self.inner, 256), np.tile(second, 256))
+                                    for second in (self.inner, self.last)])
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         size = max([*vocab.values(), *self.special.values()]) + 1
         names = [""] * size
@@ -108,8 +155,12 @@ def merge_rounds(vocab: Vocabulary, text: bytes, ends: np.ndarray) -> tuple[np.n
     symbol[ends] = vocab.last[flat[ends]]
     word = np.repeat(np.arange(len(ends)), sizes)
     rank = np.full(len(symbol), NO_RANK)
-    within = np.flatnonzero(word[:-1] == word[1:])
-    rank[within] = vocab.rank(symbol[within], symbol[within + 1])
+    inside = np.ones(len(symbol), bool)
+    inside[ends] = False
+    within = np.flatnonzero(inside)
+    final = np.zeros(len(symbol), np.int64)
+    final[ends] = 1
+    rank[within] = vocab.byte_ranks[final[within + 1], flat[within].astype(np.int64) << 8 | flat[within + 1]]
     done_word, done_symbol = [], []
     while len(symbol):
         starts = np.flatnonzero(np.diff(word, prepend=-1))
@@ -190,11 +241,11 @@ class Encoder:
         special = [k for k, chunk in enumerate(new) if chunk in self.vocab.special]
         plain = ["" if k in set(special) else chunk for k, chunk in enumerate(new)] if special else new
         # every character of a chunk lies in one of its words
-        words = self.pattern.findall(" ".join(plain))
-        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
         chunk_ends = np.cumsum(np.fromiter(map(len, plain), np.int64, len(plain)))
+        joined = "".join(plain)
+        ends = word_ends(joined, chunk_ends[chunk_ends > 0], self.vocab.classes) if joined else np.empty(0, np.int64)
         owner = np.searchsorted(chunk_ends, ends, "left")
-        flat, sizes = merge_rounds(self.vocab, "".join(words).encode(), ends)
+        flat, sizes = merge_rounds(self.vocab, joined.encode(), ends)
         size = np.bincount(owner, sizes, len(new)).astype(np.int64)
         if special:
             at = (np.cumsum(size) - size)[special]
