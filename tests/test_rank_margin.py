@@ -27,6 +27,46 @@ def test_global_rank_descending(spark):
     assert got == {2: 1, 3: 1, 1: 3, 4: 4}
 
 
+def _is_sql_rank(df, order, n, **kw):
+    ours = global_rank(df, "v", "r", **kw)
+    ref = df.withColumn("r_ref", F.rank().over(Window.orderBy(order)))
+    j = ours.join(ref.select("id", "r_ref"), "id")
+    assert j.count() == n and j.where(F.col("r") != F.col("r_ref")).count() == 0
+    return ours
+
+
+def test_rank_of_ties_across_tasks_specials_and_directions(spark):
+    rnd = random.Random(8)
+    # three values with a fifth each, ties over every bucket's ends, NaN, infinities and NULLs
+    vals = [rnd.choice([5.0, -1.0, 7.25]) for _ in range(1800)] + [float(rnd.randint(0, 60)) for _ in range(900)]
+    vals += [math.nan] * 40 + [None] * 30 + [math.inf, -math.inf] * 9
+    df = spark.createDataFrame(list(enumerate(vals)), "id long, v double").repartition(5)
+    v = F.col("v")
+    for kw, order in (({"buckets": 16}, v.asc_nulls_last()), ({"buckets": 300}, v.asc_nulls_last()), ({}, v.asc_nulls_last()),
+                      ({"buckets": 16, "nulls_last": False}, v.asc_nulls_first()),
+                      ({"buckets": 16, "ascending": False}, v.desc_nulls_last()),
+                      ({"ascending": False, "nulls_last": False}, v.desc_nulls_first())):
+        _is_sql_rank(df, order, len(vals), **kw)
+    _is_sql_rank(df.limit(0), v.asc(), 0, buckets=4)
+    same = spark.range(500).withColumn("v", F.lit(3.0))
+    assert global_rank(same, "v", "r", buckets=8).select("r").distinct().collect()[0].r == 1
+
+
+def test_rank_shuffles_the_rows_once_and_evenly(spark):
+    df = spark.range(20_000).withColumn("v", F.when(F.col("id") % 3 == 0, 1.0).otherwise(F.rand(3)))
+    ranked = global_rank(df, "v", "r", buckets=16)
+    plan = ranked._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(__b") == 1 and "SortMergeJoin" not in plan
+    # the other exchange is that of the buckets' counts
+    assert plan.count("Exchange hashpartitioning") == 2
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = [r["count"] for r in global_rank(df, "v", "r", buckets=16).groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert max(sizes) < 20_000 / 3      # the hot value alone has as many
+
+
 def test_exact_percentiles_match_linear_interpolation(spark):
     rnd = random.Random(3)
     vals = [rnd.randint(1, 500) for _ in range(997)]

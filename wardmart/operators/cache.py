@@ -9,6 +9,8 @@ build's blocks before starting the next one.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
@@ -24,10 +26,13 @@ def keep(df: DataFrame) -> DataFrame:
 
 
 def settled(df: DataFrame) -> DataFrame:
-    """``df`` written to the session's checkpoint folder and read from there:
-    evaluated once, and the same for every reader and after a lost executor."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint()
+    """``df`` written as Parquet to the session's shared folder and scanned
+    from there: evaluated once, the same for every reader and after a lost
+    executor, with columns that later readers can prune."""
+    spark = df.sparkSession
+    path = f"{checkpoint_root(spark).rstrip('/')}/settled/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def release_all() -> None:

@@ -1,19 +1,24 @@
 """Global ranking and exact percentiles without a single-task stage.
 
 ``rank() over (order by x)`` with no partition makes Spark move every row
-into one task. Here the ranking is split into distributed steps:
+into one task. Here the rows are dealt to buckets, ranges of the value cut
+at approximate quantiles (a short list, bounded by the bucket count), and
+shuffled once: a window ranks the rows of each bucket, and the counts of the
+buckets (one row each) give the ranks that come before. Rows of a value that
+fills a bucket or more are ties of one rank; they are counted apart and
+spread over many tasks, so no value makes a task large.
+
+Ranks within partitions, and exact percentiles by position, come from the
+distribution of the values:
 
 1. collapse rows to distinct values with counts (partial aggregation, so a
    value held by a third of all rows becomes one row early);
-2. cut the distinct values into buckets at approximate quantiles (bucket
-   bounds are a short list, bounded by the bucket count);
+2. deal the distinct values to buckets as above;
 3. inside each bucket a window sums the counts of smaller values -- buckets
    are sorted in parallel;
 4. bucket totals (one row per bucket) give each bucket's offset;
 5. rows get ``rank = 1 + rows with a smaller value`` by joining back on the
    value, which is exactly SQL ``rank()`` including ties.
-
-The same per-value distribution answers exact percentiles by position.
 """
 
 from __future__ import annotations
@@ -26,6 +31,8 @@ from .cache import keep, settled
 from .joins import DEFAULT_BROADCAST_ROWS
 
 MAX_BUCKETS = 8192
+# a frame of at most so many rows is ranked by one window, in one task
+WINDOW_ROWS = 50_000
 # up to this many bounds the bucket is found by a comparison tree, which
 # compiles into generated code; beyond it by a binary search over one
 # literal array (the tree would grow with the bound count)
@@ -130,17 +137,19 @@ def global_rank(df: DataFrame, order_col: str, rank_col: str = "rank", ascending
     ...] order by order_col)``.
 
     The rows are read for the values' distribution and again to carry their
-    ranks, so they are checkpointed first, unless the caller says that
-    ``df`` already reads written rows (``settle=False``).
+    ranks, so they are written first, unless the caller says that ``df``
+    already reads written rows (``settle=False``).
 
     Ties share a rank and leave gaps, as in SQL. NULLs rank last by default
     (ascending), first when ``nulls_last=False``; NULL partition keys form
     one partition, as in SQL. Numeric order columns.
     """
-    stats: dict = {}
-    partition_by = list(partition_by)
     if settle:
         df = settled(df)
+    if not partition_by:
+        return _ranked_once(df, order_col, rank_col, ascending, nulls_last, buckets)
+    stats: dict = {}
+    partition_by = list(partition_by)
     dist = value_distribution(df, order_col, ascending, nulls_last, buckets, stats, partition_by)
     dist = dist.select(*[F.col(c).alias(f"__dp{i}") for i, c in enumerate(partition_by)],
                        F.col(order_col).alias("__dv"),
@@ -154,6 +163,43 @@ def global_rank(df: DataFrame, order_col: str, rank_col: str = "rank", ascending
     return df.join(dist, cond, "inner").drop("__dv", *[f"__dp{i}" for i in range(len(partition_by))])
 
 
+def _ranked_once(df: DataFrame, order_col: str, rank_col: str, ascending: bool, nulls_last: bool,
+                 buckets: int | None) -> DataFrame:
+    """``df`` with its global rank, its rows shuffled once."""
+    v = col_of(order_col)
+    key = key_expr(v, ascending)
+    nan = F.isnan(v) if dict(df.dtypes)[order_col] in ("double", "float") else F.lit(False)
+    n = buckets or _default_buckets(df)
+    probs = [i / n for i in range(1, n)] or [0.5]
+    row = df.agg(F.count(F.lit(1)).alias("rows"),
+                 F.percentile_approx(F.when(~nan, key), probs, 10000).alias("b")).first()
+    if buckets is None and row["rows"] <= WINDOW_ROWS:
+        order = getattr(v, f"{'asc' if ascending else 'desc'}_nulls_{'last' if nulls_last else 'first'}")()
+        return df.withColumn(rank_col, F.rank().over(Window.orderBy(order)).cast("bigint"))
+    found = [b for b in row["b"] or [] if b is not None]
+    bounds = sorted(set(found))
+    # a bound that stands for two quantiles or more fills a bucket
+    hot = sorted({a for a, b in zip(found, found[1:]) if a == b})
+    # buckets in order: below the first bound, the bound itself if hot, ...
+    at = 2 * (_bucket_of(key, bounds) if bounds else F.lit(0))
+    end = 2 * len(bounds) + 1
+    tied = key.isin(hot) if hot else F.lit(False)
+    bucket = (F.when(v.isNull(), F.lit(end + 2 if nulls_last else -2))
+              .when(nan, F.lit(end + 1 if ascending else -1))
+              .when(tied, at + 1).otherwise(at))
+    # rows of one value are spread; their rank in the bucket is 1 everywhere
+    spread = F.pmod(F.monotonically_increasing_id(), F.lit(n))
+    rows = df.withColumns({"__k": key, "__b": bucket,
+                           "__s": F.when(v.isNull() | nan | tied, spread).otherwise(F.lit(0).cast("bigint"))})
+    # one row per bucket
+    counts = df.select(bucket.alias("__at")).groupBy("__at").agg(F.count(F.lit(1)).alias("cnt"))
+    before = Window.orderBy("__at").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("__at", F.coalesce(F.sum("cnt").over(before), F.lit(0)).alias("__off"))
+    ranked = rows.withColumn("__r", F.rank().over(Window.partitionBy("__b", "__s").orderBy("__k")))
+    return ranked.join(F.broadcast(offsets), F.col("__b") == F.col("__at")) \
+        .select(*[col_of(c) for c in df.columns], (F.col("__off") + F.col("__r")).cast("bigint").alias(rank_col))
+
+
 def exact_percentiles(df: DataFrame, col: str, probs: list[float], prefix: str = "p",
                       buckets: int | None = None) -> DataFrame:
     """One row with the exact (linearly interpolated) percentiles of ``col``.

@@ -246,17 +246,30 @@ BUILDERS = {
 }
 
 
-# raw tables already loaded in this session: (application id, source
-# folder) -> {table: DataFrame over the written table}
-_LOADED: dict[tuple[str, str], dict[str, DataFrame]] = {}
-_LOAD_AUDITS: dict[tuple[str, str], dict[str, dict]] = {}
+# raw tables already loaded in this session: (application id, source folder,
+# state of its files) -> {table: DataFrame over the written table}
+_LOADED: dict[tuple, dict[str, DataFrame]] = {}
+_LOAD_AUDITS: dict[tuple, dict[str, dict]] = {}
+
+
+def _state_of(spark, root: str) -> tuple:
+    """Names, sizes and times of a folder's files: a folder whose files
+    change is loaded anew."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    store = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files = store.listFiles(path, True)
+    found = []
+    while files.hasNext():
+        f = files.next()
+        found.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return tuple(sorted(found))
 
 
 class AnalogRaw(dict):
     """Loader-cleaned raw tables (padding applied), built on first use.
 
     ``load=True`` is the warehouse's raw load: each stand-in is written
-    once per session and source folder as a Parquet table in a run folder
+    once per session, source folder and state of its files as a Parquet table in a run folder
     under the shared warehouse root (``spark.checkpoint.dir``), with its
     row count audited in the same pass, and every later reader scans the
     written table -- lineage stops there and a lost executor re-reads
@@ -271,7 +284,7 @@ class AnalogRaw(dict):
         self.persist = persist
         self.load = load
         spark = tables.spark
-        self._key = (spark.sparkContext.applicationId, os.path.abspath(tables.root))
+        self._key = (spark.sparkContext.applicationId, tables.root, _state_of(spark, tables.root))
 
     def __missing__(self, key: str) -> DataFrame:
         if self.load:
