@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 
 from wardmart.llm import minhash
 from wardmart.llm.minhash import Circulant, banding, near_duplicates
@@ -80,6 +81,36 @@ def test_repeated_ids_null_ids_and_empty_table(make_docs, empty):
     assert near_duplicates(empty).count() == 0
 
 
+def test_low_thresholds_get_the_bands_they_need(make_docs):
+    for t in (0.05, 0.2, 0.3):
+        rows, bands = banding(t)
+        assert rows == 1 and (1 - t) ** bands <= 1e-5
+    assert banding(1.0)[1] == 1
+    for t in (0, -0.1, 1.1):
+        with pytest.raises(ValueError):
+            banding(t)
+    rng = random.Random(12)
+    words_ = gibberish(rng, 60).split()
+    docs = [" ".join(rng.sample(words_, 40)) for _ in range(30)] + [gibberish(rng, 40) for _ in range(10)]
+    got = {r.doc_id: r.component_id for r in near_duplicates(make_docs(docs), shingle_words=1, percent=20).collect()}
+    assert got == brute(list(enumerate(docs)), 1, 20)
+
+
+def test_two_large_near_groups_are_joined_by_few_links(spark, monkeypatch):
+    # two groups of k members, all of one group near all of the other
+    k = 1_000
+    found = []
+    real = minhash.cut
+    monkeypatch.setattr(minhash, "cut", lambda df, name: found.append((name, real(df, name))) or found[-1][1])
+    docs = spark.range(2 * k).selectExpr(
+        "id AS doc_id", "concat_ws(' ', transform(sequence(1, 60), i -> concat('w', i)), "
+        "IF(id % 2 = 0, 'left left1 left2', 'right right1 right2'), concat('own', id)) AS text")
+    rows = near_duplicates(docs, shingle_words=1, percent=85).collect()
+    assert {r.component_id for r in rows} == {0}
+    links = [df.count() for name, df in found if name in ("minhash-found", "minhash-links")]
+    assert sum(links) <= 6 * k
+
+
 def test_banding_misses_few_pairs():
     for t in (0.8, 0.85, 0.95):
         rows, bands = banding(t)

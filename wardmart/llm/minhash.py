@@ -25,7 +25,7 @@ from .words import WordHashes, mix, shingle_set, words
 
 UNIVERSE_BITS = 20
 SEED = 20_240_607
-MAX_BANDS = 32
+MAX_BANDS = 32           # wider bands are taken while so many suffice
 MISS = 1e-5              # chance that a pair at the threshold shares no band
 BROADCAST_IDS = 500_000  # 8-byte ids
 BLOCK = 500_000          # set elements that a comparing task holds of either side
@@ -33,11 +33,15 @@ BLOCK = 500_000          # set elements that a comparing task holds of either si
 
 def banding(threshold: float, miss: float = MISS, max_bands: int = MAX_BANDS) -> tuple[int, int]:
     """(rows, bands): the most rows per band that miss a pair at the
-    threshold with a chance of at most ``miss`` in at most ``max_bands``."""
-    best = (1, max_bands)
+    threshold with a chance of at most ``miss`` in at most ``max_bands``;
+    bands of one row, as many as that chance takes, if there are none."""
+    if not 0 < threshold <= 1:
+        raise ValueError("the threshold lies above 0 and is 1 at most")
+    best = None
     for rows in range(1, 17):
-        bands = math.ceil(math.log(miss) / math.log1p(-threshold ** rows))
-        if bands > max_bands:
+        share = threshold ** rows
+        bands = math.ceil(math.log(miss) / math.log1p(-share)) if share < 1 else 1
+        if best and bands > max_bands:
             break
         best = (rows, bands)
     return best
@@ -233,7 +237,7 @@ def _open_links(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         flat = np.concatenate([diffs[y] for y in ys]) if len(ys) else np.empty(0, np.uint64)
         order = np.argsort(flat, kind="stable")
         flat, owner = flat[order], np.repeat(ys, e[ys])[order]
-        a, b = [], []
+        a, b, joined = [], [], set()
         for x in np.flatnonzero(probe):
             lo, hi = np.searchsorted(flat, diffs[x], "left"), np.searchsorted(flat, diffs[x], "right")
             hit = hi > lo
@@ -245,8 +249,14 @@ def _open_links(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             apart_by = e[x] + e[y] - 2 * shared[y]
             near_enough = (100 + percent) * apart_by <= (100 - percent) * (n[x] + n[y])
             y = y[near_enough & (comp[y] != comp[x])]
-            a += [x] * len(y)
-            b += y.tolist()
+            # one link joins two components, however many members are near
+            other, first = np.unique(comp[y], return_index=True)
+            for c, k in zip(other.tolist(), first.tolist()):
+                pair = (min(c, comp[x]), max(c, comp[x]))
+                if pair not in joined:
+                    joined.add(pair)
+                    a.append(x)
+                    b.append(int(y[k]))
         return pa.table({"a": ids.take(pa.array(a, pa.int64())), "b": ids.take(pa.array(b, pa.int64()))})
 
     found = dealt(rows.where(probing), True).unionByName(dealt(rows, False)).groupBy("task") \
