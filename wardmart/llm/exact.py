@@ -37,32 +37,38 @@ def content_hash(norm: Column) -> Column:
 
 
 def _best(id_col: str) -> Column:
-    """Orders the rows of a group: most code points, smallest id, null last."""
+    """Orders the rows of a group: most code points, smallest id, null last,
+    first row."""
     return F.struct((-F.col("n_chars")).alias("neg"), F.col(id_col).isNull().alias("no_id"),
-                    F.col(id_col).alias("id"))
+                    F.col(id_col).alias("id"), F.col("row").alias("row"))
 
 
 def _keepers(df: DataFrame, keys: list[str], id_col: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.min(_best(id_col)).alias("best"),
                                  F.count(F.lit(1)).alias("group_size")) \
-        .select(*keys, F.col("best.id").alias("keep_id"), "group_size")
+        .select(*keys, F.col("best.id").alias("keep_id"), F.col("best.row").alias("keep_row"), "group_size")
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                hash_fn: Callable[[Column], Column] = content_hash) -> DataFrame:
+                hash_fn: Callable[[Column], Column] = content_hash, row_col: str | None = None) -> DataFrame:
     """One row per input row: id, keep_id, group_size, kept, text_sha256.
 
     Null texts count as empty and form one group with the empty ones. The
     kept row of a group has the most code points in its original text, then
-    the smallest id (null ids last). Rows that repeat an id and a text are
-    the same document: all carry the same verdict. An empty table gives an
-    empty result. Other columns of ``docs`` are not read, whatever their
-    names.
+    the smallest id (null ids last); of rows alike in both one is kept, so
+    every group keeps a single row, whatever ids repeat or are null. An
+    empty table gives an empty result. Other columns of ``docs`` are not
+    read, whatever their names.
+
+    ``row_col`` names a column of whole numbers that tells rows apart; it
+    decides between rows alike and is returned as ``row``. Without it rows
+    are numbered as they are first written.
     """
-    texts = docs.select(F.col(id_col).alias(id_col), text_of(text_col).alias("__text"))
-    normed = texts.select(id_col, F.char_length("__text").cast("long").alias("n_chars"),
+    row = F.col(row_col).cast("long") if row_col else F.monotonically_increasing_id()
+    texts = docs.select(F.col(id_col).alias(id_col), text_of(text_col).alias("__text"), row.alias("row"))
+    normed = texts.select(id_col, "row", F.char_length("__text").cast("long").alias("n_chars"),
                           squeeze(F.col("__text")).alias("norm"))
-    keyed = cut(normed.select(id_col, "n_chars", hash_fn(F.col("norm")).alias("hash"),
+    keyed = cut(normed.select(id_col, "row", "n_chars", hash_fn(F.col("norm")).alias("hash"),
                               F.sha2("norm", 256).alias("text_sha256")), "exact-keys")
     groups = cut(_keepers(keyed, ["hash"], id_col).where("group_size > 1"), "exact-groups")
 
@@ -81,13 +87,14 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         keep = F.when(alone, F.col(id_col)).otherwise(F.col("keep_id"))
         return j.select(F.col(id_col), keep.alias("keep_id"),
                         F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
-                        F.col(id_col).eqNullSafe(keep).alias("kept"), "text_sha256")
+                        (alone | (F.col("row") == F.col("keep_row"))).alias("kept"), "text_sha256",
+                        *(["row"] if row_col else []))
 
     if collided.isEmpty():
         return verdict(keyed, groups, ["hash"])
     # unlike texts share a hash: their rows are grouped by their bytes
     clean = keyed.join(collided, "hash", "left_anti")
-    mixed = normed.withColumn("hash", hash_fn(F.col("norm"))) \
-        .withColumn("text_sha256", F.sha2("norm", 256)).join(collided, "hash", "left_semi")
+    mixed = cut(normed.withColumn("hash", hash_fn(F.col("norm")))
+                .withColumn("text_sha256", F.sha2("norm", 256)).join(collided, "hash", "left_semi"), "exact-mixed")
     split = cut(_keepers(mixed, ["hash", "norm"], id_col), "exact-split")
     return verdict(clean, groups, ["hash"]).unionByName(verdict(mixed, split, ["hash", "norm"]))

@@ -141,7 +141,7 @@ WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS n_chars,
              translate(coalesce(text, ''), {_WHITE}, '') AS norm FROM documents)
 SELECT doc_id, first_value(doc_id) OVER best AS keep_id,
   CAST(count(*) OVER (PARTITION BY norm) AS BIGINT) AS group_size,
-  doc_id = first_value(doc_id) OVER best AS kept, sha256(norm) AS text_sha256
+  row_number() OVER best = 1 AS kept, sha256(norm) AS text_sha256
 FROM d WINDOW best AS (PARTITION BY norm ORDER BY n_chars DESC, doc_id)""",
     # crc32 by its table of 256 entries; near words meet in what is left of
     # them without one code point, or with a gap in its place
