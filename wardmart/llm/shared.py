@@ -6,6 +6,8 @@ import ctypes
 import pickle
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -35,6 +37,23 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/llm/{name}-{uuid.uuid4().hex[:12]}"
 
 
+# folders written within each open `scratch`
+_WRITTEN: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[list[str]]:
+    """Deletes at its end the folders that ``cut`` wrote within it, but for
+    those taken out of the list; what reads them must be done by then."""
+    _WRITTEN.append([])
+    try:
+        yield _WRITTEN[-1]
+    finally:
+        for folder in _WRITTEN.pop():
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def cut(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a new Parquet folder in the shared root and reread it.
 
@@ -43,6 +62,8 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     """
     path = new_folder(df.sparkSession, name)
     df.write.parquet(path)
+    for written in _WRITTEN:
+        written.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
