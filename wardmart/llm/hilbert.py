@@ -19,27 +19,38 @@ from pyspark.sql import Window
 from .shared import cut, text_of
 
 BITS = 5                 # 2^5 cells per dimension
-# bytes of a string that decide its cell; longer common prefixes share a
-# cell (48 bits are exact as a double, which the quantiles are taken in)
-PREFIX_BYTES = 6
 ROW_OVERHEAD = 16
 
 
-def ordinal(c: Column, dtype: str) -> Column:
-    """An order-preserving number for a dimension's value (null: lowest)."""
-    if dtype == "string":
-        head = F.rpad(F.hex(F.substring(c.cast("binary"), 1, PREFIX_BYTES)),
-                      2 * PREFIX_BYTES, "0")
-        return F.coalesce(F.conv(head, 16, 10).cast("double"), F.lit(-1.0))
-    return F.coalesce(c.cast("double"), F.lit(float("-inf")))
-
-
-def _boundaries(df: DataFrame, cols: list[str], bits: int) -> list[list[float]]:
-    """Equi-depth cell boundaries per column: at most 2^bits - 1 numbers."""
-    cells = 1 << bits
-    at = [i / cells for i in range(1, cells)]
-    row = df.agg(*[F.percentile_approx(c, at, 1000).alias(c) for c in cols]).first()
-    return [sorted(set(row[c] or [])) for c in cols]
+def _before(counts: DataFrame, value: str, name: str) -> DataFrame:
+    """Rows (value, n) with the sum of n over all smaller values and over
+    all, from a range sort: a task's running sums start at the sums of the
+    tasks before it."""
+    run = cut(counts.orderBy(value).withColumn("at", F.monotonically_increasing_id()), name)
+    run = run.withColumn("piece", F.shiftright("at", 33))
+    sums = run.groupBy("piece").agg(F.sum("n").alias("held"))
+    ahead = Window.orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)    # one row a task
+    sums = cut(sums.select("piece", F.coalesce(F.sum("held").over(ahead), F.lit(0)).alias("offset"),
+                           F.sum("held").over(Window.partitionBy()).alias("total")), name + "-offsets")
+    inside = Window.partitionBy("piece").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    return run.join(F.broadcast(sums), "piece") \
+        .select(value, "total", (F.col("offset") + F.coalesce(F.sum("n").over(inside), F.lit(0))).alias("before"))
+
+
+def boundaries(docs: DataFrame, dim: str, bits: int = BITS) -> list:
+    """Least values of the equi-depth cells of a dimension but the first, at
+    most 2^bits - 1, from the counts of all its values.
+
+    A value lies in the cell that the rows with smaller values fill up to,
+    so cells differ in depth by one value's rows at most, whatever the
+    values look like. Null is the lowest value.
+    """
+    counts = docs.where(F.col(dim).isNotNull()).groupBy(F.col(dim).alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    nulls = docs.where(F.col(dim).isNull()).count()
+    placed = _before(counts, "v", "hilbert-values")
+    depth = F.expr(f"((before + {nulls}L) * {1 << bits}L) div (total + {nulls}L)")
+    rows = placed.groupBy(depth.alias("cell")).agg(F.min("v").alias("v")).where("cell > 0").orderBy("cell").collect()
+    return [r.v for r in rows]
 
 
 def hilbert_index(cells: list[Column], bits: int) -> Column:
@@ -92,19 +103,16 @@ def hilbert_index(cells: list[Column], bits: int) -> Column:
 
 
 def curve_keys(docs: DataFrame, dims: list[str], bits: int = BITS) -> DataFrame:
-    """``docs`` with ``curve_index``; quantiles are taken over all rows."""
-    types = dict(docs.dtypes)
-    names = [f"__ord{i}" for i in range(len(dims))]
-    num = docs.withColumns({o: ordinal(F.col(d), types[d]) for o, d in zip(names, dims)})
-    bounds = _boundaries(num.select(*names), names, bits)
-
-    def cell(name: str, edges: list[float]) -> Column:
-        value = F.col(name)
-        return F.size(F.filter(F.array(*map(F.lit, edges)), lambda edge: edge <= value)) \
+    """``docs`` with ``curve_index``; cells are taken from all rows."""
+    types = {f.name: f.dataType for f in docs.schema.fields}
+
+    def cell(dim: str) -> Column:
+        edges = [F.lit(v).cast(types[dim]) for v in boundaries(docs, dim, bits)]
+        value = F.col(f"`{dim}`")
+        return F.when(value.isNull(), 0).otherwise(F.size(F.filter(F.array(*edges), lambda e: e <= value))) \
             if edges else F.lit(0)
 
-    cells = [cell(o, bs) for o, bs in zip(names, bounds)]
-    return num.withColumn("curve_index", hilbert_index(cells, bits)).drop(*names)
+    return docs.withColumn("curve_index", hilbert_index([cell(d) for d in dims], bits))
 
 
 def hilbert_shards(docs: DataFrame, shards: int, dims: list[str], id_col: str = "doc_id",
@@ -117,7 +125,8 @@ def hilbert_shards(docs: DataFrame, shards: int, dims: list[str], id_col: str =
     neighbouring slots. An empty table gives no rows.
 
     The order is materialised in the shared folder by a range sort (a hot
-    cell is split by checksum and id), and ranks follow from the positions
+    cell is split by checksum, id and at last the rows' places in the
+    input, so that a row that repeats is spread too), and ranks follow from the positions
     inside the sorted files plus per-file counts, so no task sees more than
     its share of rows.
     """
@@ -130,9 +139,10 @@ def _placed(docs: DataFrame, shards: int, dims: list[str], id_col: str, text_col
     text = text_of(text_col)
     meta = curve_keys(docs, dims, bits).select(
         F.col(id_col), (F.coalesce(F.octet_length(F.col(text_col)), F.lit(0)) + ROW_OVERHEAD)
-        .cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), "curve_index", *carried)
+        .cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), "curve_index", *carried,
+        F.monotonically_increasing_id().alias("place"))
     # monotonically_increasing_id: sorted partition number and row in it
-    run = cut(meta.orderBy("curve_index", "text_crc32", id_col)
+    run = cut(meta.orderBy("curve_index", "text_crc32", id_col, "place")
               .withColumn("at", F.monotonically_increasing_id()), "hilbert-run")
     piece, row = F.shiftright("at", 33), F.col("at").bitwiseAND(F.lit((1 << 33) - 1))
     counts = run.groupBy(piece.alias("piece")).agg(F.count(F.lit(1)).alias("n"))
@@ -153,13 +163,16 @@ def _placed(docs: DataFrame, shards: int, dims: list[str], id_col: str, text_col
 def write_shards(docs: DataFrame, shards: int, dims: list[str], path: str, id_col: str = "doc_id",
                  text_col: str = "text", bits: int = BITS) -> None:
     """Write every row of ``docs`` as ``path/shard=N``, each shard sorted by
-    slot, at the place ``hilbert_shards`` gives it.
+    slot, at the place ``hilbert_shards`` gives it. The first columns are
+    those of ``docs``, as they are.
 
     The rows go through the ranked run itself, so those with a null id or an
-    id that repeats have places of their own. Columns named shard or slot
-    are replaced.
+    id that repeats have places of their own. Where the rows have columns
+    named shard or slot, those of the places end with an underscore.
     """
-    columns = [F.col(f"`{c}`") for c in docs.columns if c not in ("shard", "slot")]
-    placed = _placed(docs.withColumn("__row", F.struct(*columns)), shards, dims, id_col, text_col, bits, "__row")
-    placed.select("__row.*", "shard", "slot").repartitionByRange("shard", "slot") \
-        .sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+    taken = {c.lower() for c in docs.columns}
+    shard, slot = (n if n not in taken else n + "_" for n in ("shard", "slot"))
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    placed = _placed(docs.withColumn("__row", whole), shards, dims, id_col, text_col, bits, "__row")
+    placed.select("__row.*", F.col("shard").alias(shard), F.col("slot").alias(slot)) \
+        .repartitionByRange(shard, slot).sortWithinPartitions(shard, slot).write.partitionBy(shard).parquet(path)
