@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from wardmart.llm import decontaminate, katz
+from wardmart.llm import toxicity as toxicity_module
 from wardmart.llm.decontaminate import contamination
 from wardmart.llm.katz import katz_scores
 from wardmart.llm.secret_scan import secret_spans, span_text
@@ -204,8 +205,19 @@ def test_repeated_passages_match_brute_force(make_docs, empty):
             docs[r.other_id][r.other_start:r.other_start + r.end_word - r.start_word]
         cover[r.doc_id].update(range(r.start_word, r.end_word))
     assert {i: cover[i] for i in docs} == want
-    again = repeated_passages(make_docs([(1, rows[1]), (1, rows[1]), (None, rows[1])])).collect()
-    assert again == [] and repeated_passages(empty).count() == 0
+    assert repeated_passages(make_docs([(1, rows[1]), (1, rows[1]), (2, rows[0])])).collect() == []
+    assert repeated_passages(empty).count() == 0
+
+
+def test_every_text_of_an_id_is_searched_for_passages(make_docs):
+    rng = random.Random(13)
+    first, second, third = (gibberish(rng, 60) for _ in range(3))
+    rows = [(1, f"{first} one"), (1, f"two {second}"), (2, f"three {first}"), (None, f"{second} four"),
+            (None, f"five {third}"), (3, third), (4, gibberish(rng, 80)), (5, None), (None, None)]
+    found = {(r.doc_id, r.start_word, r.end_word, r.other_id, r.other_start)
+             for r in repeated_passages(make_docs(rows)).collect()}
+    half = {(1, 0, 60, 2, 1), (1, 1, 61, None, 0), (None, 1, 61, 3, 0)}
+    assert found == half | {(o, t, t + e - s, i, s) for i, s, e, o, t in half}
 
 
 def test_repeated_passages_around_a_common_line(make_docs):
@@ -307,6 +319,68 @@ def test_toxicity_learns_from_its_fold(spark, make_docs, empty):
     assert [r.score for r in none] == [0.5] * 3
 
 
+def test_toxicity_fit_matches_brute_force(spark, make_docs):
+    """Ratios and selection recomputed plainly; the fit is where the weighted
+    loss with its penalty has no slope."""
+    rng = random.Random(17)
+    rows, labels = [], []
+    for i in range(300):
+        bad = rng.random() < .3
+        text = gibberish(rng, rng.randint(4, 25)) + rng.choice([" xyzzyq", " plugh qux", " fine"] if bad else [" fine", ""])
+        rows.append((i, text))
+        labels.append((i, int(bad)))
+    table = spark.createDataFrame(labels, "doc_id long, toxic int")
+    chosen = 40
+    model = toxicity_module.train_model(make_docs(rows), table, toxicity_module.training_fold, features=chosen)
+    fold = [(set(toxicity_module.buckets(t).tolist()), y) for (i, t), (_, y) in zip(rows, labels)
+            if zlib.crc32(str(i).encode()) % 3 != 1]
+    n = [sum(y == k for _, y in fold) for k in (0, 1)]
+    seen = [Counter(b for s, y in fold if y == k for b in s) for k in (0, 1)]
+    ratio, certain = {}, {}
+    for b in seen[0].keys() | seen[1].keys():
+        clean, toxic = seen[0][b] + 1, seen[1][b] + 1
+        ratio[b] = math.log(toxic / (n[1] + 2)) - math.log(clean / (n[0] + 2))
+        certain[b] = abs(ratio[b]) / math.sqrt(1 / toxic + 1 / clean)
+    edge = sorted(certain.values(), reverse=True)[chosen - 1]
+    used = set(np.flatnonzero(model.weights).tolist())
+    assert {b for b, z in certain.items() if z > edge + 1e-9} <= used <= {b for b, z in certain.items() if z >= edge - 1e-9}
+    used = sorted(used)
+    x = np.array([[ratio[b] * (b in s) for b in used] for s, _ in fold])
+    y = np.array([y for _, y in fold])
+    weight = np.array([0.5 / n[k] for k in y])
+    coef = np.array([model.weights[b] / ratio[b] for b in used], np.float64)
+    p = 1 / (1 + np.exp(-(x @ coef + model.intercept)))
+    slope = x.T @ (weight * (p - y)) / weight.sum() + toxicity_module.REGULARIZATION * coef
+    assert abs(slope).max() < 2e-4 and abs((weight * (p - y)).sum() / weight.sum()) < 2e-4
+
+
+def test_ownership_classes_match_brute_force(make_docs):
+    rng = random.Random(19)
+    values = ["".join(rng.choice("0123456789abcdef") for _ in range(20)) for _ in range(25)] + ["a" * 20, "1" * 20]
+    rows = [(i, " ".join(f"{rng.choice(['token=', 'key '])}{rng.choice(values[:3] + [values[i % 27]])}"
+                         for _ in range(rng.randint(0, 3)))) for i in range(120)]
+    docs = make_docs(rows).withColumns({"source": F.concat(F.lit("s"), (F.col("doc_id") % 7).cast("string")),
+                                        "lang": F.concat(F.lit("l"), (F.col("doc_id") % 2).cast("string"))})
+    held = {i: set(re.findall("[0-9a-f]{16,}", t)) for i, t in rows}
+    owners = {v: {i % 7 for i, vs in held.items() if v in vs} for v in values}
+    repos = {v: {(i % 7, i % 2) for i, vs in held.items() if v in vs} for v in values}
+
+    def bits(v):
+        if v.isdigit() or not re.search("[0-9]", v):
+            return 0
+        return -sum(k / len(v) * math.log2(k / len(v)) for k in Counter(v).values())
+    seen = set()
+    for r in secret_spans(docs).collect():
+        got = {v["hash"]: v for v in r["values"]}
+        assert got.keys() == {sha256(v.encode()).hexdigest() for v in held[r.doc_id]}
+        for v in held[r.doc_id]:
+            kind = "copied" if len(owners[v]) >= 3 else "live" if len(owners[v]) == 1 and bits(v) >= 2.5 else "unclear"
+            one = got[sha256(v.encode()).hexdigest()]
+            assert (one["class"], one["owners"], one["repos"]) == (kind, len(owners[v]), len(repos[v]))
+            seen.add(kind)
+    assert seen == {"copied", "live", "unclear"}
+
+
 def test_toxicity_sample_takes_one_text_an_id(spark, make_docs):
     docs = make_docs([(1, f"text {k}") for k in range(10, 60)] + [(2, "other"), (3, None)])
     labels = spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "doc_id long, toxic int")

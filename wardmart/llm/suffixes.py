@@ -263,18 +263,26 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     Words are A-Z lower-cased; ends are exclusive. A group of copies of a
     passage is reported as a chain: each copy with a neighbour in the sort
     by (suffix, words around it, id, position) or by (passage, id,
-    position), so every word of every copy is reported. Matches are maximal. Places may lie in one text, and overlap there. Null, empty and
-    shorter texts have none. Rows with a null id are left out; rows that
-    repeat an id are taken as one text, the greatest. An empty table gives
-    no rows. Other columns are not read.
+    position), so every word of every copy is reported. Matches are maximal.
+    Places may lie in one text, and overlap there. Null, empty and shorter
+    texts have none. Rows that repeat an id, or have none, are texts of their
+    own and are all searched; rows equal in id and text are one. An empty
+    table gives no rows. Other columns are not read.
     """
     bound_batches(docs.sparkSession)
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").cast("binary").alias("t")) \
-        .where("id is not null and t is not null")
-    repeats = cut(source.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("id"), "suffix-twins")
-    if not repeats.isEmpty():
-        twins = source.join(small(repeats, BROADCAST_IDS), "id", "left_semi").groupBy("id").agg(F.max("t").alias("t"))
-        source = source.join(small(repeats, BROADCAST_IDS), "id", "left_anti").unionByName(twins)
+        .where("t is not null")
+    odd = cut(source.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 or id is null").select("id"),
+              "suffix-twins")
+    apart = not odd.isEmpty()
+    if apart:
+        # texts that share an id, or have none, are told apart by their hash
+        twins = small(odd.where("id is not null"), BROADCAST_IDS)
+        known = source.where("id is not null")
+        others = known.join(twins, "id", "left_semi").unionByName(source.where("id is null")) \
+            .groupBy(F.struct("id", F.md5("t").alias("text")).alias("id")).agg(F.min("t").alias("t"))
+        alone = known.join(twins, "id", "left_anti").select(F.struct("id", F.lit("").alias("text")).alias("id"), "t")
+        source = cut(alone.unionByName(others), "suffix-source")
     suffixes = cut(_suffixes(source, passage, gram), "suffixes")
     pairs, opened = _grouped(suffixes)
     chains = _neighbours(_passages(opened, source, passage, gram))
@@ -283,6 +291,8 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
           for a, b, c in (("id", "other", "id"), ("pos", "other_pos", "pos"),
                           ("other", "id", "other"), ("other_pos", "pos", "other_pos"))])
     matches = cut(_extended(pairs, source, passage), "suffix-matches").distinct()
+    if apart:
+        matches = matches.withColumns({"id": F.col("id.id"), "other": F.col("other.id")})
     length = F.col("end") - F.col("start")
     return matches.select(F.col("id").alias(id_col), F.col("start").alias("start_word"), F.col("end").alias("end_word"),
                           F.col("other").alias("other_id"), F.col("other_start")).unionByName(
