@@ -4,7 +4,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from wardmart.operators import latest_per_key
+from wardmart.operators import latest_per_key, skew
 from wardmart.plans.analog import AnalogRaw, raw_medicare_inpatient, seed_drg_service_line
 from wardmart.plans.warehouse import Warehouse
 from wardmart.sources import TableSet
@@ -24,7 +24,7 @@ def test_scan_prunes_columns_and_aggregates_before_shuffle(spark):
     read = re.search(r"ReadSchema: struct<([^>]*)>", scan).group(1)
     cols = {c.split(":")[0] for c in read.split(",")}
     assert cols == {"l_orderkey", "l_partkey", "l_extendedprice", "l_discount", "l_tax"}
-    assert "partial_count" in plan and "partial_avg" in plan
+    assert "partial_count" in plan and "partial_sum" in plan
 
 
 def test_flagship_has_no_pairwise_join_and_broadcasts_small_dims(spark):
@@ -50,14 +50,27 @@ def test_percentiles_skip_the_ranking_and_lift_has_no_window(spark):
     assert {(r.g, r.share_of_nulls, r.lift) for r in lift.collect()} == {("a", 1.0, 1.5), ("b", 0.0, 0.0)}
 
 
-def test_over_bound_dimension_is_not_broadcast(spark):
+def test_over_bound_dimension_is_not_broadcast(spark, monkeypatch):
     t = TableSet(spark, SMALL)
-    wh = Warehouse(AnalogRaw(t), seed_drg_service_line(t), cost_tie_break=("Report Record Number",),
-                   min_volume=30, max_broadcast_rows=10, persist_dims=True)
-    fact = wh.fct_medicare_drg
-    assert wh._bounds["dim_hospital"] is False and wh._bounds["dim_drg"] is False
-    plan = fact._jdf.queryExecution().optimizedPlan().toString()
-    assert "broadcast" not in plan.lower().split("inmemoryrelation")[0]
+
+    def joins():
+        wh = Warehouse(AnalogRaw(t), seed_drg_service_line(t), cost_tie_break=("Report Record Number",),
+                       min_volume=30, max_broadcast_rows=10, persist_dims=True)
+        fact = wh.fct_medicare_drg
+        assert wh._bounds["dim_hospital"] is False and wh._bounds["dim_drg"] is False
+        plan = fact._jdf.queryExecution().optimizedPlan().toString()
+        inner = [ln for ln in plan.splitlines() if re.search(r"Join Inner, \((ccn|drg_code)#\d+ = (ccn|drg_code)#", ln)]
+        return inner, plan.split("InMemoryRelation")[0]
+    # beside the joins of the dimensions stand those of hot keys' rows only;
+    # the Bloom filters enter by left joins
+    monkeypatch.setattr(skew, "hot_keys", lambda *a: ["000001"])
+    inner, plan = joins()
+    cold = [ln for ln in inner if "strategy=broadcast" not in ln]
+    assert cold and any("strategy=broadcast" in ln for ln in inner)
+    # without hot keys and filters nothing is broadcast
+    monkeypatch.setattr(skew, "hot_keys", lambda *a: [])
+    monkeypatch.setattr(skew, "bloom_filter", lambda *a: None)
+    assert "broadcast" not in joins()[1].lower()
 
 
 def test_top1_per_key_limits_before_the_shuffle(spark):
