@@ -104,3 +104,23 @@ def test_raw_configs_give_the_declared_schema(spark, tmpdir_path):
     assert dict(declared["medicare_inpatient"].dtypes)["Tot_Dschrgs"] == "bigint"
     with pytest.raises(Exception):
         load_raw_csv(spark, paths, types={"hospital_general_info": {"State": "int"}})["hospital_general_info"].collect()
+
+
+def test_one_expression_classes_all_columns(spark):
+    """Code for each of 60 columns would be too large to be compiled."""
+    from wardmart.sources.infer import class_rows
+    names = [f"c{i}" for i in range(60)]
+    wide = spark.range(3).select(*[F.col("id").cast("string").alias(n) for n in names])
+    plan = class_rows(wide, names)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("bit_or") == 1 and plan.count("RLIKE") <= 2
+    assert column_classes(wide, names) == {n: INTEGER for n in names}
+    assert column_classes(wide.limit(0), names) == {n: MISSING for n in names}
+
+
+def test_edges_of_numbers(spark):
+    values = {"1.": FLOAT, ".5": FLOAT, ".": TEXT, "1.5e": TEXT, "\t+7 ": INTEGER, "-1.5E3\t": FLOAT, "1e400": TEXT,
+              "9" * 19: TEXT, "9" * 400 + ".5": TEXT, "0" * 400 + ".5": FLOAT, "1 2": TEXT, "": TEXT, "-Inf": FLOAT,
+              "item": TEXT, "TRUE": BOOLEAN, "+": TEXT, "1.2.3": TEXT, " true": TEXT, "12\n": INTEGER}
+    rows = spark.createDataFrame([(v, k) for v, k in values.items()], "v string, k int")
+    wrong = [r for r in rows.select("v", "k", value_class("v").alias("got")).collect() if r.k != r.got]
+    assert not wrong

@@ -21,13 +21,14 @@ from ..functions.text import col_of
 MISSING, BOOLEAN, INTEGER, FLOAT, TEXT = 1, 2, 4, 8, 16
 
 # numbers may stand between blanks; words for infinity are numbers too
-_INTEGER = r"^[ \t]*[-+]?[0-9]+[ \t]*$"
-_FLOAT = r"^[ \t]*[-+]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][-+]?[0-9]+)?[ \t]*$"
+_NUMBER = r"^[ \t]*+[-+]?(?:[0-9]++(?:\.[0-9]*+)?|\.[0-9]++)(?:[eE][-+]?[0-9]++)?[ \t]*+$"
 _INFINITE = r"^[ \t]*[-+]?(?i:inf|infinity)[ \t]*$"
+# what a number's text can begin with; most text is told by its first character
+_STARTS = [*"0123456789+-. \tiI"]
 
 
 def _number(c: Column) -> Column:
-    return F.trim(F.translate(c, "\t", " "))
+    return F.trim(c, F.lit(" \t"))
 
 
 def value_class(c) -> Column:
@@ -37,10 +38,15 @@ def value_class(c) -> Column:
     since no number would keep them.
     """
     c = col_of(c)
+    power = c.contains("e") | c.contains("E")
     return (F.when(c.isNull(), MISSING)
-            .when(F.lower(c).isin("true", "false"), BOOLEAN)
-            .when(c.rlike(_INTEGER), F.when(_number(c).try_cast("bigint").isNotNull(), INTEGER).otherwise(TEXT))
-            .when(c.rlike(_FLOAT), F.when(F.abs(_number(c).try_cast("double")) < float("inf"), FLOAT).otherwise(TEXT))
+            .when(~F.substring(c, 1, 1).isin(_STARTS),
+                  F.when(F.lower(c).isin("true", "false"), BOOLEAN).otherwise(TEXT))
+            .when(c.rlike(_NUMBER), F.when(
+                power | (c.contains(".") & (F.octet_length(c) > 300)),
+                F.when(F.abs(_number(c).try_cast("double")) < float("inf"), FLOAT).otherwise(TEXT))
+                .when(c.contains("."), FLOAT)               # 300 digits are finite
+                .when(_number(c).try_cast("bigint").isNotNull(), INTEGER).otherwise(TEXT))
             .when(c.rlike(_INFINITE), FLOAT).otherwise(TEXT))
 
 
@@ -48,8 +54,18 @@ def column_classes(df: DataFrame, columns: list[str]) -> dict[str, int]:
     """Classes met in each text column, from one pass over ``df``."""
     if not columns:
         return {}
-    row = df.agg(*[F.bit_or(value_class(c)).alias(f"c{i}") for i, c in enumerate(columns)]).first()
-    return {c: row[f"c{i}"] or MISSING for i, c in enumerate(columns)}
+    met = {r.i: r.c for r in class_rows(df, columns).collect()}
+    return {c: met.get(i, MISSING) for i, c in enumerate(columns)}
+
+
+def class_rows(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(i, c): classes of the i-th column; none if ``df`` has no rows.
+
+    The values of a row become rows, so that one expression, small enough to
+    be compiled, serves all columns; one row a column and task is shuffled.
+    """
+    values = df.select(F.posexplode(F.array(*[col_of(c) for c in columns])).alias("i", "v"))
+    return values.groupBy("i").agg(F.bit_or(value_class("v")).alias("c"))
 
 
 def merge_classes(*states: dict[str, int]) -> dict[str, int]:
