@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from wardmart.operators.cache import release_all
 from wardmart.plans.facts import FINANCE_MEASURES
+from wardmart.plans.partitioned import rows_of
 from wardmart.plans.warehouse import Warehouse
 
 
@@ -74,3 +75,19 @@ def test_finance_measures_are_pruned(spark):
     wh.persist_dims = True
     flags = wh.fct_hospital_finance.select("hospital_key", "is_ccr_outlier")
     assert "total_assets" not in flags._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_lines_of_large_dimensions_ride_on_the_keys(spark):
+    frames = _frames(spark)
+    small, wh = _warehouse(frames, 200_000), _warehouse(frames, 20)
+    wh.persist_dims = True
+    try:
+        large = wh.fct_medicare_drg_with_line
+        assert _inner_joins(large._jdf.queryExecution().optimizedPlan()) == 2
+        wanted = small.fct_medicare_drg_with_line
+        assert large.columns == wanted.columns
+        assert sorted(map(str, large.collect())) == sorted(map(str, wanted.collect()))
+        few = rows_of(large, wh.dim_drg, F.col("drg_code") == "7", False)
+        assert "ResolvedHint (strategy=broadcast)" in few._jdf.queryExecution().analyzed().toString()
+    finally:
+        release_all()
