@@ -6,10 +6,12 @@ import random
 
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from wardmart.plans.load import load_raw_csv
 from wardmart.sources import scan_csv
-from wardmart.sources.infer import column_classes, merge_classes, resolve
+from wardmart.sources.infer import (BOOLEAN, FLOAT, INTEGER, MISSING, TEXT, class_rows, column_classes, merge_classes,
+                                    resolve, value_class)
 
 from test_warehouse_e2e import census, cost_report, crosswalk, hospitals, medicare
 
@@ -108,7 +110,6 @@ def test_raw_configs_give_the_declared_schema(spark, tmpdir_path):
 
 def test_one_expression_classes_all_columns(spark):
     """Code for each of 60 columns would be too large to be compiled."""
-    from wardmart.sources.infer import class_rows
     names = [f"c{i}" for i in range(60)]
     wide = spark.range(3).select(*[F.col("id").cast("string").alias(n) for n in names])
     plan = class_rows(wide, names)._jdf.queryExecution().optimizedPlan().toString()
