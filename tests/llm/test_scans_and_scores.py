@@ -284,6 +284,25 @@ def test_katz_matches_brute_force(make_docs, monkeypatch, tokens, big, hot):
         assert (r.n_tokens, r.n_known, r.train_tokens, r.held_out) == (len(w), sum(x in uni for x in w), total, held[i])
 
 
+def test_katz_hashes_words_in_chunks(monkeypatch):
+    """New words cost no Python call each, and chunks do not show in the batches."""
+    texts = [" ".join(f"W{n % 7}x{k * n}" for k in range(n % 90)).encode() for n in range(400)] + [None, b" \t"]
+    rows = [(i, text, i % 3 > 0, i % 5 == 0) for i, text in enumerate(texts)]
+    calls, plain = [], katz.hashes_of
+    monkeypatch.setattr(katz, "hashes_of", lambda w: calls.append(len(w)) or plain(w))
+    (ids, held, train, size, whole), = katz._tokens(rows)
+    assert len(calls) == 1 and len(whole) == size.sum() > 10_000
+    wanted = [b for t in texts for b in [*(t or b"").lower().split(), b"\n"]]
+    assert whole.tolist() == plain(wanted).tolist() and whole[-1] == katz.END
+    assert len(set(whole.tolist())) == len(set(wanted))
+    assert (ids, held.tolist(), train.tolist()) == tuple(list(c) for c in zip(*[(i, h, t) for i, _, t, h in rows]))
+    monkeypatch.setattr(katz, "CHUNK", 100)
+    monkeypatch.setattr(katz, "BATCH_TOKENS", 3_000)
+    parts = list(katz._tokens(rows))
+    assert len(parts) > 3 and np.concatenate([p[4] for p in parts]).tolist() == whole.tolist()
+    assert np.concatenate([p[3] for p in parts]).tolist() == size.tolist()
+
+
 def test_katz_without_training_rows(make_docs, empty):
     fold = F.lit(False)
     rows = katz_scores(make_docs([(1, "a b"), (None, "a"), (1, "a b")]), fold, fold).collect()

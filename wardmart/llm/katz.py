@@ -26,24 +26,33 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .shared import bound_batches, cut, frugal, ship
-from .words import MULTIPLIER, WordHashes, mix, words
+from .words import MULTIPLIER, mix, words
 
 CUTOFF = 5               # counts up to here are discounted by Good-Turing
 RESERVE = 0.05           # what a larger count gives up, so that every history can back off
 HOT = 2_000
 BATCH_TOKENS = 500_000
 BATCH_DOCS = 60_000      # document numbers of a batch fit in 16 bits
+CHUNK = 20_000           # words hashed at once
 BIG = 64                 # a bigram's documents stay with the batch from here on
 PARTITION_BYTES = 16 << 20
 
+
+def hashes_of(words: list[bytes]) -> np.ndarray:
+    """64-bit SipHash of each word, the same in every process."""
+    held = np.empty(len(words), object)
+    held[:] = words
+    return pd.util.hash_array(held, categorize=False)
+
+
 # words never hold white space, so these are no words
-END = np.uint64(WordHashes()[b"\n"])
-START = np.uint64(WordHashes()[b" "])
+END, START = hashes_of([b"\n", b" "])
 SHORT = np.uint64((1 << 48) - 1)         # histories are told apart by 48 bits
 
 PAIRS, DOCS, LISTS, SUMS, EVENTS, PART, VALUES, ADJUST = range(8)
@@ -141,32 +150,41 @@ class Unigrams:
         return np.where(among[at] == x, at, -1)
 
 
-def _tokens(rows, memo: WordHashes) -> Iterator[tuple[list, np.ndarray, np.ndarray, list]]:
-    """Batches of documents: ids, held-out flags, trained-on flags, token hashes by document."""
-    ids, held, train, hashes, n = [], [], [], [], 0
+def _tokens(rows) -> Iterator[tuple[list, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Batches of documents: ids, held-out flags, trained-on flags, numbers of tokens, hashes of all tokens."""
+    ids, held, train, size, hashes, flat, n = [], [], [], [], [], [], 0
+
+    def batch():
+        return (ids, np.array(held), np.array(train), np.array(size, np.int64),
+                np.concatenate([*hashes, hashes_of(flat)]))
+
     for i, text, t, h in rows:
         ids.append(i)
         train.append(bool(t))
         held.append(bool(h))
-        hashes.append(np.append(memo.of(words(text)), END))
-        n += len(hashes[-1])
+        mine = words(text)
+        size.append(len(mine) + 1)
+        n += size[-1]
+        flat += mine
+        flat.append(b"\n")
+        if len(flat) >= CHUNK:
+            hashes.append(hashes_of(flat))
+            flat = []
         if n >= BATCH_TOKENS or len(ids) >= BATCH_DOCS:
-            yield ids, np.array(held), np.array(train), hashes
-            ids, held, train, hashes, n = [], [], [], [], 0
+            yield batch()
+            ids, held, train, size, hashes, flat, n = [], [], [], [], [], [], 0
     if ids:
-        yield ids, np.array(held), np.array(train), hashes
+        yield batch()
 
 
 def _unigrams(source: DataFrame) -> Unigrams:
     """Count all training tokens."""
     def count(batches):
-        memo = WordHashes()
         seen, times = np.empty(0, np.uint64), np.empty(0, np.int64)
         rows = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns)))
-        for _, _, train, hashes in _tokens(rows, memo):
-            mine = [h for h, t in zip(hashes, train) if t]
-            if mine:
-                w, c = np.unique(np.concatenate(mine), return_counts=True)
+        for _, _, train, size, hashes in _tokens(rows):
+            if train.any():
+                w, c = np.unique(hashes[np.repeat(train, size)], return_counts=True)
                 both, at = np.unique(np.r_[seen, w], return_inverse=True)
                 times = np.bincount(at, np.r_[times, c], len(both)).astype(np.int64)
                 seen = both
@@ -192,11 +210,9 @@ def _unigrams(source: DataFrame) -> Unigrams:
 def _emit(parts: int, uni):
     """Blobs (key, (tag, batch, payload, ids)) of a partition's documents."""
     def emit(index, rows):
-        memo, u = WordHashes(), uni()
-        for seq, (ids, held, train, hashes) in enumerate(_tokens(rows, memo)):
+        u = uni()
+        for seq, (ids, held, train, size, w) in enumerate(_tokens(rows)):
             batch = (index << 24) + seq
-            size = np.fromiter(map(len, hashes), np.int64, len(hashes))
-            w = np.concatenate(hashes)
             h = np.r_[START, w[:-1]]
             first = np.cumsum(size) - size
             h[first] = START
