@@ -4,6 +4,7 @@ import datetime
 from pyspark.sql import functions as F
 
 from wardmart.operators.cache import release_all
+from wardmart.plans import marts
 from wardmart.plans.facts import FINANCE_MEASURES
 from wardmart.plans.partitioned import rows_of
 from wardmart.plans.warehouse import Warehouse
@@ -69,6 +70,40 @@ def test_large_dimensions_are_joined_once_each(spark):
         release_all()
 
 
+def _joined_rows(wh, monkeypatch):
+    """Sides that the star joins, by call."""
+    seen, star = [], marts.mart_reimbursement_gap_star
+    monkeypatch.setattr(marts, "mart_reimbursement_gap_star",
+                        lambda medicare, hospitals, drgs, *small: seen.append((hospitals.count(), drgs.count(), *small))
+                        or star(medicare, hospitals, drgs, *small))
+    return seen
+
+
+def test_rows_of_few_groups_join_their_sides_only(spark, monkeypatch):
+    frames = _frames(spark)
+    wh = _warehouse(frames, 100)
+    wh.persist_dims = True
+    seen = _joined_rows(wh, monkeypatch)
+    groups = spark.createDataFrame([("1", "M2"), ("2", None), ("2", "M3"), (None, "M1")],
+                                   "service_line string, metro_name string")
+    try:
+        wanted = sorted(map(str, (r for r in wh.mart_reimbursement_gap.collect()
+                                  if (r.service_line, r.metro_name) in {("1", "M2"), ("2", None), ("2", "M3")})))
+        assert len(wanted) > 50
+        assert sorted(map(str, wh.gap_rows_of(groups.where("service_line = '1'")).collect())) \
+            == [r for r in wanted if "metro_name='M2'" in r]
+        assert sorted(map(str, wh.gap_rows_of(groups).collect())) == wanted
+        (h, d, *large), (few_h, few_d, *small), _ = seen
+        assert large == [False, False] and small == [True, True]        # the rows of a group are not shuffled
+        assert few_h < h / 3 and few_d < d / 3
+        # a mart that is written or kept is read
+        wh.mart_reimbursement_gap = wh.mart_reimbursement_gap.select("*")
+        assert sorted(map(str, wh.gap_rows_of(groups).collect())) == wanted
+        assert len(seen) == 3
+    finally:
+        release_all()
+
+
 def test_finance_measures_are_pruned(spark):
     """The fact is not kept whole: a query carries the measures it reads."""
     wh = _warehouse(_frames(spark), 20)
