@@ -4,7 +4,7 @@ import datetime
 from pyspark.sql import functions as F
 
 from wardmart.operators.cache import release_all
-from wardmart.plans import marts
+from wardmart.plans import facts, marts
 from wardmart.plans.facts import FINANCE_MEASURES
 from wardmart.plans.partitioned import rows_of
 from wardmart.plans.warehouse import Warehouse
@@ -70,6 +70,18 @@ def test_large_dimensions_are_joined_once_each(spark):
         release_all()
 
 
+def test_second_shuffle_carries_the_key_as_bytes(spark, monkeypatch):
+    keys = ["0123456789abcdef" * 2, "0123456789ABCDEF" * 2, "00" * 16, "0123456789abcdef" * 2 + "\n", "abc", "", None]
+    hospitals = spark.createDataFrame([(str(i), k) for i, k in enumerate(keys)], "ccn string, hospital_key string")
+    drgs = spark.createDataFrame([("d", "k")], "drg_code string, drg_key string")
+    rows = spark.range(len(keys) + 1).select(F.col("id").cast("string").alias("ccn"), F.lit("d").alias("drg_code"))
+    seen, join = [], facts.pruned_join
+    monkeypatch.setattr(facts, "pruned_join", lambda j, *a: seen.append(dict(j.dtypes)) or join(j, *a))
+    got = {r.ccn: r.hospital_key for r in facts.star_rows(rows, hospitals, drgs, False, False).collect()}
+    assert got == {str(i): k for i, k in enumerate(keys)}
+    assert seen[1].get("__bytes") == "binary" and "hospital_key" not in seen[1]
+
+
 def _joined_rows(wh, monkeypatch):
     """Sides that the star joins, by call."""
     seen, star = [], marts.mart_reimbursement_gap_star
