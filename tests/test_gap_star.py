@@ -138,3 +138,30 @@ def test_lines_of_large_dimensions_ride_on_the_keys(spark):
         assert "ResolvedHint (strategy=broadcast)" in few._jdf.queryExecution().analyzed().toString()
     finally:
         release_all()
+
+
+def test_measures_join_narrow_sides_by_broadcast(spark, monkeypatch):
+    frames = _frames(spark)
+    seen, star = [], marts.gap_measures_star
+    monkeypatch.setattr(marts, "gap_measures_star", lambda medicare, hospitals, drgs, *small: seen.append(
+        (*hospitals.columns, *drgs.columns, *small)) or star(medicare, hospitals, drgs, *small))
+    columns = ("ccn", "metro_name", "cost_to_charge_ratio", "drg_code", "service_line")
+    try:
+        small = _warehouse(frames, 200_000)
+        wanted = sorted(map(str, small.mart_reimbursement_gap.select(marts.GAP_MEASURES).collect()))
+        assert sorted(map(str, small.gap_measures.collect())) == wanted and not seen
+        groups = sorted(map(str, small.service_line_groups.collect()))
+        # dimensions over the bound whose few columns are not, and such that are over it all the same
+        for bound, narrow in ((100, True), (20, False)):
+            wh = _warehouse(frames, bound)
+            wh.persist_dims = True
+            assert sorted(map(str, wh.gap_measures.collect())) == wanted
+            assert sorted(map(str, wh.service_line_groups.collect())) == groups
+            assert wh._bounds["dim_hospital"] is wh._bounds["dim_drg"] is False
+            assert seen.pop() == (*columns, narrow, narrow) and not seen
+        # a mart that is written or kept is read
+        wh = _warehouse(frames, 100)
+        wh.mart_reimbursement_gap = small.mart_reimbursement_gap
+        assert sorted(map(str, wh.gap_measures.collect())) == wanted and not seen
+    finally:
+        release_all()
