@@ -3,11 +3,13 @@ import datetime
 
 from pyspark.sql import functions as F
 
+from wardmart.functions import dealt_packed
 from wardmart.operators.cache import release_all
 from wardmart.plans import facts, marts
 from wardmart.plans.facts import FINANCE_MEASURES
 from wardmart.plans.partitioned import rows_of
 from wardmart.plans.warehouse import Warehouse
+from wardmart.sources import materialize, new_run_id
 
 
 def _inner_joins(plan) -> int:
@@ -165,3 +167,46 @@ def test_measures_join_narrow_sides_by_broadcast(spark, monkeypatch):
         assert sorted(map(str, wh.gap_measures.collect())) == wanted and not seen
     finally:
         release_all()
+
+
+def _files_hold_their_buckets(table, n):
+    """Buckets of a written table with more than one file or a row of another bucket."""
+    file = F.input_file_name()
+    at = table.select(file.alias("file"), F.regexp_extract(file, r"_(\d{5})\.c", 1).cast("int").alias("at"),
+                      F.pmod(F.hash("hospital_key"), F.lit(n)).alias("bucket"))
+    return at.groupBy("at").agg(F.count_distinct("file").alias("files"), F.count_if(F.col("at") != F.col("bucket")).alias("astray")) \
+        .where("files > 1 OR astray > 0").count()
+
+
+def test_mart_of_a_written_fact_goes_to_its_drgs_and_back(spark, tmpdir_path):
+    frames, run = _frames(spark), new_run_id()
+    wanted = sorted(map(str, _warehouse(frames, 200_000).mart_reimbursement_gap.collect()))
+    wh = _warehouse(frames, 20)
+    wh.persist_dims = True
+
+    def written(name, df):
+        return materialize(spark, df, tmpdir_path, name, run, bucket_by=(4, ["hospital_key"]), database=f"gap_{run}",
+                           dealt=True)[0]
+
+    try:
+        fact = written("fact", dealt_packed(wh.fct_medicare_drg, 4, "hospital_key", ["hospital_key", "drg_key"]))
+        assert sorted(map(str, fact.collect())) == sorted(map(str, wh.fct_medicare_drg.collect()))
+        assert _files_hold_their_buckets(fact, 4) == 0
+        wh.fct_medicare_drg, wh.buckets = fact, 4
+        gap = wh.mart_reimbursement_gap
+        assert wh.dealt == {"mart_reimbursement_gap"} and gap.columns == marts.GAP_COLUMNS
+        mart = written("gap", gap)
+        assert sorted(map(str, mart.collect())) == wanted
+        assert _files_hold_their_buckets(mart, 4) == 0
+    finally:
+        release_all()
+
+
+def test_rows_are_dealt_by_the_text_of_their_key(spark):
+    keys = ["0123456789abcdef" * 2, "0123456789ABCDEF" * 2, "00" * 16, "0123456789abcdef" * 2 + "\n", "abc", "", None]
+    rows = spark.createDataFrame([(k, other, i) for i, k in enumerate(keys) for other in keys],
+                                 "hospital_key string, drg_key string, n int")
+    dealt = dealt_packed(rows, 5, "hospital_key", ["hospital_key", "drg_key"])
+    assert dealt.schema == rows.schema
+    assert sorted(map(str, dealt.collect())) == sorted(map(str, rows.collect()))
+    assert dealt.where(F.spark_partition_id() != F.pmod(F.hash("hospital_key"), F.lit(5))).count() == 0
