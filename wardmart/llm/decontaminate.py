@@ -99,6 +99,10 @@ class HammingIndex:
             near = np.zeros((len(part), len(self.prints)), bool)
             for block, (values, place) in zip(blocks, self.tables):
                 near |= (np.bitwise_count(block[:, None] ^ values) <= radius // BLOCKS)[:, place]
+            # where the blocks rule out little, distances of all pairs cost less than to gather the pairs left
+            if 8 * np.count_nonzero(near) > near.size:
+                distance = sum(np.bitwise_count(q[:, None] ^ p) for q, p in zip(part.T, self.prints.T))
+                near &= distance <= radius
             query, item = np.nonzero(near)
             far = np.bitwise_count(part[query] ^ self.prints[item]).sum(axis=1) > radius
             found.append((query[~far] + low, item[~far]))
