@@ -4,6 +4,7 @@ import datetime
 from pyspark.sql import functions as F
 
 from wardmart.functions import dealt_packed
+from wardmart.functions.keys import key_bytes, key_text
 from wardmart.operators.cache import release_all
 from wardmart.plans import facts, marts
 from wardmart.plans.facts import FINANCE_MEASURES
@@ -202,6 +203,54 @@ def test_mart_of_a_written_fact_goes_to_its_drgs_and_back(spark, tmpdir_path):
         release_all()
 
 
+def _shuffled_rows(df):
+    """Largest numbers of rows that the exchanges of a collected plan wrote, none of them of a dimension."""
+    def walk(plan):
+        name = plan.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            return walk(plan.executedPlan())
+        if name.endswith("QueryStageExec"):
+            return walk(plan.plan())
+        own = [plan.metrics().apply("shuffleRecordsWritten").value()] if name == "ShuffleExchangeExec" else []
+        children = plan.children()
+        return own + [n for i in range(children.size()) for n in walk(children.apply(i))]
+    df.collect()
+    return sum(n > 2_000 for n in walk(df._jdf.queryExecution().executedPlan()))
+
+
+def test_fact_of_large_dimensions_is_shuffled_twice_on_its_way_to_the_buckets(spark, tmpdir_path):
+    frames, run = _frames(spark), new_run_id()
+    frames["dim_drg"] = frames["dim_drg"].withColumn("drg_key", F.md5("drg_code"))
+    wanted = sorted(map(str, _warehouse(frames, 200_000).fct_medicare_drg.collect()))
+    frames["dim_hospital"] = materialize(spark, frames["dim_hospital"], tmpdir_path, "hospital", run,
+                                         bucket_by=(4, ["hospital_key"]), database=f"fact_{run}")[0]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        wh = _warehouse(frames, 20)
+        wh.buckets = 4
+        fact = wh.fct_medicare_drg
+        assert wh.dealt == {"fct_medicare_drg"} and sorted(map(str, fact.collect())) == wanted != []
+        assert _shuffled_rows(fact) == 2
+        written = materialize(spark, fact, tmpdir_path, "fact", run, bucket_by=(4, ["hospital_key"]),
+                              database=f"fact_{run}", dealt=True)[0]
+        assert sorted(map(str, written.collect())) == wanted and _files_hold_their_buckets(written, 4) == 0
+        # keys that are not made of the codes are looked up first
+        other = _warehouse(frames | {"dim_drg": frames["dim_drg"].withColumn("drg_key", F.col("drg_code"))}, 20)
+        other.buckets = 4
+        assert {r.drg_key for r in other.fct_medicare_drg.collect()} <= set(map(str, range(300))) and not other.dealt
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        release_all()
+
+
+def test_texts_come_back_from_key_bytes(spark):
+    keys = ["0123456789abcdef" * 2, "0123456789ABCDEF" * 2, "00" * 16, "abc", "", "\0" * 16, "x" * 16, "é", None]
+    rows = spark.createDataFrame([(k,) for k in keys], "k string").withColumn("b", key_bytes("k"))
+    got = rows.withColumn("back", key_text("b")).collect()
+    assert [r.back for r in got] == keys and len({bytes(r.b) for r in got if r.b is not None}) == len(keys) - 1
+
+
 def test_rows_are_dealt_by_the_text_of_their_key(spark):
     keys = ["0123456789abcdef" * 2, "0123456789ABCDEF" * 2, "00" * 16, "0123456789abcdef" * 2 + "\n", "abc", "", None]
     rows = spark.createDataFrame([(k, other, i) for i, k in enumerate(keys) for other in keys],

@@ -10,6 +10,7 @@ from wardmart.plans import etl
 from wardmart.plans.build import VIEWS, build_all
 from wardmart.plans.warehouse import Warehouse
 from wardmart.sources import NotPublished, begin, entry_of, materialize, new_run_id, publish, retire, snapshot
+from wardmart.sources.sinks import CLEANUP
 
 from test_warehouse_e2e import census, cost_report, crosswalk, hospitals, medicare, seed
 
@@ -53,6 +54,24 @@ def test_readers_see_whole_versions_and_leases_keep_them(spark, tmpdir_path):
     assert retire(spark, tmpdir_path, keep=1) == ids[2:3] and there(tmpdir_path) == {ids[3]}
 
 
+def test_shuffle_files_go_as_a_table_is_written(spark, tmpdir_path):
+    def files():
+        env = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        return {f for f in env.getAllFiles().mkString("\n").split("\n") if "/shuffle_" in f}
+
+    df, before, setting = spark.range(1_000).repartition(5, "id"), files(), spark.conf.get(CLEANUP, None)
+    with ThreadPoolExecutor(2) as pool:
+        pool.submit(materialize, spark, df, tmpdir_path, "a", "r1").result()
+        list(pool.map(lambda bucket, name: materialize(spark, df, tmpdir_path, name, "r2", bucket_by=bucket),
+                      [None, (4, ["id"])], ["b", "c"]))
+    until = time.time() + 20
+    while files() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not files() - before and spark.conf.get(CLEANUP, None) == setting
+    assert [spark.read.parquet(f"{tmpdir_path}/{t}/run={r}").count() for t, r in (("a", "r1"), ("b", "r2"), ("c", "r2"))] \
+        == [1_000] * 3 == [df.count()] * 3
+
+
 def test_a_lease_that_ran_out_holds_nothing(spark, tmpdir_path):
     for n in (1, 2):
         publish(spark, tmpdir_path, *run(spark, tmpdir_path, n))
